@@ -83,7 +83,7 @@ def required_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
         return df.agg(columns.alias("COLUMNS")).select(F.lit(name).alias("TABLE_NAME"), F.inline("COLUMNS"))
 
-    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items() if schemas.required_columns(name)])
 
 
 _MEDIAN_BUCKET = 1_000

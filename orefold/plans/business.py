@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from orefold.functions import bands, dates, numbers
 from orefold.operators import returns
 from orefold.plans.common import (
-    COST,
-    ORDERS,
-    PROFIT,
-    REVENUE,
-    UNITS,
     amounts,
+    cost,
     growth,
     largest_first,
+    orders,
     per,
+    profit,
+    revenue,
     share_of_total,
     smallest_first,
+    units,
     with_customer,
     with_date,
     with_product,
@@ -36,11 +36,11 @@ def sales_by_year(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         with_date(fact_sales, dim_date, "YEAR")
         .groupBy("YEAR")
         .agg(
-            ORDERS.alias("TOTAL_ORDERS"),
-            UNITS.alias("TOTAL_UNITS_SOLD"),
-            *amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT),
+            orders().alias("TOTAL_ORDERS"),
+            units().alias("TOTAL_UNITS_SOLD"),
+            *amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit()),
             numbers.mean2(F.col("MARGIN_PCT")).alias("AVG_MARGIN_PCT"),
-            per(REVENUE, ORDERS).alias("AVG_ORDER_VALUE"),
+            per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
         )
         .orderBy(*smallest_first("YEAR"))
     )
@@ -51,7 +51,7 @@ def monthly_trend(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         with_date(fact_sales, dim_date, *MONTH)
         .groupBy(*MONTH)
-        .agg(*amounts(MONTHLY_REVENUE=REVENUE, MONTHLY_PROFIT=PROFIT))
+        .agg(*amounts(MONTHLY_REVENUE=revenue(), MONTHLY_PROFIT=profit()))
         .withColumn("PREV_MONTH_REVENUE", previous)
         .withColumn("MOM_GROWTH_PCT", growth(F.col("MONTHLY_REVENUE"), F.col("PREV_MONTH_REVENUE")))
         .orderBy(*smallest_first("YEAR", "MONTH_NUM"))
@@ -63,9 +63,9 @@ def category_subcategory(fact_sales: DataFrame, dim_product: DataFrame) -> DataF
         with_product(fact_sales, dim_product, "CATEGORY_NAME", "SUBCATEGORY_NAME")
         .groupBy("CATEGORY_NAME", "SUBCATEGORY_NAME")
         .agg(
-            ORDERS.alias("TOTAL_ORDERS"),
-            UNITS.alias("UNITS_SOLD"),
-            *amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT),
+            orders().alias("TOTAL_ORDERS"),
+            units().alias("UNITS_SOLD"),
+            *amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit()),
             numbers.mean2(F.col("MARGIN_PCT")).alias("AVG_MARGIN_PCT"),
         )
         .orderBy(*largest_first("TOTAL_REVENUE"), *smallest_first("CATEGORY_NAME", "SUBCATEGORY_NAME"))
@@ -75,7 +75,7 @@ def category_subcategory(fact_sales: DataFrame, dim_product: DataFrame) -> DataF
 def top_products(fact_sales: DataFrame, dim_product: DataFrame, n: int = 10) -> DataFrame:
     """Totals per product first; names are joined to the totals, not to the sales lines."""
     totals = fact_sales.groupBy("PRODUCT_KEY").agg(
-        UNITS.alias("UNITS_SOLD"), *amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT)
+        units().alias("UNITS_SOLD"), *amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit())
     )
     labels = ("PRODUCT_NAME", "CATEGORY_NAME", "PRICE_TIER")
     return (
@@ -89,7 +89,7 @@ def top_products(fact_sales: DataFrame, dim_product: DataFrame, n: int = 10) ->
 def _orders_of_customers(fact_sales: DataFrame) -> DataFrame:
     """One row per customer and order: all that the customer questions need of the sales lines."""
     return fact_sales.groupBy("CUSTOMER_KEY", "ORDER_NUMBER").agg(
-        REVENUE.alias("GROSS_REVENUE"), F.count("GROSS_REVENUE").alias("LINES")
+        revenue().alias("GROSS_REVENUE"), F.count("GROSS_REVENUE").alias("LINES")
     )
 
 
@@ -101,9 +101,9 @@ def customer_segments(fact_sales: DataFrame, dim_customer: DataFrame) -> DataFra
         .groupBy(*segment)
         .agg(
             customers.alias("CUSTOMER_COUNT"),
-            ORDERS.alias("TOTAL_ORDERS"),
-            *amounts(TOTAL_REVENUE=REVENUE),
-            per(REVENUE, customers).alias("REVENUE_PER_CUSTOMER"),
+            orders().alias("TOTAL_ORDERS"),
+            *amounts(TOTAL_REVENUE=revenue()),
+            per(revenue(), customers).alias("REVENUE_PER_CUSTOMER"),
         )
         .orderBy(*largest_first("REVENUE_PER_CUSTOMER"), *smallest_first(*segment))
     )
@@ -114,7 +114,7 @@ def geography_share(fact_sales: DataFrame, dim_territory: DataFrame) -> DataFram
     return (
         with_territory(fact_sales, dim_territory, *place)
         .groupBy(*place)
-        .agg(ORDERS.alias("TOTAL_ORDERS"), *amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT))
+        .agg(orders().alias("TOTAL_ORDERS"), *amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit()))
         .withColumn("REVENUE_SHARE_PCT", share_of_total(F.col("TOTAL_REVENUE")))
         .orderBy(*largest_first("TOTAL_REVENUE"), *smallest_first(*place))
     )
@@ -152,7 +152,7 @@ def quarterly_yoy(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         with_date(fact_sales, dim_date, "YEAR", "QUARTER_NAME", "QUARTER_NUM")
         .groupBy("YEAR", "QUARTER_NAME", "QUARTER_NUM")
-        .agg(*amounts(QUARTERLY_REVENUE=REVENUE))
+        .agg(*amounts(QUARTERLY_REVENUE=revenue()))
         .withColumn("PREV_YEAR_REVENUE", previous)
         .orderBy(*smallest_first("YEAR", "QUARTER_NUM"))
         .select(
@@ -170,10 +170,10 @@ def customer_lifetime_value(fact_sales: DataFrame, dim_customer: DataFrame, n: i
     history = fact_sales.groupBy("CUSTOMER_KEY").agg(
         F.min("ORDER_DATE_KEY").alias("FIRST_ORDER_DATE"),
         F.max("ORDER_DATE_KEY").alias("LAST_ORDER_DATE"),
-        ORDERS.alias("TOTAL_ORDERS"),
-        UNITS.alias("TOTAL_UNITS"),
-        *amounts(LIFETIME_REVENUE=REVENUE, LIFETIME_PROFIT=PROFIT),
-        per(REVENUE, ORDERS).alias("AVG_ORDER_VALUE"),
+        orders().alias("TOTAL_ORDERS"),
+        units().alias("TOTAL_UNITS"),
+        *amounts(LIFETIME_REVENUE=revenue(), LIFETIME_PROFIT=profit()),
+        per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
     )
     return (
         with_customer(history, dim_customer, *labels)
@@ -204,8 +204,8 @@ def weekend_weekday(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         with_date(fact_sales, dim_date, "IS_WEEKEND")
         .groupBy("IS_WEEKEND")
         .agg(
-            ORDERS.alias("TOTAL_ORDERS"),
-            *amounts(TOTAL_REVENUE=REVENUE),
+            orders().alias("TOTAL_ORDERS"),
+            *amounts(TOTAL_REVENUE=revenue()),
             numbers.mean2(F.col("GROSS_REVENUE")).alias("AVG_ORDER_REVENUE"),
         )
         .withColumn("DAY_TYPE", F.when(F.col("IS_WEEKEND"), "Weekend").otherwise("Weekday"))
@@ -218,7 +218,7 @@ def running_ytd(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         with_date(fact_sales, dim_date, *MONTH)
         .groupBy(*MONTH)
-        .agg(*amounts(MONTHLY_REVENUE=REVENUE))
+        .agg(*amounts(MONTHLY_REVENUE=revenue()))
         .withColumn("YTD_REVENUE", F.sum("MONTHLY_REVENUE").over(so_far))
         .orderBy(*smallest_first("YEAR", "MONTH_NUM"))
     )
@@ -231,7 +231,7 @@ def price_tier_mix(fact_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
     return (
         with_product(fact_sales, tiers, "PRICE_TIER")
         .groupBy("PRICE_TIER")
-        .agg(ORDERS.alias("TOTAL_ORDERS"), UNITS.alias("TOTAL_UNITS"), *amounts(TOTAL_REVENUE=REVENUE))
+        .agg(orders().alias("TOTAL_ORDERS"), units().alias("TOTAL_UNITS"), *amounts(TOTAL_REVENUE=revenue()))
         .withColumn("REVENUE_PCT", share_of_total(F.col("TOTAL_REVENUE")))
         .orderBy(*smallest_first("PRICE_TIER"))
     )
@@ -246,8 +246,8 @@ def fiscal_quarter(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         with_date(fact_sales, dim_date, "YEAR", "MONTH_NUM")
         .groupBy(label.alias("FISCAL_QUARTER"), started.alias("FISCAL_YEAR"))
         .agg(
-            *amounts(REVENUE=REVENUE, COST=COST, GROSS_PROFIT=REVENUE - COST),
-            numbers.percent(REVENUE - COST, REVENUE).alias("MARGIN_PCT"),
+            *amounts(REVENUE=revenue(), COST=cost(), GROSS_PROFIT=revenue() - cost()),
+            numbers.percent(revenue() - cost(), revenue()).alias("MARGIN_PCT"),
         )
         .orderBy(*smallest_first("FISCAL_YEAR", "FISCAL_QUARTER"))
     )
@@ -265,10 +265,10 @@ def age_bands(fact_sales: DataFrame, dim_customer: DataFrame, as_of: date | None
         .groupBy("AGE_BAND")
         .agg(
             customers.alias("CUSTOMERS"),
-            ORDERS.alias("TOTAL_ORDERS"),
-            *amounts(TOTAL_REVENUE=REVENUE),
-            per(REVENUE, F.sum("LINES")).alias("AVG_ORDER_VALUE"),
-            per(REVENUE, customers).alias("REVENUE_PER_CUSTOMER"),
+            orders().alias("TOTAL_ORDERS"),
+            *amounts(TOTAL_REVENUE=revenue()),
+            per(revenue(), F.sum("LINES")).alias("AVG_ORDER_VALUE"),
+            per(revenue(), customers).alias("REVENUE_PER_CUSTOMER"),
         )
         .orderBy(*smallest_first("AGE_BAND"))
     )

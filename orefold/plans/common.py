@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 
 from orefold.functions.numbers import money, percent, ratio2
 
-ORDERS = F.count_distinct("ORDER_NUMBER")
-UNITS = F.sum("ORDER_QUANTITY")
-REVENUE = F.sum("GROSS_REVENUE")
-COST = F.sum("TOTAL_COST")
-PROFIT = F.sum("GROSS_PROFIT")
 
-# Only for windows over a finished aggregate whose size does not follow the fact (months, territories, tiers).
-EVERYTHING = W.partitionBy()
+def orders() -> Column:
+    return F.count_distinct("ORDER_NUMBER")
+
+
+def units() -> Column:
+    return F.sum("ORDER_QUANTITY")
+
+
+def revenue() -> Column:
+    return F.sum("GROSS_REVENUE")
+
+
+def cost() -> Column:
+    return F.sum("TOTAL_COST")
+
+
+def profit() -> Column:
+    return F.sum("GROSS_PROFIT")
 
 
 def with_date(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
@@ -37,7 +48,8 @@ def with_territory(fact: DataFrame, dim_territory: DataFrame, *columns: str) ->
 
 
 def share_of_total(amount: Column) -> Column:
-    return percent(amount, F.sum(amount).over(EVERYTHING))
+    """Share of a row in all rows. Only for a finished aggregate whose size does not follow the fact."""
+    return percent(amount, F.sum(amount).over(W.partitionBy()))
 
 
 def growth(current: Column, previous: Column) -> Column:

@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from orefold.functions import bands, dates, numbers
 from orefold.operators import returns as return_totals
 from orefold.plans.common import (
-    EVERYTHING,
-    ORDERS,
-    PROFIT,
-    REVENUE,
-    UNITS,
     amounts,
     largest_first,
+    orders,
     per,
+    profit,
+    revenue,
+    share_of_total,
     smallest_first,
+    units,
     with_customer,
     with_date,
     with_product,
@@ -104,10 +104,20 @@ def _grouped(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.filter(present).groupBy(*keys)
 
 
-_ORDER_COUNT = F.count_distinct("ORDERNUMBER").alias("ORDERS")
-_UNITS = F.sum("ORDERQUANTITY")
-_REVENUE = F.sum("REVENUE")
-_PROFIT = F.sum("PROFIT")
+def _order_count() -> Column:
+    return F.count_distinct("ORDERNUMBER").alias("ORDERS")
+
+
+def _units() -> Column:
+    return F.sum("ORDERQUANTITY")
+
+
+def _revenue() -> Column:
+    return F.sum("REVENUE")
+
+
+def _profit() -> Column:
+    return F.sum("PROFIT")
 
 
 def sales_by_year(lines: DataFrame) -> DataFrame:
@@ -115,10 +125,10 @@ def sales_by_year(lines: DataFrame) -> DataFrame:
     return (
         _grouped(lines, "YEAR")
         .agg(
-            _ORDER_COUNT,
-            _UNITS.alias("UNITS"),
-            *amounts(REVENUE=_REVENUE, PROFIT=_PROFIT),
-            numbers.percent(_PROFIT, _REVENUE).alias("MARGIN_PCT"),
+            _order_count(),
+            _units().alias("UNITS"),
+            *amounts(REVENUE=_revenue(), PROFIT=_profit()),
+            numbers.percent(_profit(), _revenue()).alias("MARGIN_PCT"),
         )
         .orderBy("YEAR")
     )
@@ -127,7 +137,7 @@ def sales_by_year(lines: DataFrame) -> DataFrame:
 def monthly_trend(lines: DataFrame) -> DataFrame:
     return (
         _grouped(lines, "YEAR", "MONTH")
-        .agg(*amounts(REVENUE=_REVENUE))
+        .agg(*amounts(REVENUE=_revenue()))
         .select(
             "YEAR",
             F.col("MONTH").alias("MONTH_NUM"),
@@ -143,8 +153,8 @@ def category_revenue(lines: DataFrame) -> DataFrame:
     return (
         _grouped(lines, "CATEGORYNAME")
         .agg(
-            _UNITS.alias("UNITS_SOLD"),
-            *amounts(REVENUE=_REVENUE, PROFIT=_PROFIT),
+            _units().alias("UNITS_SOLD"),
+            *amounts(REVENUE=_revenue(), PROFIT=_profit()),
             numbers.mean2(F.col("MARGIN")).alias("MARGIN_PCT"),
         )
         .withColumnRenamed("CATEGORYNAME", "CATEGORY_NAME")
@@ -155,7 +165,7 @@ def category_revenue(lines: DataFrame) -> DataFrame:
 def top_products(lines: DataFrame, n: int = 15) -> DataFrame:
     return (
         _grouped(lines, "PRODUCTNAME", "CATEGORYNAME", "PRICE_TIER")
-        .agg(_UNITS.alias("UNITS_SOLD"), *amounts(REVENUE=_REVENUE, PROFIT=_PROFIT))
+        .agg(_units().alias("UNITS_SOLD"), *amounts(REVENUE=_revenue(), PROFIT=_profit()))
         .withColumnsRenamed({"PRODUCTNAME": "PRODUCT_NAME", "CATEGORYNAME": "CATEGORY_NAME"})
         .orderBy(*largest_first("REVENUE"), "PRODUCT_NAME", "CATEGORY_NAME", "PRICE_TIER")
         .limit(n)
@@ -165,7 +175,7 @@ def top_products(lines: DataFrame, n: int = 15) -> DataFrame:
 def territory(lines: DataFrame) -> DataFrame:
     return (
         _grouped(lines, "COUNTRY", "REGION")
-        .agg(_ORDER_COUNT, *amounts(REVENUE=_REVENUE, PROFIT=_PROFIT))
+        .agg(_order_count(), *amounts(REVENUE=_revenue(), PROFIT=_profit()))
         .orderBy(*largest_first("REVENUE"), "COUNTRY", "REGION")
     )
 
@@ -173,7 +183,7 @@ def territory(lines: DataFrame) -> DataFrame:
 def customer_segment(lines: DataFrame) -> DataFrame:
     return (
         _grouped(lines, "OCCUPATION", "GENDER")
-        .agg(F.count_distinct("CUSTOMERKEY").alias("CUSTOMERS"), *amounts(REVENUE=_REVENUE))
+        .agg(F.count_distinct("CUSTOMERKEY").alias("CUSTOMERS"), *amounts(REVENUE=_revenue()))
         .withColumn("REV_PER_CUST", per(F.col("REVENUE"), F.col("CUSTOMERS")))
         .orderBy(*largest_first("REVENUE"), "OCCUPATION", "GENDER")
     )
@@ -186,7 +196,7 @@ def returns(lines: DataFrame, raw_returns: DataFrame) -> DataFrame:
         .agg(F.sum("RETURNQUANTITY").alias("UNITS_RETURNED"))
     )
     sold = _grouped(lines, "PRODUCTKEY").agg(
-        _UNITS.alias("UNITS_SOLD"), F.first("CATEGORYNAME", ignorenulls=True).alias("CATEGORY_NAME")
+        _units().alias("UNITS_SOLD"), F.first("CATEGORYNAME", ignorenulls=True).alias("CATEGORY_NAME")
     )
     returned = F.coalesce(F.sum("UNITS_RETURNED"), F.lit(0)).cast("long")
     return (
@@ -209,9 +219,9 @@ def sales_by_year_sql(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         with_date(fact_sales, dim_date, "YEAR")
         .groupBy("YEAR")
         .agg(
-            ORDERS.alias("ORDERS"),
-            UNITS.alias("UNITS"),
-            *amounts(REVENUE=REVENUE, PROFIT=PROFIT),
+            orders().alias("ORDERS"),
+            units().alias("UNITS"),
+            *amounts(REVENUE=revenue(), PROFIT=profit()),
             numbers.mean2(F.col("MARGIN_PCT")).alias("MARGIN_PCT"),
         )
         .orderBy(*smallest_first("YEAR"))
@@ -224,7 +234,7 @@ def monthly_trend_sql(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         with_date(fact_sales, dim_date, *month)
         .groupBy(*month)
-        .agg(*amounts(REVENUE=REVENUE, PROFIT=PROFIT))
+        .agg(*amounts(REVENUE=revenue(), PROFIT=profit()))
         .orderBy(*smallest_first("YEAR", "MONTH_NUM"))
     )
 
@@ -235,8 +245,8 @@ def category_revenue_sql(fact_sales: DataFrame, dim_product: DataFrame) -> DataF
         with_product(fact_sales, dim_product, "CATEGORY_NAME")
         .groupBy("CATEGORY_NAME")
         .agg(
-            UNITS.alias("UNITS_SOLD"),
-            *amounts(REVENUE=REVENUE, PROFIT=PROFIT),
+            units().alias("UNITS_SOLD"),
+            *amounts(REVENUE=revenue(), PROFIT=profit()),
             numbers.mean2(F.col("MARGIN_PCT")).alias("MARGIN_PCT"),
         )
         .orderBy(*largest_first("REVENUE"), *smallest_first("CATEGORY_NAME"))
@@ -247,7 +257,7 @@ def top_products_sql(fact_sales: DataFrame, dim_product: DataFrame, n: int = 15)
     """Uses the catalogue price tier."""
     labels = ("PRODUCT_NAME", "CATEGORY_NAME", "PRICE_TIER")
     totals = fact_sales.groupBy("PRODUCT_KEY").agg(
-        UNITS.alias("UNITS"), REVENUE.alias("REVENUE_OF_KEY"), PROFIT.alias("PROFIT_OF_KEY")
+        units().alias("UNITS"), revenue().alias("REVENUE_OF_KEY"), profit().alias("PROFIT_OF_KEY")
     )
     return (
         with_product(totals, dim_product, *labels)
@@ -265,7 +275,7 @@ def territory_sql(fact_sales: DataFrame, dim_territory: DataFrame) -> DataFrame:
     return (
         with_territory(fact_sales, dim_territory, "COUNTRY", "REGION")
         .groupBy("COUNTRY", "REGION")
-        .agg(ORDERS.alias("ORDERS"), *amounts(REVENUE=REVENUE, PROFIT=PROFIT))
+        .agg(orders().alias("ORDERS"), *amounts(REVENUE=revenue(), PROFIT=profit()))
         .orderBy(*largest_first("REVENUE"), *smallest_first("COUNTRY", "REGION"))
     )
 
@@ -273,15 +283,15 @@ def territory_sql(fact_sales: DataFrame, dim_territory: DataFrame) -> DataFrame:
 def customer_segment_sql(fact_sales: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Adds the income band; totals per customer are joined to the labels."""
     segment = ("INCOME_BAND", "OCCUPATION", "GENDER")
-    totals = fact_sales.groupBy("CUSTOMER_KEY").agg(REVENUE.alias("REVENUE_OF_KEY"))
-    customers, revenue = F.count_distinct("CUSTOMER_KEY"), F.sum("REVENUE_OF_KEY")
+    totals = fact_sales.groupBy("CUSTOMER_KEY").agg(revenue().alias("REVENUE_OF_KEY"))
+    customers, total = F.count_distinct("CUSTOMER_KEY"), F.sum("REVENUE_OF_KEY")
     return (
         with_customer(totals, dim_customer, *segment)
         .groupBy(*segment)
         .agg(
             customers.alias("CUSTOMERS"),
-            *amounts(REVENUE=revenue),
-            per(revenue, customers).alias("REV_PER_CUST"),
+            *amounts(REVENUE=total),
+            per(total, customers).alias("REV_PER_CUST"),
         )
         .orderBy(*largest_first("REVENUE"), *smallest_first(*segment))
     )
@@ -312,12 +322,11 @@ def kpis(by_year: DataFrame, categories: DataFrame, territories: DataFrame) -> D
         best = dataset.orderBy(*largest_first("REVENUE"), label, *ties).limit(1).select(label)
         return F.coalesce(best.scalar(), F.lit("N/A"))
 
-    revenue, profit = F.sum("REVENUE"), F.sum("PROFIT")
     return by_year.agg(
-        revenue.alias("TOTAL_REVENUE"),
-        profit.alias("TOTAL_PROFIT"),
+        _revenue().alias("TOTAL_REVENUE"),
+        _profit().alias("TOTAL_PROFIT"),
         F.sum("ORDERS").alias("TOTAL_ORDERS"),
-        numbers.percent(profit, revenue).alias("AVG_MARGIN"),
+        numbers.percent(_profit(), _revenue()).alias("AVG_MARGIN"),
         F.concat_ws(",", F.sort_array(F.collect_set("YEAR")).cast("array<string>")).alias("YEARS"),
     ).select(
         "TOTAL_REVENUE",
@@ -354,8 +363,7 @@ def chart_top_categories(categories: DataFrame, n: int = 8) -> DataFrame:
 
 
 def _share(dataset: DataFrame, label: str) -> DataFrame:
-    share = numbers.percent(F.col("REVENUE"), F.sum("REVENUE").over(EVERYTHING))
-    return dataset.select(label, share.alias("SHARE_PCT"))
+    return dataset.select(label, share_of_total(F.col("REVENUE")).alias("SHARE_PCT"))
 
 
 def chart_category_share(categories: DataFrame, n: int = 6) -> DataFrame:

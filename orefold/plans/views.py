@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from orefold.functions import bands, numbers
 from orefold.operators import returns
 from orefold.plans.common import (
-    COST,
-    ORDERS,
-    PROFIT,
-    REVENUE,
-    UNITS,
     amounts,
+    cost,
+    orders,
     per,
+    profit,
+    revenue,
     share_of_total,
+    units,
     with_customer,
     with_date,
     with_product,
@@ -87,12 +87,12 @@ def monthly_kpi(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         with_date(fact_sales, dim_date, "YEAR", "MONTH_NUM", "MONTH_NAME")
         .groupBy("YEAR", "MONTH_NUM", "MONTH_NAME")
         .agg(
-            ORDERS.alias("TOTAL_ORDERS"),
+            orders().alias("TOTAL_ORDERS"),
             F.count("ORDER_LINE_ITEM").alias("TOTAL_LINE_ITEMS"),
-            UNITS.alias("TOTAL_UNITS"),
-            *amounts(TOTAL_REVENUE=REVENUE, TOTAL_COST=COST, TOTAL_PROFIT=PROFIT),
+            units().alias("TOTAL_UNITS"),
+            *amounts(TOTAL_REVENUE=revenue(), TOTAL_COST=cost(), TOTAL_PROFIT=profit()),
             numbers.mean2(F.col("MARGIN_PCT")).alias("AVG_MARGIN_PCT"),
-            per(REVENUE, ORDERS).alias("AVG_ORDER_VALUE"),
+            per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
         )
         .withColumn("YEAR_MONTH", label)
     )
@@ -139,10 +139,10 @@ def customer_360(fact_sales: DataFrame, dim_customer: DataFrame) -> DataFrame:
     history = fact_sales.groupBy("CUSTOMER_KEY").agg(
         F.min("ORDER_DATE_KEY").alias("FIRST_PURCHASE_DATE"),
         F.max("ORDER_DATE_KEY").alias("LAST_PURCHASE_DATE"),
-        ORDERS.alias("FREQUENCY"),
-        *amounts(MONETARY_VALUE=REVENUE),
-        per(REVENUE, ORDERS).alias("AVG_ORDER_VALUE"),
-        UNITS.alias("TOTAL_UNITS_PURCHASED"),
+        orders().alias("FREQUENCY"),
+        *amounts(MONETARY_VALUE=revenue()),
+        per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
+        units().alias("TOTAL_UNITS_PURCHASED"),
     )
     return (
         dim_customer.select(
@@ -168,9 +168,9 @@ def territory_summary(fact_sales: DataFrame, dim_territory: DataFrame) -> DataFr
         with_territory(fact_sales, dim_territory, *place)
         .groupBy(*place)
         .agg(
-            ORDERS.alias("TOTAL_ORDERS"),
-            UNITS.alias("TOTAL_UNITS"),
-            *amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT),
+            orders().alias("TOTAL_ORDERS"),
+            units().alias("TOTAL_UNITS"),
+            *amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit()),
         )
         .withColumn("REVENUE_SHARE_PCT", share_of_total(F.col("TOTAL_REVENUE")))
     )
@@ -208,7 +208,7 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         with_date(fact_sales, dim_date, *month)
         .groupBy(*month)
-        .agg(*amounts(TOTAL_REVENUE=REVENUE, TOTAL_PROFIT=PROFIT), ORDERS.alias("TOTAL_ORDERS"))
+        .agg(*amounts(TOTAL_REVENUE=revenue(), TOTAL_PROFIT=profit()), orders().alias("TOTAL_ORDERS"))
     )
 
 

@@ -5,7 +5,17 @@ Names, types and file names are fixed values: users' files and tables carry them
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 _SALES = (
     "ORDERDATE string, STOCKDATE string, ORDERNUMBER string, PRODUCTKEY long, CUSTOMERKEY long, "
@@ -96,13 +106,30 @@ GOLD_DDL = {
 }
 
 
-def _parse(ddl: dict[str, str]) -> dict[str, StructType]:
-    return {name: StructType.fromDDL(text) for name, text in ddl.items()}
+_TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "long": LongType(),
+    "int": IntegerType(),
+    "date": DateType(),
+    "boolean": BooleanType(),
+    "decimal(12,4)": DecimalType(12, 4),
+    "decimal(14,2)": DecimalType(14, 2),
+    "decimal(7,2)": DecimalType(7, 2),
+}
+
+
+def columns(text: str) -> StructType:
+    """Schema from ``NAME type [not null], ...``; unlike the DDL reader it needs no running session."""
+    fields = []
+    for column in text.split(", "):
+        name, type_name, *rest = column.split(" ")
+        fields.append(StructField(name, _TYPES[type_name], not rest))
+    return StructType(fields)
 
 
-BRONZE = _parse(BRONZE_DDL)
-SILVER = _parse(SILVER_DDL)
-GOLD = _parse(GOLD_DDL)
+BRONZE = {name: columns(text) for name, text in BRONZE_DDL.items()}
+SILVER = {name: columns(text) for name, text in SILVER_DDL.items()}
+GOLD = {name: columns(text) for name, text in GOLD_DDL.items()}
 TABLES = {**BRONZE, **SILVER, **GOLD}
 
 # Source file -> raw table.

@@ -45,9 +45,13 @@ class StarFeed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its file footers are read once per feed."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Raw layer
 
@@ -115,7 +119,7 @@ class StarFeed:
                 "PRODUCTPRICE",
                 "p_type",
                 "p_brand",
-                "category_key",
+                F.col("category_key").alias("part_category"),
             )
         )
 
@@ -250,7 +254,7 @@ class StarFeed:
     def product(self) -> DataFrame:
         """Category names straight from the part row instead of the lookup tables."""
         named = self.raw_product().withColumns(
-            {"SUBCATEGORYNAME": F.col("p_brand"), "CATEGORYNAME": F.col("p_type"), "CATEGORY_KEY": F.col("category_key")}
+            {"SUBCATEGORYNAME": F.col("p_brand"), "CATEGORYNAME": F.col("p_type"), "CATEGORY_KEY": F.col("part_category")}
         )
         return silver.named_product(named)
 

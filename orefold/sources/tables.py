@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from time import monotonic
 
@@ -115,8 +115,21 @@ def query(spark: SparkSession, statement: str, **tables: DataFrame) -> DataFrame
     return spark.sql(statement, **tables)
 
 
-def write_reports(datasets: Mapping[str, DataFrame], root: str, fmt: str) -> None:
-    """Write each report dataset as files of one format."""
+def write_reports(
+    spark: SparkSession, datasets: Mapping[str, DataFrame], root: str, formats: Sequence[str]
+) -> dict[tuple[str, str], str]:
+    """Write each report dataset in each format; returns the folder by dataset and format.
+
+    A dataset is computed once, as parquet; the other formats are written from its stored rows.
+    """
+    folders = {}
     for name, df in datasets.items():
-        writer = df.write.mode("overwrite")
-        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(f"{root}/{fmt}/{name}")
+        stored = f"{root}/parquet/{name}"
+        df.write.mode("overwrite").parquet(stored)
+        folders[name, "parquet"] = stored
+        for fmt in formats:
+            if fmt != "parquet":
+                folders[name, fmt] = f"{root}/{fmt}/{name}"
+                writer = spark.read.parquet(stored).write.mode("overwrite")
+                (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(folders[name, fmt])
+    return folders
