@@ -30,9 +30,9 @@ def profit() -> Column:
 
 
 def with_date(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
-    """Attach calendar columns. A calendar holds one row per day, so it is always small enough to broadcast."""
+    """Attach calendar columns. Like all dimensions, the calendar is broadcast if Spark finds it small enough."""
     calendar = dim_date.select(F.col("DATE_KEY").alias("ORDER_DATE_KEY"), *columns)
-    return fact.join(F.broadcast(calendar), "ORDER_DATE_KEY")
+    return fact.join(calendar, "ORDER_DATE_KEY")
 
 
 def with_product(fact: DataFrame, dim_product: DataFrame, *columns: str) -> DataFrame:

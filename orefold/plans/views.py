@@ -184,7 +184,7 @@ def return_analysis(
         F.col("YEAR").alias("RETURN_YEAR"),
         F.col("MONTH_NAME").alias("RETURN_MONTH"),
     )
-    dated = fact_returns.join(F.broadcast(calendar), "RETURN_DATE_KEY")
+    dated = fact_returns.join(calendar, "RETURN_DATE_KEY")
     placed = with_territory(dated, dim_territory, "REGION", "COUNTRY")
     named = with_product(placed, dim_product, "PRODUCT_NAME", "CATEGORY_NAME", "SUBCATEGORY_NAME")
     return named.select(
