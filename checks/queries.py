@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,16 @@ def without_decimals(df: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
+def feed_of(spark: SparkSession, sf_dir: str) -> StarFeed:
+    """One feed per session and folder, so that queries share table definitions."""
+    session.prepare(spark, sf_dir)
+    return StarFeed(spark, sf_dir)
+
+
 def query(build: Callable[[StarFeed], DataFrame]) -> Callable[[StarFeed], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        session.prepare(spark, sf_dir)
-        return without_decimals(build(StarFeed(spark, sf_dir)))
+        return without_decimals(build(feed_of(spark, sf_dir)))
 
     QUERIES[build.__name__] = run
     return build

@@ -36,7 +36,7 @@ def dim_territory(territory: DataFrame) -> DataFrame:
 
 
 def _or_zero(column: str, type_name: str):
-    return F.coalesce(F.col(column), F.lit(0)).cast(type_name)
+    return F.coalesce(F.col(column), F.lit(0).cast(type_name))
 
 
 def price_sales(lines: DataFrame, dim_product: DataFrame) -> DataFrame:

@@ -8,7 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# A query shuffles a few columns of what it reads, so 1 GiB of input leaves shuffle partitions of some 100 MB. Beyond
+# the upper bound the number of blocks (map tasks times partitions) costs more than larger partitions do.
+INPUT_BYTES_PER_PARTITION = 1024**3
+MOST_PARTITIONS = 40_000
 
 # Skewed join partitions are split even where that costs one more shuffle of the result: a hot order
 # or product must never pin a third of the fact to one task.
@@ -51,7 +54,7 @@ def prepare(spark: SparkSession, path: str) -> SparkSession:
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
-    wanted = math.ceil(input_bytes(spark, path) / TARGET_PARTITION_BYTES)
+    wanted = min(math.ceil(input_bytes(spark, path) / INPUT_BYTES_PER_PARTITION), MOST_PARTITIONS)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark

@@ -10,8 +10,9 @@ joins on unique keys, so leaving them out changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,20 +42,32 @@ def _keyed(name: Column) -> Column:
     return key
 
 
+def _kept(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Define a table once per feed. What is kept is the lazy definition, not rows."""
+
+    @wraps(build)
+    def once(self: StarFeed, *args):
+        key = (build.__name__, args)
+        if key not in self._defined:
+            self._defined[key] = build(self, *args)
+        return self._defined[key]
+
+    return once
+
+
 class StarFeed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._tables: dict[str, DataFrame] = {}
+        self._defined: dict[tuple, DataFrame] = {}
 
+    @_kept
     def table(self, name: str) -> DataFrame:
-        """A test table; its file footers are read once per feed."""
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._tables[name]
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # Raw layer
 
+    @_kept
     def raw_calendar(self) -> DataFrame:
         """Every day of the years in which orders were placed."""
         span = self.table("orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
@@ -63,6 +76,7 @@ class StarFeed:
         days = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence(first, last)).alias("day"))
         return days.select(F.date_format("day", "yyyy-MM-dd").alias("DATE"))
 
+    @_kept
     def raw_territory(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
@@ -72,6 +86,7 @@ class StarFeed:
             F.col("r_name").alias("CONTINENT"),
         )
 
+    @_kept
     def _part(self) -> DataFrame:
         return self.table("part").withColumns(
             {
@@ -80,12 +95,14 @@ class StarFeed:
             }
         )
 
+    @_kept
     def raw_category(self) -> DataFrame:
         named = self._part().select(
             F.col("category_key").alias("PRODUCTCATEGORYKEY"), F.concat("p_type", F.lit(" ")).alias("CATEGORYNAME")
         )
         return named.distinct()
 
+    @_kept
     def raw_subcategory(self) -> DataFrame:
         """Category 6 has no subcategories."""
         part = self._part().filter(F.col("category_key") != 6)
@@ -94,6 +111,7 @@ class StarFeed:
             key, F.col("p_brand").alias("SUBCATEGORYNAME"), F.col("category_key").alias("PRODUCTCATEGORYKEY")
         ).distinct()
 
+    @_kept
     def raw_product(self) -> DataFrame:
         key = F.col("p_partkey")
         price = (F.col("p_retailprice").cast("decimal(12,4)") * F.col("p_size") * F.lit("0.04").cast("decimal(2,2)")).cast(
@@ -123,6 +141,7 @@ class StarFeed:
             )
         )
 
+    @_kept
     def raw_customer(self) -> DataFrame:
         key = F.col("c_custkey")
         born = F.date_add(F.lit(date(1940, 1, 1)), (key * 7 % 25000).cast("int"))
@@ -144,6 +163,7 @@ class StarFeed:
             _choice(key, "Y", "N", None).alias("HOMEOWNER"),
         )
 
+    @_kept
     def _territory_of_order(self) -> DataFrame:
         """Order date, customer and territory by order key."""
         home = self.table("customer").select(
@@ -151,6 +171,7 @@ class StarFeed:
         )
         return self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate").join(home, "o_custkey", "left")
 
+    @_kept
     def raw_sales(self, flag: str | None = None) -> DataFrame:
         """Raw sales lines, all or those of one yearly file.
 
@@ -188,6 +209,7 @@ class StarFeed:
     def yearly_sales(self) -> list[tuple[int, DataFrame]]:
         return [(year, self.raw_sales(flag)) for flag, year in YEAR_OF_FLAG.items()]
 
+    @_kept
     def raw_returns(self) -> DataFrame:
         """Some returns name an unknown product, some have a date that does not parse."""
         key = F.col("l_orderkey")
@@ -206,6 +228,7 @@ class StarFeed:
             F.when(key % 30 > 0, F.col("l_quantity").cast("long")).alias("RETURNQUANTITY"),
         )
 
+    @_kept
     def raw_category_sales(self) -> DataFrame:
         """Units per ship date and category, one column per region; no sale is a null."""
         lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
@@ -237,9 +260,11 @@ class StarFeed:
 
     # Curated layer and dimensions
 
+    @_kept
     def calendar(self) -> DataFrame:
         return silver.calendar(self.raw_calendar())
 
+    @_kept
     def territory(self) -> DataFrame:
         """Complete names, without the blanks of the raw table."""
         nation, region = self.table("nation"), self.table("region")
@@ -251,6 +276,7 @@ class StarFeed:
         )
         return silver.territory(clean)
 
+    @_kept
     def product(self) -> DataFrame:
         """Category names straight from the part row instead of the lookup tables."""
         named = self.raw_product().withColumns(
@@ -258,27 +284,33 @@ class StarFeed:
         )
         return silver.named_product(named)
 
+    @_kept
     def customer(self) -> DataFrame:
         return silver.customer(self.raw_customer(), AS_OF)
 
-    @cached_property
+    @property
+    @_kept
     def dim_date(self) -> DataFrame:
         return gold.dim_date(self.calendar())
 
-    @cached_property
+    @property
+    @_kept
     def dim_territory(self) -> DataFrame:
         return gold.dim_territory(self.territory())
 
-    @cached_property
+    @property
+    @_kept
     def dim_product(self) -> DataFrame:
         return gold.dim_product(self.product())
 
-    @cached_property
+    @property
+    @_kept
     def dim_customer(self) -> DataFrame:
         return gold.dim_customer(self.customer())
 
     # Facts
 
+    @_kept
     def _sales_lines(self) -> DataFrame:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("ORDER_NUMBER"),
@@ -310,6 +342,7 @@ class StarFeed:
             }
         )
 
+    @_kept
     def fact_sales(self, *columns: str) -> DataFrame:
         """Sales fact with the given columns, all by default.
 
@@ -322,6 +355,7 @@ class StarFeed:
         priced = gold.price_sales(lines, self.dim_product) if needed & _PRICED else lines
         return self._with_order(priced, needed).select(*columns)
 
+    @_kept
     def fact_returns(self, *columns: str) -> DataFrame:
         """Returned lines; territory is joined only if asked for."""
         columns = columns or tuple(schemas.GOLD["FACT_RETURNS"].names)
@@ -356,6 +390,7 @@ class StarFeed:
 
     # Log
 
+    @_kept
     def query_log(self) -> DataFrame:
         credits = F.col("value").cast("decimal(18,4)")
         return self.table("events").select(

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from time import monotonic
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,8 @@ def load_sources(
         try:
             raw = delimited.scan_table(spark, path, schemas.BRONZE[table])
             report.append((table, LOADED, full_refresh(raw, f"{root}/{table}"), None))
-        except PySparkException as error:
-            report.append((table, FAILED, 0, str(error)))
+        except (PySparkException, Py4JJavaError) as error:
+            report.append((table, FAILED, 0, str(error).split("\n\tat ", 1)[0]))
     return spark.createDataFrame(report, LOAD_REPORT_DDL)
 
 
