@@ -203,10 +203,9 @@ PARTS = {
     ),
     # Star schema
     "dim_date": """
-        SELECT *, CASE WHEN MONTH_NUM >= 7 THEN YEAR + 1 ELSE YEAR END AS FISCAL_YEAR,
-               CASE WHEN MONTH_NUM >= 7 THEN MONTH_NUM - 6 ELSE MONTH_NUM + 6 END AS FISCAL_MONTH,
-               CASE WHEN MONTH_NUM IN (7, 8, 9) THEN 'FQ1' WHEN MONTH_NUM IN (10, 11, 12) THEN 'FQ2'
-                    WHEN MONTH_NUM IN (1, 2, 3) THEN 'FQ3' ELSE 'FQ4' END AS FISCAL_QUARTER
+        SELECT *, cast(year(FIRST_DAY_OF_MONTH + INTERVAL 6 MONTH) as integer) AS FISCAL_YEAR,
+               cast(month(FIRST_DAY_OF_MONTH + INTERVAL 6 MONTH) as integer) AS FISCAL_MONTH,
+               'FQ' || ((MONTH_NUM + 5) % 12 // 3 + 1) AS FISCAL_QUARTER
         FROM silver_calendar""",
     "dim_customer": "SELECT * FROM silver_customer",
     "dim_product": f"""
@@ -402,14 +401,17 @@ def _return_rate(pairs: str, units: str) -> str:
     ORDER BY RETURN_RATE_PCT DESC NULLS FIRST, PRODUCT_NAME, CATEGORY_NAME LIMIT 20"""
 
 
+# Days since the last order, number of orders, segment.
+_RFM = ((30, 5, "Champions"), (90, 3, "Loyal"), (180, 2, "Potential Loyalist"), (365, 0, "At Risk"))
+_SEGMENT = "coalesce({}, 'Lost')".format(
+    ", ".join(f"if(RECENCY_DAYS <= {days} AND FREQUENCY >= {orders}, '{name}', NULL)" for days, orders, name in _RFM)
+)
+
 _C360 = f"""
     SELECT c.CUSTOMER_KEY, FULL_NAME, GENDER, AGE, INCOME_BAND, OCCUPATION, EDUCATION_LEVEL, MARITAL_STATUS,
            IS_HOME_OWNER, FIRST_PURCHASE_DATE, LAST_PURCHASE_DATE, RECENCY_DAYS, FREQUENCY, MONETARY_VALUE,
            AVG_ORDER_VALUE, TOTAL_UNITS_PURCHASED,
-           CASE WHEN RECENCY_DAYS <= 30 AND FREQUENCY >= 5 THEN 'Champions'
-                WHEN RECENCY_DAYS <= 90 AND FREQUENCY >= 3 THEN 'Loyal'
-                WHEN RECENCY_DAYS <= 180 AND FREQUENCY >= 2 THEN 'Potential Loyalist'
-                WHEN RECENCY_DAYS <= 365 THEN 'At Risk' ELSE 'Lost' END AS RFM_SEGMENT
+           {_SEGMENT} AS RFM_SEGMENT
     FROM dim_customer c JOIN (
         SELECT CUSTOMER_KEY, min(ORDER_DATE_KEY) AS FIRST_PURCHASE_DATE, max(ORDER_DATE_KEY) AS LAST_PURCHASE_DATE,
                cast(date_diff('day', max(ORDER_DATE_KEY), (SELECT max(ORDER_DATE_KEY) FROM fact_sales)) as integer)
@@ -578,12 +580,22 @@ def _mask(column: str, analyst: str, other: str, raw: str | None = None) -> str:
     return f"SELECT CUSTOMER_KEY, {column} AS SEEN_BY_PRIVILEGED, {analyst} AS SEEN_BY_ANALYST, {other} AS SEEN_BY_OTHER FROM {raw or 'dim_customer'}"
 
 
-_A_EMAIL = "left(EMAIL_ADDRESS, 1) || '***@' || split_part(EMAIL_ADDRESS, '@', 2)"
-_A_NAME = "split_part(FULL_NAME, ' ', 1) || ' ' || left(split_part(FULL_NAME, ' ', 2), 1) || '.'"
-_O_NAME = "left(split_part(FULL_NAME, ' ', 1), 1) || '.' || left(split_part(FULL_NAME, ' ', 2), 1) || '.'"
+_A_EMAIL = r"regexp_replace(EMAIL_ADDRESS, '^(.)[^@]*', '\1***')"
+_A_NAME = r"regexp_replace(FULL_NAME, '^(\S+) (.).*$', '\1 \2.')"
+_O_NAME = r"regexp_replace(FULL_NAME, '^(.)\S* (.).*$', '\1.\2.')"
 _A_INCOME = "cast(round(ANNUAL_INCOME, -4) as bigint)"
 _A_BIRTH = "cast(date_trunc('year', BIRTH_DATE) as date)"
 
+_SENSITIVITY = (
+    ("RESTRICTED", "Dynamic masking + role restriction",
+     {"DIM_CUSTOMER": "FIRST_NAME LAST_NAME FULL_NAME BIRTH_DATE EMAIL_ADDRESS ANNUAL_INCOME"}),
+    ("CONFIDENTIAL", "Role-based access (Analyst+)",
+     {"FACT_SALES": "GROSS_REVENUE GROSS_PROFIT MARGIN_PCT", "DIM_PRODUCT": "GROSS_MARGIN MARGIN_PCT",
+      "FACT_RETURNS": "RETURN_REVENUE_IMPACT"}),
+    ("PUBLIC", "No restriction",
+     {"DIM_TERRITORY": "REGION COUNTRY CONTINENT", "DIM_PRODUCT": "SUBCATEGORY_NAME CATEGORY_NAME"}),
+)
+
 _CHART = "cast(REVENUE as double) / 1000000 AS REVENUE_M"
 _MEDIAN = "(SELECT cast(round(median(ANNUALINCOME)) as bigint) FROM raw_customer)"
 _BY_REVENUE = "ORDER BY REVENUE DESC"
@@ -753,9 +765,8 @@ BODIES = {
                {pct("sum(GROSS_REVENUE)", "sum(sum(GROSS_REVENUE)) OVER ()")} AS REVENUE_PCT
         FROM fact_sales f JOIN dim_product p ON f.PRODUCT_KEY = p.PRODUCT_KEY GROUP BY 1""",
     "q14_fiscal_quarter": f"""
-        SELECT CASE WHEN MONTH_NUM IN (7, 8, 9) THEN YEAR || '-Q1' WHEN MONTH_NUM IN (10, 11, 12) THEN YEAR || '-Q2'
-                    WHEN MONTH_NUM IN (1, 2, 3) THEN YEAR || '-Q3' ELSE YEAR || '-Q4' END AS FISCAL_QUARTER,
-               cast(CASE WHEN MONTH_NUM >= 7 THEN YEAR ELSE YEAR - 1 END as integer) AS FISCAL_YEAR,
+        SELECT YEAR || '-Q' || ((MONTH_NUM + 5) % 12 // 3 + 1) AS FISCAL_QUARTER,
+               cast(year(make_date(YEAR, MONTH_NUM, 1) - INTERVAL 6 MONTH) as integer) AS FISCAL_YEAR,
                {_REVENUE} AS REVENUE, {_COST} AS COST,
                {money("sum(GROSS_REVENUE) - sum(TOTAL_COST)")} AS GROSS_PROFIT,
                {pct("sum(GROSS_REVENUE) - sum(TOTAL_COST)", "sum(GROSS_REVENUE)")} AS MARGIN_PCT
@@ -876,6 +887,10 @@ BODIES = {
             _duplicates("BRONZE_CUSTOMER", "raw_customer", "CUSTOMERKEY"),
             _duplicates("BRONZE_TERRITORY", "raw_territory", "SALESTERRITORYKEY"),
             _duplicates("BRONZE_RETURNS", "raw_returns", "RETURNDATE, PRODUCTKEY, TERRITORYKEY"),
+            _duplicates("BRONZE_PRODUCT", "raw_product", "PRODUCTKEY"),
+            _duplicates("BRONZE_CALENDAR", "raw_calendar", "DATE"),
+            _duplicates("BRONZE_PRODUCT_CATEGORY", "raw_category", "PRODUCTCATEGORYKEY"),
+            _duplicates("BRONZE_SUBCATEGORY", "raw_subcategory", "PRODUCTSUBCATEGORYKEY"),
             "SELECT 'BRONZE_CATEGORY_SALES_UNPIVOT', cast(NULL as bigint)",
         ]
     ),
@@ -944,6 +959,7 @@ BODIES = {
     "masked_dim_customer_other": f"""
         SELECT * REPLACE ('***@***.com' AS EMAIL_ADDRESS, {_O_NAME} AS FULL_NAME, cast(0 as bigint) AS ANNUAL_INCOME,
                           cast(NULL as date) AS BIRTH_DATE) FROM dim_customer""",
+    "masked_silver_customer": "SELECT * REPLACE ('***@***.com' AS EMAIL_ADDRESS) FROM silver_customer",
     "masked_income_grouping": f"""
         SELECT {_A_INCOME} AS ANNUAL_INCOME, count(*) AS CUSTOMERS FROM dim_customer GROUP BY 1""",
     "row_access_territory": """
@@ -970,6 +986,15 @@ BODIES = {
             + [("BRONZE_CUSTOMER", "raw_customer", "EMAILADDRESS", "Contact info", "cast(NULL as varchar)")]
         ]
     ),
+    "column_sensitivity": _union(
+        [
+            f"SELECT '{t}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, '{level}' AS SENSITIVITY, '{action}' AS REQUIRED_ACTION, "
+            f"count(*) FILTER (WHERE NOT ({_blank(c)})) AS FILLED_ROWS FROM {t.lower()}"
+            for level, action, tables in _SENSITIVITY
+            for t, columns in tables.items()
+            for c in columns.split()
+        ]
+    ),
     "clustered_write": doubles("fact_sales", *_FACT_DECIMALS),
     "point_lookup": f"{doubles('fact_sales', *_FACT_DECIMALS)} WHERE ORDER_NUMBER = 42",
     "point_lookup_customer": "SELECT * FROM dim_customer WHERE EMAIL_ADDRESS = 'customer000000007@example.com'",

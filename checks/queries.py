@@ -520,6 +520,7 @@ def q15_age_bands(feed):
 # Reports
 
 
+@lru_cache(maxsize=8)
 def _report_lines(feed) -> DataFrame:
     return reports.enrich(
         feed.yearly_sales(),
@@ -712,6 +713,10 @@ def detect_duplicates(feed):
     raw["BRONZE_CUSTOMER"] = feed.raw_customer()
     raw["BRONZE_TERRITORY"] = feed.raw_territory()
     raw["BRONZE_RETURNS"] = feed.raw_returns()
+    raw["BRONZE_PRODUCT"] = feed.raw_product()
+    raw["BRONZE_CALENDAR"] = feed.raw_calendar()
+    raw["BRONZE_PRODUCT_CATEGORY"] = feed.raw_category()
+    raw["BRONZE_SUBCATEGORY"] = feed.raw_subcategory()
     raw["BRONZE_CATEGORY_SALES_UNPIVOT"] = feed.raw_category_sales()
     return profiling.duplicate_groups(raw, schemas.UNIQUE_KEYS)
 
@@ -866,6 +871,11 @@ def masked_dim_customer_other(feed):
     return governance.masked_customers(feed.dim_customer, VIEWER)
 
 
+@query
+def masked_silver_customer(feed):
+    return governance.masked_silver_customers(feed.customer(), VIEWER)
+
+
 @query
 def masked_income_grouping(feed):
     """Grouping sees the masked income."""
@@ -903,6 +913,11 @@ def pii_inventory(feed):
     )
 
 
+@query
+def column_sensitivity(feed):
+    return governance.sensitivity_report(feed.star())
+
+
 # Layout and logs
 
 

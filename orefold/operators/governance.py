@@ -6,10 +6,10 @@ fact has a row filter: that is what the policies cover.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold import schemas
@@ -51,29 +51,54 @@ def visible_sales(fact_sales: DataFrame, access: DataFrame, role: str, user: str
     return fact_sales.join(allowed, "TERRITORY_KEY", "left_semi")
 
 
-def pii_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Columns with personal data in the given tables, their policy, class and how many values are filled."""
-    sensitivity, _, action = schemas.SENSITIVITY_CLASSES[0]
-
-    def one(name: str, df: DataFrame) -> DataFrame:
-        listed = [(c, category, policy) for table, c, category, policy in schemas.PII_COLUMNS if table == name]
-        filled = null_profile(df.select(*[c for c, _, _ in listed]))
-        labels = F.lit(None).cast("struct<PII_CATEGORY:string,POLICY:string>")
-        for column, category, policy in listed:
-            label = F.struct(F.lit(category).alias("PII_CATEGORY"), F.lit(policy).cast("string").alias("POLICY"))
-            labels = F.when(F.col("COLUMN_NAME") == column, label).otherwise(labels)
-        return filled.select(
+def _by_column(labels: Mapping[str, tuple], names: Sequence[str]) -> Column:
+    """Struct of labels for COLUMN_NAME."""
+    fields = ", ".join(f"{name}:string" for name in names)
+    found = F.lit(None).cast(f"struct<{fields}>")
+    for column, values in labels.items():
+        label = F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, values)])
+        found = F.when(F.col("COLUMN_NAME") == column, label).otherwise(found)
+    return found
+
+
+def _labelled_columns(name: str, df: DataFrame, labels: Mapping[str, tuple], names: Sequence[str]) -> DataFrame:
+    """The labelled columns of one table with the number of filled rows, in one pass over them."""
+    return (
+        null_profile(df.select(*labels))
+        .select(
             F.lit(name).alias("TABLE_NAME"),
             "COLUMN_NAME",
-            labels.alias("LABELS"),
+            _by_column(labels, names).alias("LABELS"),
             (F.col("TOTAL_ROWS") - F.col("NULL_COUNT")).alias("FILLED_ROWS"),
-        ).select(
-            "TABLE_NAME",
-            "COLUMN_NAME",
-            "LABELS.*",
-            F.lit(sensitivity).alias("SENSITIVITY"),
-            F.lit(action).alias("REQUIRED_ACTION"),
-            "FILLED_ROWS",
         )
+        .select("TABLE_NAME", "COLUMN_NAME", "LABELS.*", "FILLED_ROWS")
+    )
+
 
-    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
+def pii_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns with personal data in the given tables, their category, policy, class and how many values are filled."""
+    _, action, _ = schemas.SENSITIVITY["RESTRICTED"]
+    names = ("PII_CATEGORY", "POLICY", "SENSITIVITY", "REQUIRED_ACTION")
+    parts = []
+    for name, df in tables.items():
+        labels = {
+            column: (category, policy, "RESTRICTED", action)
+            for table, column, category, policy in schemas.PII_COLUMNS
+            if table == name
+        }
+        parts.append(_labelled_columns(name, df, labels, names))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sensitivity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Classified columns of the given tables, what their class requires and how many values are filled."""
+    parts = []
+    for name, df in tables.items():
+        labels = {
+            column: (level, action)
+            for level, (_, action, listed) in schemas.SENSITIVITY.items()
+            for column in listed.get(name, ())
+        }
+        if labels:
+            parts.append(_labelled_columns(name, df, labels, ("SENSITIVITY", "REQUIRED_ACTION")))
+    return reduce(DataFrame.unionByName, parts)

@@ -206,12 +206,29 @@ PII_COLUMNS = (
     ("BRONZE_CUSTOMER", "EMAILADDRESS", "Contact info", None),
 )
 
-SENSITIVITY_CLASSES = (
-    ("RESTRICTED", "PII: name, email, DOB, income", "Dynamic masking + role restriction"),
-    ("CONFIDENTIAL", "Financial: revenue, profit, margin", "Role-based access (Analyst+)"),
-    ("INTERNAL", "Aggregated metrics, KPIs", "Available to all roles"),
-    ("PUBLIC", "Territory names, category labels", "No restriction"),
-)
+# Class -> (what it covers, required action, columns of that class by table). Aggregated figures are INTERNAL.
+SENSITIVITY = {
+    "RESTRICTED": (
+        "PII: name, email, DOB, income",
+        "Dynamic masking + role restriction",
+        {"DIM_CUSTOMER": ("FIRST_NAME", "LAST_NAME", "FULL_NAME", "BIRTH_DATE", "EMAIL_ADDRESS", "ANNUAL_INCOME")},
+    ),
+    "CONFIDENTIAL": (
+        "Financial: revenue, profit, margin",
+        "Role-based access (Analyst+)",
+        {
+            "FACT_SALES": ("GROSS_REVENUE", "GROSS_PROFIT", "MARGIN_PCT"),
+            "FACT_RETURNS": ("RETURN_REVENUE_IMPACT",),
+            "DIM_PRODUCT": ("GROSS_MARGIN", "MARGIN_PCT"),
+        },
+    ),
+    "INTERNAL": ("Aggregated metrics, KPIs", "Available to all roles", {}),
+    "PUBLIC": (
+        "Territory names, category labels",
+        "No restriction",
+        {"DIM_TERRITORY": ("REGION", "COUNTRY", "CONTINENT"), "DIM_PRODUCT": ("SUBCATEGORY_NAME", "CATEGORY_NAME")},
+    ),
+}
 
 
 def required_columns(table: str) -> list[str]:

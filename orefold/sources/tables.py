@@ -95,6 +95,11 @@ def read_as_of(spark: SparkSession, path: str, moment: datetime) -> DataFrame:
     return spark.read.parquet(path).filter(F.col(SNAPSHOT) == stamp).drop(SNAPSHOT)
 
 
+def restore(spark: SparkSession, path: str, moment: datetime, now: datetime) -> None:
+    """Make the state of ``moment`` the newest one, as a further snapshot; nothing is lost."""
+    write_snapshot(read_as_of(spark, path, moment), path, now)
+
+
 def within_retention(table: DataFrame, layer: str, now: datetime) -> DataFrame:
     """Snapshots that the layer still keeps; the filter prunes whole partitions."""
     oldest = now - timedelta(days=schemas.RETENTION_DAYS[layer])

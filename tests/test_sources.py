@@ -78,10 +78,12 @@ def test_snapshots_and_retention(spark, tmp_path):
         tables.write_snapshot(spark.range(rows), path, datetime(2020, 1, day))
     assert tables.read_as_of(spark, path, datetime(2020, 1, 15)).count() == 2
     assert tables.read_as_of(spark, path, datetime(2020, 1, 20)).columns == ["id"]
+    tables.restore(spark, path, datetime(2020, 1, 5), datetime(2020, 1, 21))
+    assert tables.read_as_of(spark, path, datetime(2020, 2, 1)).count() == 1
     with pytest.raises(ValueError):
         tables.read_as_of(spark, path, datetime(2019, 1, 1))
     kept = tables.within_retention(spark.read.parquet(path), "GOLD", datetime(2020, 1, 24))
-    assert sorted(r[0] for r in kept.select(tables.SNAPSHOT).distinct().collect()) == [20200110000000, 20200120000000]
+    assert sorted(r[0] for r in kept.select(tables.SNAPSHOT).distinct().collect()) == [20200110000000, 20200120000000, 20200121000000]
 
 
 def test_stored_tables_win_over_built_ones(spark, tmp_path):
