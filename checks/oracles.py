@@ -966,10 +966,10 @@ BODIES = {
         SELECT ORDER_NUMBER, ORDER_LINE_ITEM, TERRITORY_KEY, cast(GROSS_REVENUE as double) AS GROSS_REVENUE
         FROM fact_sales WHERE TERRITORY_KEY IN (1, 2, 3)""",
     "row_access_by_role": """
-        SELECT 'CAPSTONE_DATA_ENGINEER' AS ROLE_NAME, 'E' AS USER_NAME, count(*) AS VISIBLE_ROWS FROM sales_lines
-        UNION ALL SELECT 'CAPSTONE_ANALYST', 'A', count(*) FROM sales_lines
-        UNION ALL SELECT 'CAPSTONE_VIEWER', 'VIEWER_USER', count(*) FROM sales_lines WHERE TERRITORY_KEY IN (1, 2, 3)
-        UNION ALL SELECT 'CAPSTONE_VIEWER', 'NOBODY', count(*) FROM sales_lines WHERE false""",
+        SELECT 'DATA_ENGINEER_ROLE' AS ROLE_NAME, 'E' AS USER_NAME, count(*) AS VISIBLE_ROWS FROM sales_lines
+        UNION ALL SELECT 'ANALYST_ROLE', 'A', count(*) FROM sales_lines
+        UNION ALL SELECT 'VIEWER_ROLE', 'VIEWER_USER', count(*) FROM sales_lines WHERE TERRITORY_KEY IN (1, 2, 3)
+        UNION ALL SELECT 'VIEWER_ROLE', 'NOBODY', count(*) FROM sales_lines WHERE false""",
     "pii_inventory": _union(
         [
             f"SELECT '{t}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, '{category}' AS PII_CATEGORY, {policy} AS POLICY, "

@@ -20,7 +20,7 @@ from orefold.sources.starfeed import AS_OF, StarFeed
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-VIEWER, ANALYST, ENGINEER = "CAPSTONE_VIEWER", "CAPSTONE_ANALYST", "CAPSTONE_DATA_ENGINEER"
+VIEWER, ANALYST, ENGINEER = "VIEWER_ROLE", "ANALYST_ROLE", "DATA_ENGINEER_ROLE"
 
 _MEASURES = ("ORDER_NUMBER", "ORDER_QUANTITY", "GROSS_REVENUE", "GROSS_PROFIT", "MARGIN_PCT")
 _DATED = ("ORDER_DATE_KEY", *_MEASURES)
@@ -242,7 +242,7 @@ def report_sink(feed):
     datasets = {
         "sales_by_year": reports.sales_by_year(lines),
         "category_revenue": reports.category_revenue(lines),
-        "territory": reports.territory(lines),
+        "territory": reports.territory(_report_lines(feed, *_PLACE)),
     }
     written = tables.write_reports(feed.spark, datasets, scratch(feed, "reports"), ("csv", "json", "parquet"))
     read_back = [
@@ -520,8 +520,13 @@ def q15_age_bands(feed):
 # Reports
 
 
-@lru_cache(maxsize=8)
-def _report_lines(feed) -> DataFrame:
+_PLACE = ("COUNTRY", "REGION")
+_SEGMENT = ("OCCUPATION", "GENDER")
+
+
+@lru_cache(maxsize=32)
+def _report_lines(feed, *wanted: str) -> DataFrame:
+    """Report lines with the wanted customer and territory columns."""
     return reports.enrich(
         feed.yearly_sales(),
         feed.raw_customer(),
@@ -529,12 +534,13 @@ def _report_lines(feed) -> DataFrame:
         feed.raw_subcategory(),
         feed.raw_category(),
         feed.raw_territory(),
+        wanted,
     )
 
 
 @query
 def rpt_enrich(feed):
-    return _report_lines(feed)
+    return _report_lines(feed, *_PLACE, *_SEGMENT)
 
 
 @query
@@ -579,7 +585,7 @@ def rpt_top_products_sql(feed):
 
 @query
 def rpt_territory(feed):
-    return reports.territory(_report_lines(feed))
+    return reports.territory(_report_lines(feed, *_PLACE))
 
 
 @query
@@ -589,7 +595,7 @@ def rpt_territory_sql(feed):
 
 @query
 def rpt_customer_segment(feed):
-    return reports.customer_segment(_report_lines(feed))
+    return reports.customer_segment(_report_lines(feed, *_SEGMENT))
 
 
 @query
@@ -610,8 +616,8 @@ def rpt_returns_sql(feed):
 
 @query
 def rpt_kpis(feed):
-    lines = _report_lines(feed)
-    return reports.kpis(reports.sales_by_year(lines), reports.category_revenue(lines), reports.territory(lines))
+    lines, placed = _report_lines(feed), _report_lines(feed, *_PLACE)
+    return reports.kpis(reports.sales_by_year(lines), reports.category_revenue(lines), reports.territory(placed))
 
 
 @query
@@ -628,7 +634,7 @@ def report_slices(feed):
     months = reports.first_months(reports.monthly_trend(lines)).select(
         F.lit("months").alias("SLICE"), F.concat_ws("-", "YEAR", "MONTH_NUM").alias("LABEL"), "REVENUE"
     )
-    segments = reports.customer_segment(lines)
+    segments = reports.customer_segment(_report_lines(feed, *_SEGMENT))
     cuts = [
         reports.first_segments(segments, n).select(
             F.lit(f"segments_{n}").alias("SLICE"), F.concat_ws("/", "OCCUPATION", "GENDER").alias("LABEL"), "REVENUE"
@@ -660,17 +666,17 @@ def chart_category_share(feed):
 
 @query
 def chart_territory_top8(feed):
-    return reports.chart_top_territories(reports.territory(_report_lines(feed)))
+    return reports.chart_top_territories(reports.territory(_report_lines(feed, *_PLACE)))
 
 
 @query
 def chart_occupation(feed):
-    return reports.chart_occupation(reports.customer_segment(_report_lines(feed)))
+    return reports.chart_occupation(reports.customer_segment(_report_lines(feed, *_SEGMENT)))
 
 
 @query
 def chart_gender_share(feed):
-    return reports.chart_gender_share(reports.customer_segment(_report_lines(feed)))
+    return reports.chart_gender_share(reports.customer_segment(_report_lines(feed, *_SEGMENT)))
 
 
 @query

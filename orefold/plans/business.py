@@ -202,13 +202,12 @@ def weekend_weekday(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The average is per order line."""
     return (
         with_date(fact_sales, dim_date, "IS_WEEKEND")
-        .groupBy("IS_WEEKEND")
+        .groupBy("IS_WEEKEND", F.when(F.col("IS_WEEKEND"), "Weekend").otherwise("Weekday").alias("DAY_TYPE"))
         .agg(
             orders().alias("TOTAL_ORDERS"),
             *amounts(TOTAL_REVENUE=revenue()),
             numbers.mean2(F.col("GROSS_REVENUE")).alias("AVG_ORDER_REVENUE"),
         )
-        .withColumn("DAY_TYPE", F.when(F.col("IS_WEEKEND"), "Weekend").otherwise("Weekday"))
         .orderBy(*smallest_first("IS_WEEKEND"))
     )
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +83,7 @@ def monthly_kpi(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     label = F.concat(F.col("YEAR"), F.lit("-"), F.lpad(F.col("MONTH_NUM").cast("string"), 2, "0"))
     return (
         with_date(fact_sales, dim_date, "YEAR", "MONTH_NUM", "MONTH_NAME")
-        .groupBy("YEAR", "MONTH_NUM", "MONTH_NAME")
+        .groupBy("YEAR", "MONTH_NUM", "MONTH_NAME", label.alias("YEAR_MONTH"))
         .agg(
             orders().alias("TOTAL_ORDERS"),
             F.count("ORDER_LINE_ITEM").alias("TOTAL_LINE_ITEMS"),
@@ -94,7 +92,6 @@ def monthly_kpi(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
             numbers.mean2(F.col("MARGIN_PCT")).alias("AVG_MARGIN_PCT"),
             per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
         )
-        .withColumn("YEAR_MONTH", label)
     )
 
 
@@ -144,20 +141,30 @@ def customer_360(fact_sales: DataFrame, dim_customer: DataFrame) -> DataFrame:
         per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
         units().alias("TOTAL_UNITS_PURCHASED"),
     )
+    recency = F.datediff(latest, F.col("LAST_PURCHASE_DATE")).alias("RECENCY_DAYS")
+    labels = (
+        "FULL_NAME",
+        "GENDER",
+        "AGE",
+        "INCOME_BAND",
+        "OCCUPATION",
+        "EDUCATION_LEVEL",
+        "MARITAL_STATUS",
+        "IS_HOME_OWNER",
+    )
     return (
-        dim_customer.select(
+        with_customer(history, dim_customer, *labels)
+        .select(
             "CUSTOMER_KEY",
-            "FULL_NAME",
-            "GENDER",
-            "AGE",
-            "INCOME_BAND",
-            "OCCUPATION",
-            "EDUCATION_LEVEL",
-            "MARITAL_STATUS",
-            "IS_HOME_OWNER",
+            *labels,
+            "FIRST_PURCHASE_DATE",
+            "LAST_PURCHASE_DATE",
+            recency,
+            "FREQUENCY",
+            "MONETARY_VALUE",
+            "AVG_ORDER_VALUE",
+            "TOTAL_UNITS_PURCHASED",
         )
-        .join(history, "CUSTOMER_KEY")
-        .withColumn("RECENCY_DAYS", F.datediff(latest, F.col("LAST_PURCHASE_DATE")))
         .withColumn("RFM_SEGMENT", bands.rfm_segment(F.col("RECENCY_DAYS"), F.col("FREQUENCY")))
     )
 

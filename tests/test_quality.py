@@ -103,9 +103,9 @@ def test_row_access(spark):
     def seen(role, user):
         return sorted(r.TERRITORY_KEY for r in governance.visible_sales(fact, access, role, user).collect())
 
-    assert seen("CAPSTONE_VIEWER", "VIEWER_USER") == [1]
-    assert seen("CAPSTONE_SYSADMIN", "x") == seen("ANALYST_ROLE", "x") == [1, 9]
-    assert seen("CAPSTONE_VIEWER", "stranger") == []
+    assert seen("VIEWER_ROLE", "VIEWER_USER") == [1]
+    assert seen("ADMIN_ROLE", "x") == seen("ANALYST_ROLE", "x") == [1, 9]
+    assert seen("VIEWER_ROLE", "stranger") == []
 
 
 def test_masked_table_shows_no_raw_value(spark):
@@ -113,9 +113,9 @@ def test_masked_table_shows_no_raw_value(spark):
         [(1, "Jon", "Jon Yang", "jon@example.com", 84_999, date(1966, 4, 8))],
         "CUSTOMER_KEY long, FIRST_NAME string, FULL_NAME string, EMAIL_ADDRESS string, ANNUAL_INCOME long, BIRTH_DATE date",
     )
-    row = governance.masked_customers(dim, "CAPSTONE_VIEWER").first()
+    row = governance.masked_customers(dim, "VIEWER_ROLE").first()
     assert tuple(row) == (1, "Jon", "J.Y.", "***@***.com", 0, None)
-    assert governance.masked_silver_customers(dim, "CAPSTONE_VIEWER").first().ANNUAL_INCOME == 84_999
+    assert governance.masked_silver_customers(dim, "VIEWER_ROLE").first().ANNUAL_INCOME == 84_999
 
 
 def test_required_and_layout_declarations_name_known_columns():
