@@ -200,16 +200,19 @@ def pivot_regions(unpivoted: DataFrame) -> DataFrame:
 
 def weekend_weekday(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The average is per order line."""
-    return (
+    day_type = F.when(F.col("IS_WEEKEND"), "Weekend").otherwise("Weekday")
+    totals = (
         with_date(fact_sales, dim_date, "IS_WEEKEND")
-        .groupBy("IS_WEEKEND", F.when(F.col("IS_WEEKEND"), "Weekend").otherwise("Weekday").alias("DAY_TYPE"))
+        .groupBy("IS_WEEKEND")
         .agg(
             orders().alias("TOTAL_ORDERS"),
             *amounts(TOTAL_REVENUE=revenue()),
             numbers.mean2(F.col("GROSS_REVENUE")).alias("AVG_ORDER_REVENUE"),
         )
-        .orderBy(*smallest_first("IS_WEEKEND"))
     )
+    return totals.select(
+        "IS_WEEKEND", day_type.alias("DAY_TYPE"), "TOTAL_ORDERS", "TOTAL_REVENUE", "AVG_ORDER_REVENUE"
+    ).orderBy(*smallest_first("IS_WEEKEND"))
 
 
 def running_ytd(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:

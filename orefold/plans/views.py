@@ -80,10 +80,11 @@ def sales_detail(
 
 
 def monthly_kpi(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
+    month = ("YEAR", "MONTH_NUM", "MONTH_NAME")
     label = F.concat(F.col("YEAR"), F.lit("-"), F.lpad(F.col("MONTH_NUM").cast("string"), 2, "0"))
-    return (
-        with_date(fact_sales, dim_date, "YEAR", "MONTH_NUM", "MONTH_NAME")
-        .groupBy("YEAR", "MONTH_NUM", "MONTH_NAME", label.alias("YEAR_MONTH"))
+    totals = (
+        with_date(fact_sales, dim_date, *month)
+        .groupBy(*month)
         .agg(
             orders().alias("TOTAL_ORDERS"),
             F.count("ORDER_LINE_ITEM").alias("TOTAL_LINE_ITEMS"),
@@ -93,6 +94,7 @@ def monthly_kpi(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
             per(revenue(), orders()).alias("AVG_ORDER_VALUE"),
         )
     )
+    return totals.select(*month, label.alias("YEAR_MONTH"), *[c for c in totals.columns if c not in month])
 
 
 _PERFORMANCE_KEYS = (
