@@ -28,6 +28,7 @@ SAMPLE_BYTES = 24_000
 DOCUMENT_BYTES = 1_500
 PIECE = 512
 UNDETERMINED = "und"
+UNDECIDED = 1.02  # times the score of a text that all languages fit alike
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -230,3 +231,11 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         predict(docs.sparkSession, F.col("text"), model).alias("found"),
     )
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose language can be told: some letter, and not the same fit to all."""
+    model = learned(docs)
+    found = predict(docs.sparkSession, F.col("text"), model)
+    undecided = UNDECIDED / max(1, len(model.languages))
+    return docs.filter((found["lang_pred"] != UNDETERMINED) & (found["score"] > undecided))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orefold.llm import bpe, language, oracles, packing, quality, rules, toxicity, warc
+from orefold.llm import bpe, fingerprint, language, minhash, oracles, packing, quality, repeats, rules, toxicity, warc
 from orefold.llm.common import table
 
 import public_tokenizers
@@ -16,10 +16,22 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +57,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_toxicity, op4_best_fit_packing, op6_quality, op7_language, op8_warc, op9_quality_rules, op10_byte_bpe,
+        op1_toxicity, op2_minhash_dedup, op3_substring_dedup, op4_best_fit_packing, op5_fingerprints, op6_quality,
+        op7_language, op8_warc, op9_quality_rules, op10_byte_bpe,
     )
 }
 

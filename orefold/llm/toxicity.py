@@ -5,7 +5,7 @@ the identity terms of a labelled text are swapped for others of their kind. A gr
 toxic examples more often so gets no weight of its own, and neutral mentions aren't flagged.
 
 A text is the set of its words (runs of letters and digits, ASCII lower-cased) hashed to ``WIDTH`` places. Words in fewer
-than ``LEAST_DOCUMENTS`` sampled texts, words whose share differs between the labels by less than ``LEAST_ASSOCIATION`` standard
+than ``LEAST_DOCUMENTS`` sampled texts or a share of them below ``LEAST_SHARE``, words whose share differs between the labels by less than ``LEAST_ASSOCIATION`` standard
 errors, and weights below ``PRUNE`` are left out. Learning uses at most ``PER_LABEL`` labelled texts
 per label, whole; scoring is one pass over whole texts. Null and empty texts have no words and get the score of the
 intercept. Without labelled texts of both labels every score is the share of label 1 (0 without any).
@@ -28,7 +28,8 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 PER_LABEL = 5000
 WIDTH = 1 << 20
-LEAST_DOCUMENTS = 20
+LEAST_DOCUMENTS = 4
+LEAST_SHARE = 0.002
 LEAST_ASSOCIATION = 5.0
 PENALTY = 10.0
 L2 = 5e-5
@@ -128,7 +129,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap: dict[int, int], penalt
     rate, n_toxic = documents / len(rows), labels.sum()
     expected_spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n_toxic + 1 / (len(rows) - n_toxic)))
     difference = toxic / n_toxic - (documents - toxic) / (len(rows) - n_toxic)
-    active = (documents >= LEAST_DOCUMENTS) & (np.abs(difference) >= LEAST_ASSOCIATION * expected_spread)
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * len(rows))
+    active = (documents >= least) & (np.abs(difference) >= LEAST_ASSOCIATION * expected_spread)
     for place, other in swap.items():
         active[place] |= documents[place] > 0
         active[other] |= documents[place] > 0
@@ -214,3 +216,9 @@ def classify(docs: DataFrame, labels: DataFrame, model: Model | None = None) ->
     held_out = (remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out")
     scored = docs.select("doc_id", held_out, score(docs.sparkSession, F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose score stays below the threshold."""
+    model = train(docs, labels)
+    return docs.filter(score(docs.sparkSession, F.col("text"), model) < THRESHOLD)
