@@ -465,6 +465,21 @@ _RAW_COLUMNS = {
     "RETURNS": ("raw_returns", ["RETURNDATE", "TERRITORYKEY", "PRODUCTKEY", "RETURNQUANTITY"]),
     "PRODUCT_CATEGORY": ("raw_category", ["PRODUCTCATEGORYKEY", "CATEGORYNAME"]),
     "SUBCATEGORY": ("raw_subcategory", ["PRODUCTSUBCATEGORYKEY", "SUBCATEGORYNAME", "PRODUCTCATEGORYKEY"]),
+    "PRODUCT": (
+        "raw_product",
+        ["PRODUCTKEY", "PRODUCTSUBCATEGORYKEY", "PRODUCTSKU", "PRODUCTNAME", "MODELNAME", "PRODUCTDESCRIPTION",
+         "PRODUCTCOLOR", "PRODUCTSIZE", "PRODUCTSTYLE", "PRODUCTCOST", "PRODUCTPRICE"],
+    ),
+    **{
+        f"SALES_{year}": (
+            f"(SELECT * FROM raw_sales WHERE FILE_YEAR = {year})",
+            [*_SALES_COLUMNS[:-1], "LOAD_TIMESTAMP", "SOURCE_FILE"],
+        )
+        for year in (2020, 2021, 2022)
+    },
+    "CATEGORY_SALES_UNPIVOT": (
+        "raw_category_sales", ["DATE", "PRODUCT_CATEGORY", "NORTH_REGION", "CENTRAL_REGION", "SOUTH_REGION"],
+    ),
 }
 
 
@@ -600,6 +615,13 @@ _CHART = "cast(REVENUE as double) / 1000000 AS REVENUE_M"
 _MEDIAN = "(SELECT cast(round(median(ANNUALINCOME)) as bigint) FROM raw_customer)"
 _BY_REVENUE = "ORDER BY REVENUE DESC"
 
+_TOP_PRODUCTS = f"""
+        SELECT PRODUCTNAME AS PRODUCT_NAME, CATEGORYNAME AS CATEGORY_NAME, PRICE_TIER,
+               cast(sum(ORDERQUANTITY) as bigint) AS UNITS_SOLD, {money("sum(REVENUE)")} AS REVENUE,
+               {money("sum(PROFIT)")} AS PROFIT
+        FROM report_lines WHERE PRODUCTNAME IS NOT NULL AND CATEGORYNAME IS NOT NULL GROUP BY 1, 2, 3
+        ORDER BY 5 DESC, 1, 2, 3 LIMIT 15"""
+
 BODIES = {
     "csv_scan": _CSV_CUSTOMER,
     "csv_format_options": """
@@ -624,19 +646,21 @@ BODIES = {
         FROM lineitem WHERE NOT ({_GOOD_LINE}) GROUP BY 1""",
     "load_registry": _union(
         [
-            f"SELECT 'BRONZE_{t}' AS TABLE_NAME, 'LOADED' AS STATUS, count(*) AS ROW_COUNT, cast(NULL as varchar) AS ERROR "
-            f"FROM {source}"
+            f"SELECT 'BRONZE_{t}' AS TABLE_NAME, 'LOADED' AS STATUS, count(*) AS ROW_COUNT, "
+            f"cast(0 as bigint) AS MISFIT_ROWS, cast(NULL as varchar) AS ERROR FROM {source}"
             for t, source in (
                 ("CUSTOMER", "raw_customer"), ("PRODUCT", "raw_product"), ("PRODUCT_CATEGORY", "raw_category"),
-                ("SUBCATEGORY", "raw_subcategory"), ("CALENDAR", "raw_calendar"), ("TERRITORY", "raw_territory"),
-                ("RETURNS", "raw_returns"),
+                ("SUBCATEGORY", "raw_subcategory"), ("CALENDAR", "raw_calendar"), ("RETURNS", "raw_returns"),
+                ("SALES_2020", "raw_sales WHERE FILE_YEAR = 2020"), ("SALES_2021", "raw_sales WHERE FILE_YEAR = 2021"),
+                ("SALES_2022", "raw_sales WHERE FILE_YEAR = 2022"), ("CATEGORY_SALES_UNPIVOT", "raw_category_sales"),
             )
         ]
-        + [
-            f"SELECT 'BRONZE_{t}', 'SKIPPED', 0, 'file not found'"
-            for t in ("SALES_2020", "SALES_2021", "SALES_2022", "CATEGORY_SALES_UNPIVOT")
-        ]
+        + ["SELECT 'BRONZE_TERRITORY', 'SKIPPED', 0, 0, 'file not found'"]
     ),
+    "files_to_sales_by_year": f"""
+        SELECT YEAR, {_ORDERS} AS TOTAL_ORDERS, {_UNITS} AS TOTAL_UNITS_SOLD, {_REVENUE} AS TOTAL_REVENUE,
+               {_PROFIT} AS TOTAL_PROFIT, {_MARGIN} AS AVG_MARGIN_PCT, {_AOV} AS AVG_ORDER_VALUE
+        FROM messy_fact JOIN dim_date ON ORDER_DATE_KEY = DATE_KEY GROUP BY YEAR""",
     "row_count_report": _union(
         [_count("TABLE_NAME", t, t.lower()) for t in _BUILT]
         + [_count("TABLE_NAME", "SILVER_CATEGORY_SALES_UNPIVOT", "silver_unpivot")]
@@ -654,7 +678,11 @@ BODIES = {
             f"SELECT '{name}' AS DATASET, '{fmt}' AS FORMAT, count(*) AS ROW_COUNT, "
             f"cast(sum(cast(REVENUE as decimal(28,2))) as double) AS REVENUE FROM {part}"
             for fmt in ("csv", "json", "parquet")
-            for name, part in (("sales_by_year", "by_year"), ("category_revenue", "by_category"), ("territory", "by_territory"))
+            for name, part in (
+                ("sales_by_year", "by_year"), ("monthly_trend", "by_month"), ("category_revenue", "by_category"),
+                ("top_products", f"({_TOP_PRODUCTS})"), ("territory", "by_territory"), ("customer_segment", "by_segment"),
+                ("returns", "(SELECT UNITS_RETURNED AS REVENUE FROM returned_by_category)"),
+            )
         ]
     ),
     "mapping_table_insert": """
@@ -664,9 +692,12 @@ BODIES = {
         SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate < DATE '1999-01-01'""",
     "retention_filter": _union(
         [
-            f"SELECT 20010101000000 AS snapshot_ts, '{layer}' AS LAYER, count(*) AS ROW_COUNT FROM orders "
-            "WHERE o_orderdate < DATE '2001-01-01'"
-            for layer in ("BRONZE", "SILVER", "GOLD")
+            f"SELECT {day}000000 AS snapshot_ts, '{layer}' AS LAYER, count(*) AS ROW_COUNT FROM orders "
+            f"WHERE strftime(o_orderdate, '%Y%m%d') < '{day}'"
+            for layer, days in (
+                ("BRONZE", (20001222, 20001212, 20001102)), ("SILVER", (20001222, 20001212)), ("GOLD", (20001222,)),
+            )
+            for day in days
         ]
     ),
     "silver_calendar": "SELECT * FROM silver_calendar",
@@ -793,12 +824,7 @@ BODIES = {
         SELECT CATEGORY_NAME, {_UNITS} AS UNITS_SOLD, {_REVENUE} AS REVENUE, {_PROFIT} AS PROFIT,
                {mean2("f.MARGIN_PCT")} AS MARGIN_PCT
         FROM fact_sales f JOIN dim_product p ON f.PRODUCT_KEY = p.PRODUCT_KEY GROUP BY 1""",
-    "rpt_top_products": f"""
-        SELECT PRODUCTNAME AS PRODUCT_NAME, CATEGORYNAME AS CATEGORY_NAME, PRICE_TIER,
-               cast(sum(ORDERQUANTITY) as bigint) AS UNITS_SOLD, {money("sum(REVENUE)")} AS REVENUE,
-               {money("sum(PROFIT)")} AS PROFIT
-        FROM report_lines WHERE PRODUCTNAME IS NOT NULL AND CATEGORYNAME IS NOT NULL GROUP BY 1, 2, 3
-        ORDER BY 5 DESC, 1, 2, 3 LIMIT 15""",
+    "rpt_top_products": _TOP_PRODUCTS,
     "rpt_top_products_sql": f"""
         SELECT PRODUCT_NAME, CATEGORY_NAME, PRICE_TIER, {_UNITS} AS UNITS_SOLD, {_REVENUE} AS REVENUE, {_PROFIT} AS PROFIT
         FROM fact_sales f JOIN dim_product p ON f.PRODUCT_KEY = p.PRODUCT_KEY GROUP BY 1, 2, 3
@@ -871,7 +897,7 @@ BODIES = {
         ]
     ),
     "profile_sample": "SELECT * FROM raw_customer ORDER BY CUSTOMERKEY LIMIT 3",
-    "profile_summary": _union([_summary(n) for n in ("CUSTOMER", "TERRITORY", "CALENDAR", "RETURNS", "SUBCATEGORY")]),
+    "profile_summary": _union([_summary(n) for n in _RAW_COLUMNS]),
     "profile_table": _union(
         [
             f"SELECT '{name}' AS TABLE_NAME, count(*) AS ROW_COUNT, '{','.join(columns)}' AS COLUMN_LIST FROM {part}"
@@ -910,7 +936,12 @@ BODIES = {
         UNION ALL SELECT 'CUSTOMER', count(*), count(*), 0 FROM raw_customer
         UNION ALL SELECT 'CALENDAR', count(*), count(*), 0 FROM raw_calendar
         UNION ALL SELECT 'PRODUCT_CATEGORY', count(*), NULL, NULL FROM raw_category
-        UNION ALL SELECT 'TERRITORY', NULL, count(*), NULL FROM dim_territory""",
+        UNION ALL SELECT 'TERRITORY', NULL, count(*), NULL FROM dim_territory
+        UNION ALL SELECT 'PRODUCT', s, l, l - s
+        FROM (SELECT count(*) AS s FROM raw_product), (SELECT count(*) AS l FROM silver_product)
+        UNION ALL SELECT 'SUBCATEGORY', count(*), NULL, NULL FROM raw_subcategory
+        UNION ALL SELECT 'CATEGORY_SALES_UNPIVOT', s, l, l - s
+        FROM (SELECT count(*) AS s FROM raw_category_sales), (SELECT count(*) AS l FROM silver_unpivot)""",
     "dq001_income_impute": f"""
         SELECT CUSTOMERKEY, coalesce(ANNUALINCOME, {_MEDIAN}) AS ANNUALINCOME,
                CASE WHEN ANNUALINCOME IS NULL THEN 'Unknown' ELSE {banded("ANNUALINCOME", *INCOME)} END AS INCOME_BAND
@@ -996,6 +1027,18 @@ BODIES = {
         ]
     ),
     "clustered_write": doubles("fact_sales", *_FACT_DECIMALS),
+    "clustered_tables": _union(
+        [
+            _count("TABLE_NAME", t, t.lower())
+            for t in ("SILVER_SALES", "DIM_DATE", "DIM_CUSTOMER", "DIM_PRODUCT", "FACT_SALES", "FACT_RETURNS")
+        ]
+    ),
+    "clustering_report": """
+        SELECT count(*) AS ROW_COUNT, min(ORDER_DATE_KEY) AS MIN_KEY, max(ORDER_DATE_KEY) AS MAX_KEY, true AS COUNTED
+        FROM fact_sales""",
+    "point_lookup_customer_name": "SELECT * FROM dim_customer WHERE FULL_NAME = 'Customer 000000007'",
+    "point_lookup_product_name": f"""
+        {doubles('dim_product', *_PRODUCT_DECIMALS)} WHERE PRODUCT_NAME = (SELECT min(PRODUCT_NAME) FROM dim_product)""",
     "point_lookup": f"{doubles('fact_sales', *_FACT_DECIMALS)} WHERE ORDER_NUMBER = 42",
     "point_lookup_customer": "SELECT * FROM dim_customer WHERE EMAIL_ADDRESS = 'customer000000007@example.com'",
     "point_lookup_product": f"{doubles('dim_product', *_PRODUCT_DECIMALS)} WHERE PRODUCT_SKU = 'SKU-11'",

@@ -38,7 +38,7 @@ def without_decimals(df: DataFrame) -> DataFrame:
 @lru_cache(maxsize=8)
 def feed_of(spark: SparkSession, sf_dir: str) -> StarFeed:
     """One feed per session and folder, so that queries share table definitions."""
-    session.prepare(spark, sf_dir)
+    session.prepare(spark)
     return StarFeed(spark, sf_dir)
 
 
@@ -154,26 +154,47 @@ def copy_into_tolerant_rejects(feed):
     return _tolerant(feed)[1].groupBy(delimited.REASON).agg(F.count(F.lit(1)).alias("ROW_COUNT"))
 
 
-def _source_files(feed) -> str:
-    """Files for part of the registered tables; the others stay missing."""
+def _source_files(feed, *missing: str) -> str:
+    """A file for every registered table but the missing ones, with the columns in another order than declared."""
     folder = scratch(feed, "files")
     raw = {
-        "Customer Lookup.csv": feed.raw_customer(),
-        "Product Lookup.csv": feed.raw_product().select(*schemas.BRONZE["BRONZE_PRODUCT"].names),
-        "Product Categories Lookup.csv": feed.raw_category(),
-        "Subcategories Lookup.csv": feed.raw_subcategory(),
-        "Calendar Lookup.csv": feed.raw_calendar(),
-        "Territory Lookup.csv": feed.raw_territory(),
-        "Returns Data.csv": feed.raw_returns(),
+        **{f"BRONZE_SALES_{year}": df for year, df in feed.yearly_sales()},
+        "BRONZE_CUSTOMER": feed.raw_customer(),
+        "BRONZE_PRODUCT": feed.raw_product(),
+        "BRONZE_PRODUCT_CATEGORY": feed.raw_category(),
+        "BRONZE_SUBCATEGORY": feed.raw_subcategory(),
+        "BRONZE_CALENDAR": feed.raw_calendar(),
+        "BRONZE_TERRITORY": feed.raw_territory(),
+        "BRONZE_RETURNS": feed.raw_returns(),
+        "BRONZE_CATEGORY_SALES_UNPIVOT": feed.raw_category_sales(),
     }
-    for name, df in raw.items():
-        df.write.option("header", True).csv(f"{folder}/{name}")
+    for name, table in schemas.SOURCE_FILES.items():
+        if table not in missing:
+            columns = schemas.BRONZE[table].names[::-1]
+            raw[table].select(*columns).write.option("header", True).csv(f"{folder}/{name}")
     return folder
 
 
 @query
 def load_registry(feed):
-    return tables.load_sources(feed.spark, _source_files(feed), scratch(feed, "bronze"))
+    folder = _source_files(feed, "BRONZE_TERRITORY")
+    return tables.load_sources(feed.spark, folder, scratch(feed, "bronze"))
+
+
+@query
+def files_to_sales_by_year(feed):
+    """The whole chain: files, raw tables, curated tables, star schema, question."""
+    root = scratch(feed, "bronze")
+    tables.load_sources(feed.spark, _source_files(feed), root)
+
+    def bronze(name: str) -> DataFrame:
+        return feed.spark.read.parquet(f"{root}/BRONZE_{name}")
+
+    sales = silver.sales([(year, bronze(f"SALES_{year}")) for year in (2020, 2021, 2022)])
+    product = silver.product(bronze("PRODUCT"), bronze("SUBCATEGORY"), bronze("PRODUCT_CATEGORY"))
+    fact = gold.fact_sales(sales, gold.dim_product(product))
+    stored = tables.refresh_table(feed.spark, scratch(feed, "gold"), "FACT_SALES", fact)
+    return business.sales_by_year(stored, gold.dim_date(silver.calendar(bronze("CALENDAR"))))
 
 
 def _silver_tables(feed) -> dict[str, DataFrame]:
@@ -183,7 +204,7 @@ def _silver_tables(feed) -> dict[str, DataFrame]:
         "SILVER_PRODUCT_CATEGORY": silver.product_category(feed.raw_category(), feed.raw_subcategory()),
         "SILVER_PRODUCT": silver.product(feed.raw_product(), feed.raw_subcategory(), feed.raw_category()),
         "SILVER_CUSTOMER": feed.customer(),
-        "SILVER_SALES": silver.sales(feed.yearly_sales()),
+        "SILVER_SALES": silver.sales_of_years(feed.sales_of_years()),
         "SILVER_RETURNS": silver.returns(feed.raw_returns()),
         "SILVER_CATEGORY_SALES_UNPIVOT": silver.unpivot_category_sales(feed.raw_category_sales()),
     }
@@ -241,9 +262,15 @@ def report_sink(feed):
     lines = _report_lines(feed)
     datasets = {
         "sales_by_year": reports.sales_by_year(lines),
+        "monthly_trend": reports.monthly_trend(lines),
         "category_revenue": reports.category_revenue(lines),
+        "top_products": reports.top_products(lines),
         "territory": reports.territory(_report_lines(feed, *_PLACE)),
+        "customer_segment": reports.customer_segment(_report_lines(feed, *_SEGMENT)),
+        "returns": reports.returns(lines, feed.raw_returns()),
     }
+    datasets = {name: df.withColumnRenamed("UNITS_RETURNED", "REVENUE") for name, df in datasets.items()}
+    datasets["returns"] = datasets["returns"].withColumn("REVENUE", F.col("REVENUE").cast("decimal(28,2)"))
     written = tables.write_reports(feed.spark, datasets, scratch(feed, "reports"), ("csv", "json", "parquet"))
     read_back = [
         feed.spark.read.format(fmt)
@@ -275,11 +302,11 @@ def mapping_table_insert(feed):
 _STATES = tuple(datetime(year, 1, 1) for year in (1997, 1999, 2001))
 
 
-def _order_snapshots(feed) -> str:
+def _order_snapshots(feed, states=_STATES) -> str:
     """Full states of the orders table: what had been ordered by each date."""
     path = scratch(feed, "snapshots")
     orders = feed.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    for taken in _STATES:
+    for taken in states:
         tables.write_snapshot(orders.filter(F.col("o_orderdate") < F.lit(taken.date())), path, taken)
     return path
 
@@ -291,8 +318,9 @@ def point_in_time_read(feed):
 
 @query
 def retention_filter(feed):
-    stored = feed.spark.read.parquet(_order_snapshots(feed))
-    now = _STATES[-1] + timedelta(days=schemas.RETENTION_DAYS["GOLD"])
+    now = _STATES[-1]
+    taken = [now - timedelta(days=days) for days in (10, 20, 60)]
+    stored = feed.spark.read.parquet(_order_snapshots(feed, taken))
     kept = [
         tables.within_retention(stored, layer, now)
         .groupBy(tables.SNAPSHOT)
@@ -332,7 +360,7 @@ def silver_customer(feed):
 
 @query
 def silver_sales(feed):
-    return silver.sales(feed.yearly_sales())
+    return silver.sales_of_years(feed.sales_of_years())
 
 
 @query
@@ -376,7 +404,7 @@ def fact_sales(feed):
 @query
 def fact_sales_from_silver(feed):
     """Through the cleansing steps: text dates, unknown products."""
-    return gold.fact_sales(silver.sales(feed.yearly_sales()), feed.dim_product)
+    return gold.fact_sales(silver.sales_of_years(feed.sales_of_years()), feed.dim_product)
 
 
 @query
@@ -528,7 +556,7 @@ _SEGMENT = ("OCCUPATION", "GENDER")
 def _report_lines(feed, *wanted: str) -> DataFrame:
     """Report lines with the wanted customer and territory columns."""
     return reports.enrich(
-        feed.yearly_sales(),
+        feed.sales_of_years(),
         feed.raw_customer(),
         feed.raw_product(),
         feed.raw_subcategory(),
@@ -704,13 +732,12 @@ def profile_sample(feed):
 
 @query
 def profile_summary(feed):
-    raw = feed.raw_tables()
-    return profiling.summary({n: raw[n] for n in ("CUSTOMER", "TERRITORY", "CALENDAR", "RETURNS", "SUBCATEGORY")})
+    return profiling.summary(feed.raw_tables())
 
 
 @query
 def profile_table(feed):
-    return profiling.table_profile({n: df for n, df in feed.raw_tables().items() if n != "PRODUCT"})
+    return profiling.table_profile(feed.raw_tables())
 
 
 @query
@@ -733,7 +760,7 @@ def fk_relationship_check(feed):
 
 
 def _messy_fact(feed) -> DataFrame:
-    return gold.fact_sales(silver.sales(feed.yearly_sales()), feed.dim_product)
+    return gold.fact_sales(silver.sales_of_years(feed.sales_of_years()), feed.dim_product)
 
 
 def _dimensions(feed) -> dict[str, DataFrame]:
@@ -772,9 +799,14 @@ def row_count_reconcile(feed):
         "CUSTOMER": feed.raw_customer(),
         "CALENDAR": feed.raw_calendar(),
         "PRODUCT_CATEGORY": feed.raw_category(),
+        "PRODUCT": feed.raw_product(),
+        "SUBCATEGORY": feed.raw_subcategory(),
+        "CATEGORY_SALES_UNPIVOT": feed.raw_category_sales(),
     }
     loaded = {
-        "SALES": silver.sales(feed.yearly_sales()),
+        "PRODUCT": feed.product(),
+        "CATEGORY_SALES_UNPIVOT": silver.unpivot_category_sales(feed.raw_category_sales()),
+        "SALES": silver.sales_of_years(feed.sales_of_years()),
         "RETURNS": silver.returns(feed.raw_returns()),
         "CUSTOMER": feed.customer(),
         "CALENDAR": feed.calendar(),
@@ -940,24 +972,65 @@ def clustered_write(feed):
     return _clustered_fact(feed)
 
 
+@query
+def clustered_tables(feed):
+    """Rows of every table that is stored in an order, read back."""
+    every = {
+        "SILVER_SALES": silver.sales_of_years(feed.sales_of_years()),
+        "DIM_DATE": feed.dim_date,
+        "DIM_CUSTOMER": feed.dim_customer,
+        "DIM_PRODUCT": feed.dim_product,
+        "FACT_SALES": feed.fact_sales(),
+        "FACT_RETURNS": feed.fact_returns(),
+    }
+    root = scratch(feed, "clustered")
+    stored = {name: tables.refresh_table(feed.spark, root, name, df) for name, df in every.items()}
+    counts = [df.agg(F.lit(name).alias("TABLE_NAME"), F.count(F.lit(1)).alias("ROW_COUNT")) for name, df in stored.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def clustering_report(feed):
-    return layout.clustering_report(_clustered_fact(feed), "ORDER_DATE_KEY")
+    """What does not depend on the names and the number of the files."""
+    files = layout.clustering_report(_clustered_fact(feed), "ORDER_DATE_KEY")
+    return files.agg(
+        F.sum("ROW_COUNT").alias("ROW_COUNT"),
+        F.min("MIN_KEY").alias("MIN_KEY"),
+        F.max("MAX_KEY").alias("MAX_KEY"),
+        F.bool_and(F.col("OVERLAPS").between(0, F.lit(1_000_000))).alias("COUNTED"),
+    )
+
+
+def _stored(feed, name: str, df: DataFrame) -> DataFrame:
+    return tables.refresh_table(feed.spark, scratch(feed, "lookup"), name, df)
 
 
 @query
 def point_lookup(feed):
-    return layout.point_lookup(feed.fact_sales(), "ORDER_NUMBER", 42)
+    return layout.point_lookup(_stored(feed, "FACT_SALES", feed.fact_sales()), "ORDER_NUMBER", 42)
 
 
 @query
 def point_lookup_customer(feed):
-    return layout.point_lookup(feed.dim_customer, "EMAIL_ADDRESS", "customer000000007@example.com")
+    found = _stored(feed, "DIM_CUSTOMER", feed.dim_customer)
+    return layout.point_lookup(found, "EMAIL_ADDRESS", "customer000000007@example.com")
+
+
+@query
+def point_lookup_customer_name(feed):
+    return layout.point_lookup(_stored(feed, "DIM_CUSTOMER", feed.dim_customer), "FULL_NAME", "Customer 000000007")
 
 
 @query
 def point_lookup_product(feed):
-    return layout.point_lookup(feed.dim_product, "PRODUCT_SKU", "SKU-11")
+    return layout.point_lookup(_stored(feed, "DIM_PRODUCT", feed.dim_product), "PRODUCT_SKU", "SKU-11")
+
+
+@query
+def point_lookup_product_name(feed):
+    product = feed.dim_product
+    name = product.agg(F.min("PRODUCT_NAME")).first()[0]
+    return layout.point_lookup(_stored(feed, "DIM_PRODUCT", product), "PRODUCT_NAME", name)
 
 
 @query

@@ -37,4 +37,5 @@ def or_default(text: Column, default: str, missing: str | None = None) -> Column
 
 
 def is_blank(value: Column) -> Column:
-    return F.coalesce(F.trim(value.cast("string")), F.lit("")) == ""
+    """Null, empty, or nothing but white space of any kind."""
+    return ~F.coalesce(value.cast("string"), F.lit("")).rlike(r"(?U)\S")

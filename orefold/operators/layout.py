@@ -31,8 +31,8 @@ def clustered_write(
 def clustering_report(table: DataFrame, key: str) -> DataFrame:
     """Key range of each file and how many other files overlap it.
 
-    A file misses another if it ends before the other starts. Both counts come from positions in the sorted list of
-    ranges, not from comparing files with each other. The window sorts one row per file.
+    A file misses another if it ends before the other starts. Both counts come from running totals over the distinct
+    bounds, not from comparing files with each other; files are counted per bound before the window.
     """
     ranges = (
         table.groupBy(F.col("_metadata.file_path").alias("FILE_PATH"))
@@ -42,11 +42,16 @@ def clustering_report(table: DataFrame, key: str) -> DataFrame:
     starts = F.struct(F.col("MIN_KEY").alias("AT"), F.lit(1).alias("KIND"))
     ends = F.struct(F.col("MAX_KEY").alias("AT"), F.lit(2).alias("KIND"))
     edges = ranges.select("*", F.explode(F.array(starts, ends)).alias("EDGE")).select("*", "EDGE.*").drop("EDGE")
-    until_here = W.orderBy("AT").rangeBetween(W.unboundedPreceding, W.currentRow)
-    started = F.sum(F.when(F.col("KIND") == 1, 1).otherwise(0)).over(until_here)
-    ended = F.sum(F.when(F.col("KIND") == 2, 1).otherwise(0)).over(until_here)
-    ended_here = F.sum(F.when(F.col("KIND") == 2, 1).otherwise(0)).over(W.partitionBy("AT"))
-    counted = edges.withColumns({"STARTED": started, "ENDED_BEFORE": ended - ended_here})
+    at_bound = edges.groupBy("AT").agg(
+        F.count_if(F.col("KIND") == 1).alias("STARTS"), F.count_if(F.col("KIND") == 2).alias("ENDS")
+    )
+    until_here = W.orderBy("AT").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = at_bound.select(
+        "AT",
+        F.sum("STARTS").over(until_here).alias("STARTED"),
+        (F.sum("ENDS").over(until_here) - F.col("ENDS")).alias("ENDED_BEFORE"),
+    )
+    counted = edges.join(totals, "AT")
     return counted.groupBy("FILE_PATH", "MIN_KEY", "MAX_KEY", "ROW_COUNT").agg(
         (
             F.max(F.when(F.col("KIND") == 2, F.col("STARTED")))

@@ -41,7 +41,7 @@ def _blank_count(column: Column) -> Column:
 
 def _all_numbers(column: Column) -> Column:
     return F.coalesce(
-        F.bool_and(text.is_blank(column) | F.trim(column.cast("string")).rlike(NUMBER_PATTERN)), F.lit(True)
+        F.bool_and(text.is_blank(column) | F.regexp_replace(column.cast("string"), r"(?U)^\s+|\s+$", "").rlike(NUMBER_PATTERN)), F.lit(True)
     )
 
 
@@ -103,25 +103,52 @@ def duplicate_groups(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequenc
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
 
-def unmatched_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows of ``child`` whose key is null or not in ``parent``, as one ORPHAN_ROWS value.
+def _labelled(keys: Mapping[str, Column]) -> Column:
+    """One row per label: LABEL, KEY."""
+    return F.inline(
+        F.array(*[F.struct(F.lit(label).alias("LABEL"), key.cast("string").alias("KEY")) for label, key in keys.items()])
+    )
+
 
-    Rows are counted per key before the join, so a key that repeats often costs no more than any other.
+def unmatched_rows(
+    children: Sequence[tuple[DataFrame, Mapping[str, Column]]], parents: Sequence[tuple[DataFrame, Mapping[str, Column]]]
+) -> DataFrame:
+    """Rows whose key under a label is null or not among the parents' keys under that label: LABEL, ORPHAN_ROWS.
+
+    Each table is read once for all its labels. Rows are counted per label and key before the join, so a key that
+    repeats often costs no more than any other.
     """
-    keys = child.groupBy(F.col(child_key).alias("KEY")).agg(F.count(F.lit(1)).alias("COPIES"))
-    known = parent.select(F.col(parent_key).alias("KEY"))
-    return keys.join(known, "KEY", "left_anti").agg(F.coalesce(F.sum("COPIES"), F.lit(0)).alias("ORPHAN_ROWS"))
+    labels = [label for _, keys in children for label in keys]
+    counts = reduce(
+        DataFrame.unionByName,
+        [df.select(_labelled(keys)).groupBy("LABEL", "KEY").agg(F.count(F.lit(1)).alias("COPIES")) for df, keys in children],
+    )
+    known = reduce(DataFrame.unionByName, [df.select(_labelled(keys)) for df, keys in parents])
+    per_label = F.array(
+        *[
+            F.struct(
+                F.lit(label).alias("LABEL"),
+                F.coalesce(F.sum(F.when(F.col("LABEL") == label, F.col("COPIES"))), F.lit(0)).alias("ORPHAN_ROWS"),
+            )
+            for label in labels
+        ]
+    )
+    missing = counts.join(known, ["LABEL", "KEY"], "left_anti")
+    return missing.agg(per_label.alias("FOUND")).select(F.inline("FOUND"))
 
 
 def foreign_key_report(tables: Mapping[str, DataFrame], edges: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Unmatched rows per declared reference between tables."""
-
-    def one(child: str, child_key: str, parent: str, parent_key: str) -> DataFrame:
+    """Unmatched rows per declared reference between tables; each table is read once as child and once as parent."""
+    children: dict[str, dict[str, Column]] = {}
+    parents: dict[str, dict[str, Column]] = {}
+    for child, child_key, parent, parent_key in edges:
         edge = f"{child}.{child_key} -> {parent}.{parent_key}"
-        found = unmatched_rows(tables[child], child_key, tables[parent], parent_key)
-        return found.select(F.lit(edge).alias("EDGE"), "ORPHAN_ROWS")
-
-    return reduce(DataFrame.unionByName, [one(*edge) for edge in edges])
+        children.setdefault(child, {})[edge] = F.col(child_key)
+        parents.setdefault(parent, {})[edge] = F.col(parent_key)
+    found = unmatched_rows(
+        [(tables[name], keys) for name, keys in children.items()], [(tables[name], keys) for name, keys in parents.items()]
+    )
+    return found.withColumnRenamed("LABEL", "EDGE")
 
 
 def reconcile(sources: Mapping[str, DataFrame], loaded: Mapping[str, DataFrame]) -> DataFrame:

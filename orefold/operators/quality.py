@@ -25,12 +25,22 @@ NULL_ORDER_DATE = "NULL ORDER_DATE_KEY in FACT_SALES"
 
 def orphans(fact_sales: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows without a dimension row per key column; ``dimensions`` maps the key column to its table."""
+    return _checked(fact_sales, dimensions, {})
 
-    def one(key: str, dimension: DataFrame) -> DataFrame:
-        found = unmatched_rows(fact_sales, key, dimension, key)
-        return found.select(F.lit(ORPHAN_CHECKS[key]).alias("CHECK_NAME"), F.col("ORPHAN_ROWS").alias("FAILED_ROWS"))
 
-    return reduce(DataFrame.unionByName, [one(key, dim) for key, dim in dimensions.items()])
+_PASSED = "PASSED"
+
+
+def _checked(fact_sales: DataFrame, dimensions: Mapping[str, DataFrame], rows: Mapping[str, Column]) -> DataFrame:
+    """Key checks and row conditions in one pass over the fact: a row that meets a condition has no key for it."""
+    keys = {ORPHAN_CHECKS[key]: F.col(key) for key in dimensions}
+    conditions = {name: F.when(F.coalesce(condition, F.lit(False)), None).otherwise(_PASSED) for name, condition in rows.items()}
+    known = [(dimension, {ORPHAN_CHECKS[key]: F.col(key)}) for key, dimension in dimensions.items()]
+    if rows:
+        passed = fact_sales.sparkSession.range(1)
+        known.append((passed, {name: F.lit(_PASSED) for name in rows}))
+    found = unmatched_rows([(fact_sales, {**keys, **conditions})], known)
+    return found.select(F.col("LABEL").alias("CHECK_NAME"), F.col("ORPHAN_ROWS").alias("FAILED_ROWS"))
 
 
 def _row_checks(fact_sales: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -53,12 +63,12 @@ def null_order_date(fact_sales: DataFrame) -> DataFrame:
 
 
 def report(fact_sales: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """All checks with PASS or WARN each, and whether all passed."""
-    rows = _row_checks(
+    """All checks with PASS or WARN each, and whether all passed; one pass over the fact."""
+    checked = _checked(
         fact_sales,
+        dimensions,
         {NEGATIVE_REVENUE: F.col("GROSS_REVENUE") < 0, NULL_ORDER_DATE: F.col("ORDER_DATE_KEY").isNull()},
     )
-    checked = orphans(fact_sales, dimensions).unionByName(rows)
     verdicts = checked.agg(F.collect_list(F.struct("CHECK_NAME", "FAILED_ROWS")).alias("CHECKS"))
     all_passed = F.forall("CHECKS", lambda c: c["FAILED_ROWS"] == 0)
     return verdicts.select(all_passed.alias("ALL_PASSED"), F.inline("CHECKS")).withColumn(
@@ -86,22 +96,24 @@ def required_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items() if schemas.required_columns(name)])
 
 
-_MEDIAN_BUCKET = 1_000
+_MEDIAN_BUCKETS = 10_000
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """Exact median of a whole-number column as one MEDIAN value, without bringing all values together.
 
-    Values are counted, counts are added up per bucket of 1,000 neighbouring values, and only the buckets that hold
-    the middle positions are looked into. The one window without a partition runs over bucket totals.
+    Values are counted, counts are added up over at most 10,000 buckets of equal width between the smallest and the
+    largest value, and only the buckets that hold the middle positions are looked into. The one window without a
+    partition runs over bucket totals.
     """
     value = F.col(column)
-    counts = (
-        df.filter(value.isNotNull())
-        .groupBy(value.cast("long").alias("VALUE"))
-        .agg(F.count(F.lit(1)).alias("COPIES"))
-        .withColumn("BUCKET", F.floor(F.col("VALUE") / _MEDIAN_BUCKET))
+    copies = (
+        df.filter(value.isNotNull()).groupBy(value.cast("long").alias("VALUE")).agg(F.count(F.lit(1)).alias("COPIES"))
     )
+    span = copies.agg(F.min("VALUE").alias("LOW"), F.max("VALUE").alias("HIGH"))
+    low_value = span.select("LOW").scalar()
+    width = span.select(F.floor((F.col("HIGH") - F.col("LOW")) / _MEDIAN_BUCKETS) + 1).scalar()
+    counts = copies.withColumn("BUCKET", F.floor((F.col("VALUE") - low_value) / width))
     by_bucket = counts.groupBy("BUCKET").agg(F.sum("COPIES").alias("IN_BUCKET"))
     up_to = W.orderBy("BUCKET").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = by_bucket.select(

@@ -118,7 +118,16 @@ def customer(raw: DataFrame, as_of: date | None = None) -> DataFrame:
     )
 
 
-def _year_of_sales(raw: DataFrame, year: int) -> DataFrame:
+FILE_YEAR = "FILE_YEAR"
+
+
+def stack_years(yearly: Sequence[tuple[int, DataFrame]]) -> DataFrame:
+    """Yearly raw tables under one another, with the year of the file as a column."""
+    return reduce(DataFrame.unionByName, [raw.withColumn(FILE_YEAR, F.lit(year)) for year, raw in yearly])
+
+
+def sales_of_years(raw: DataFrame) -> DataFrame:
+    """Raw sales of all years with their FILE_YEAR; repeated order lines stay repeated."""
     ordered, stocked = parse_date(F.col("ORDERDATE")), parse_date(F.col("STOCKDATE"))
     return raw.filter(F.col("ORDERNUMBER").isNotNull()).select(
         F.col("ORDERNUMBER").alias("ORDER_NUMBER"),
@@ -130,14 +139,14 @@ def _year_of_sales(raw: DataFrame, year: int) -> DataFrame:
         F.col("CUSTOMERKEY").alias("CUSTOMER_KEY"),
         F.col("TERRITORYKEY").alias("TERRITORY_KEY"),
         F.coalesce(F.col("ORDERQUANTITY"), F.lit(0)).cast("long").alias("ORDER_QUANTITY"),
-        F.lit(year).alias("SALES_YEAR"),
+        F.col(FILE_YEAR).alias("SALES_YEAR"),
         F.col("SOURCE_FILE"),
     )
 
 
 def sales(yearly: Sequence[tuple[int, DataFrame]]) -> DataFrame:
-    """All yearly sales tables under one another; repeated order lines stay repeated."""
-    return reduce(DataFrame.unionByName, [_year_of_sales(raw, year) for year, raw in yearly])
+    """All yearly sales tables under one another."""
+    return sales_of_years(stack_years(yearly))
 
 
 def returns(raw: DataFrame) -> DataFrame:

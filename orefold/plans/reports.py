@@ -6,7 +6,7 @@ Functions ending in ``_sql`` are the variants computed from the star schema; the
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orefold.functions import bands, dates, numbers
 from orefold.operators import returns as return_totals
+from orefold.operators import silver
 from orefold.plans.common import (
     amounts,
     largest_first,
@@ -43,8 +44,14 @@ def _number(column: str) -> Column:
     return F.coalesce(F.expr(f"try_cast({column} AS DECIMAL(12,4))"), F.lit(0)).cast("decimal(12,4)").alias(column)
 
 
+def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """The smallest row of each key, so that a lookup with repeated keys multiplies no line."""
+    rest = [c for c in lookup.columns if c != key]
+    return lookup.groupBy(key).agg(F.min(F.struct(*rest)).alias("ROW")).select(key, "ROW.*").select(*lookup.columns)
+
+
 def enrich(
-    yearly: Sequence[tuple[int, DataFrame]],
+    sales: DataFrame,
     customers: DataFrame,
     products: DataFrame,
     subcategories: DataFrame,
@@ -52,26 +59,21 @@ def enrich(
     territories: DataFrame,
     wanted: Collection[str] | None = None,
 ) -> DataFrame:
-    """Sales lines of all years with lookups, measures, month and report price tier.
+    """Sales lines of all years (raw rows with their FILE_YEAR) with lookups, measures, month and report price tier.
 
     Lookups that do not match leave nulls; a missing price, cost or quantity counts as 0. ``wanted`` names the customer
-    and territory columns needed, all by default; a lookup that supplies none of them is not joined. Lookup keys are
-    unique, so this saves a shuffle of the lines and changes no row.
+    and territory columns needed, all by default; a lookup that supplies none of them is not joined, which saves a
+    shuffle of the lines. It changes no row because keys of customers and territories have to be unique:
+    ``profiling.duplicate_groups`` reports those that are not, ``one_per_key`` reduces such a lookup.
     """
-    sales = reduce(
-        DataFrame.unionByName,
-        [
-            raw.select(
-                "ORDERNUMBER",
-                "ORDERDATE",
-                _key("CUSTOMERKEY"),
-                _key("PRODUCTKEY"),
-                _key("TERRITORYKEY"),
-                "ORDERQUANTITY",
-                F.lit(year).alias("YEAR"),
-            )
-            for year, raw in yearly
-        ],
+    sales = sales.select(
+        "ORDERNUMBER",
+        "ORDERDATE",
+        _key("CUSTOMERKEY"),
+        _key("PRODUCTKEY"),
+        _key("TERRITORYKEY"),
+        "ORDERQUANTITY",
+        F.col(silver.FILE_YEAR).alias("YEAR"),
     )
     category_names = subcategories.select(_key("PRODUCTSUBCATEGORYKEY"), _key("PRODUCTCATEGORYKEY")).join(
         categories.select(_key("PRODUCTCATEGORYKEY"), "CATEGORYNAME"), "PRODUCTCATEGORYKEY", "left"

@@ -1,18 +1,12 @@
-"""Session settings that depend on the data size, and the shared scratch folder."""
+"""Session settings, and the shared scratch folder."""
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# A query shuffles a few columns of what it reads, so 1 GiB of input leaves shuffle partitions of some 100 MB. Beyond
-# the upper bound the number of blocks (map tasks times partitions) costs more than larger partitions do.
-INPUT_BYTES_PER_PARTITION = 1024**3
-MOST_PARTITIONS = 40_000
-
 # Skewed join partitions are split even where that costs one more shuffle of the result: a hot order
 # or product must never pin a third of the fact to one task.
 ADAPTIVE = {
@@ -40,23 +34,14 @@ def local_session(cpus: int | str = "*", app: str = "orefold", **conf: str) -> S
     return spark
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total file size below ``path`` on whatever file system holds it."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
-def prepare(spark: SparkSession, path: str) -> SparkSession:
-    """Turn on adaptive execution and give shuffles enough partitions for the input at ``path``.
+def prepare(spark: SparkSession) -> SparkSession:
+    """Turn on adaptive execution.
 
-    The partition count is only ever raised; adaptive execution merges what turns out to be small.
+    The number of shuffle partitions is the session's: a cluster sets it, or the first number of adaptive execution
+    (spark.sql.adaptive.coalescePartitions.initialPartitionNum), from what it shuffles; small partitions are merged.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
-    wanted = min(math.ceil(input_bytes(spark, path) / INPUT_BYTES_PER_PARTITION), MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 

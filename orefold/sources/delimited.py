@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,10 @@ _DROPPED = str.maketrans({" ": "_", "(": None, ")": None})
 
 @dataclass(frozen=True)
 class Format:
-    """How a delimited file is written. The defaults are those of the source files."""
+    """How a delimited file is written. The defaults are those of the source files.
+
+    ``multi_line`` accepts line breaks inside quotes; a file read that way cannot be split over tasks.
+    """
 
     delimiter: str = ","
     quote: str = '"'
@@ -31,6 +34,7 @@ class Format:
     encoding: str = UTF8
     trim: bool = True
     null_tokens: tuple[str, ...] = text.NULL_TOKENS
+    multi_line: bool = False
 
     def reader(self, spark: SparkSession):
         return (
@@ -39,13 +43,19 @@ class Format:
             .option("quote", self.quote)
             .option("escape", self.quote)
             .option("encoding", self.encoding)
+            .option("multiLine", self.multi_line)
             .option("ignoreLeadingWhiteSpace", self.trim)
             .option("ignoreTrailingWhiteSpace", self.trim)
         )
 
 
 def normalized_name(header: str) -> str:
-    return header.translate(_DROPPED).upper()
+    return header.removeprefix("\ufeff").strip().translate(_DROPPED).upper()
+
+
+def file_name(encoded: Column) -> Column:
+    """Name of a file as it is; a plus sign stays one, only percent codes are decoded."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -56,7 +66,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def add_audit_columns(df: DataFrame) -> DataFrame:
     """Load time and file name; for a frame read from files."""
     return df.withColumns(
-        {"LOAD_TIMESTAMP": F.localtimestamp(), "SOURCE_FILE": F.url_decode(F.col("_metadata.file_name"))}
+        {"LOAD_TIMESTAMP": F.localtimestamp(), "SOURCE_FILE": file_name(F.col("_metadata.file_name"))}
     )
 
 
@@ -117,10 +127,52 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return UTF8 if invalid.isEmpty() else LATIN1
 
 
+def inspected(spark: SparkSession, path: str, fmt: Format = Format()) -> Format:
+    """``fmt`` with the encoding of the file, and with ``multi_line`` if some line has an odd number of quotes.
+
+    One pass over the lines; the encoding is UTF-8 if all are valid, otherwise Latin-1.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(fmt.quote), F.lit("")))
+    found = spark.read.text(path).agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.bool_or(quotes % 2 == 1).alias("open")
+    ).first()
+    encoding = LATIN1 if found["valid"] is False else UTF8
+    return replace(fmt, encoding=encoding, multi_line=fmt.multi_line or bool(found["open"]))
+
+
+MISFIT = "_MISFIT"
+
+
+def scan_declared(spark: SparkSession, path: str, schema: StructType, fmt: Format = Format()) -> DataFrame:
+    """Declared columns by the normalised names of the header, audit columns, and whether a value of the row did not fit.
+
+    The order of the columns in the file does not matter and further columns are ignored. A missing or ambiguous
+    declared column is an error, and so is a file whose header differs from that of the others at ``path``.
+    """
+    header = fmt.reader(spark).csv(path).columns
+    names = [normalized_name(name) for name in header]
+    wrong = [f.name for f in schema.fields if names.count(f.name) != 1]
+    if wrong:
+        raise ValueError(f"columns missing or repeated in the header: {', '.join(wrong)}")
+    by_position = StructType([StructField(name, StringType(), True) for name in header])
+    raw = fmt.reader(spark).option("enforceSchema", False).schema(by_position).csv(path)
+    picked = raw.select(
+        *[F.col("`" + header[names.index(f.name)].replace("`", "``") + "`").alias(f.name) for f in schema.fields],
+        "_metadata.file_name",
+    )
+    unfit = F.lit(False)
+    for field in schema.fields:
+        if not isinstance(field.dataType, StringType):
+            value = _token_to_null(F.col(field.name), fmt.null_tokens)
+            unfit = unfit | (value.isNotNull() & value.try_cast(field.dataType).isNull())
+    return picked.select(
+        *[_typed(f, fmt) for f in schema.fields],
+        F.localtimestamp().alias("LOAD_TIMESTAMP"),
+        file_name(F.col("file_name")).alias("SOURCE_FILE"),
+        unfit.alias(MISFIT),
+    )
+
+
 def scan_table(spark: SparkSession, path: str, schema: StructType, fmt: Format = Format()) -> DataFrame:
-    """Raw table: declared columns plus audit columns."""
-    raw = fmt.reader(spark).schema(_as_text(nullable(schema))).csv(path)
-    typed = raw.select(*[_typed(f, fmt) for f in schema.fields], "_metadata.file_name")
-    return typed.withColumns(
-        {"LOAD_TIMESTAMP": F.localtimestamp(), "SOURCE_FILE": F.url_decode("file_name")}
-    ).drop("file_name")
+    """Raw table: declared columns plus audit columns, in the encoding of the file."""
+    return scan_declared(spark, path, nullable(schema), inspected(spark, path, fmt)).drop(MISFIT)

@@ -111,8 +111,12 @@ class StarFeed:
             key, F.col("p_brand").alias("SUBCATEGORYNAME"), F.col("category_key").alias("PRODUCTCATEGORYKEY")
         ).distinct()
 
-    @_kept
     def raw_product(self) -> DataFrame:
+        return self._named_product().select(*schemas.BRONZE["BRONZE_PRODUCT"].names)
+
+    @_kept
+    def _named_product(self) -> DataFrame:
+        """The raw table with the names that its lookups would give."""
         key = F.col("p_partkey")
         price = (F.col("p_retailprice").cast("decimal(12,4)") * F.col("p_size") * F.lit("0.04").cast("decimal(2,2)")).cast(
             "decimal(12,4)"
@@ -209,6 +213,14 @@ class StarFeed:
     def yearly_sales(self) -> list[tuple[int, DataFrame]]:
         return [(year, self.raw_sales(flag)) for flag, year in YEAR_OF_FLAG.items()]
 
+    @_kept
+    def sales_of_years(self) -> DataFrame:
+        """The yearly files under one another, from one scan, with the year as a column."""
+        year = F.lit(None).cast("int")
+        for flag, number in YEAR_OF_FLAG.items():
+            year = F.when(F.col("SOURCE_FILE") == f"sales-{flag}.csv", number).otherwise(year)
+        return self.raw_sales().withColumn(silver.FILE_YEAR, year).filter(F.col(silver.FILE_YEAR).isNotNull())
+
     @_kept
     def raw_returns(self) -> DataFrame:
         """Some returns name an unknown product, some have a date that does not parse."""
@@ -246,9 +258,11 @@ class StarFeed:
         )
 
     def raw_tables(self) -> dict[str, DataFrame]:
-        """By the short names of the reference list."""
+        """By short names; SALES stands for all years."""
         return {
             "SALES": self.raw_sales(),
+            **{f"SALES_{year}": df for year, df in self.yearly_sales()},
+            "CATEGORY_SALES_UNPIVOT": self.raw_category_sales(),
             "CUSTOMER": self.raw_customer(),
             "PRODUCT": self.raw_product(),
             "TERRITORY": self.raw_territory(),
@@ -279,7 +293,7 @@ class StarFeed:
     @_kept
     def product(self) -> DataFrame:
         """Category names straight from the part row instead of the lookup tables."""
-        named = self.raw_product().withColumns(
+        named = self._named_product().withColumns(
             {"SUBCATEGORYNAME": F.col("p_brand"), "CATEGORYNAME": F.col("p_type"), "CATEGORY_KEY": F.col("part_category")}
         )
         return silver.named_product(named)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from time import monotonic
+from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orefold import schemas
 from orefold.operators import layout
@@ -18,7 +20,7 @@ from orefold.sources import delimited
 SNAPSHOT = "snapshot_ts"
 _SNAPSHOT_FORMAT = "%Y%m%d%H%M%S"
 
-LOAD_REPORT_DDL = "TABLE_NAME string, STATUS string, ROW_COUNT long, ERROR string"
+LOAD_REPORT_DDL = "TABLE_NAME string, STATUS string, ROW_COUNT long, MISFIT_ROWS long, ERROR string"
 LOADED, SKIPPED, FAILED = "LOADED", "SKIPPED", "FAILED"
 
 
@@ -27,42 +29,82 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of the table; until then the old state stays readable."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, aside = make(staged), make(path), make(f"{staged}-old")
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.rename(old, aside)
+    if not fs.rename(new, old):
+        if fs.exists(aside):
+            fs.rename(aside, old)
+        raise OSError(f"{staged} could not be moved to {path}")
+    fs.delete(aside, True)
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}-{uuid4().hex}"
+
+
 def full_refresh(df: DataFrame, path: str) -> int:
-    """Replace the stored table; returns the rows written, counted while writing."""
-    rows = Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("ROW_COUNT")).write.mode("overwrite").parquet(path)
+    """Replace the stored table once the new state is written; returns the rows, counted while writing.
+
+    A failed write leaves the table as it was, and ``df`` may read the table that it replaces.
+    """
+    rows, staged = Observation(), _staged(path)
+    df.observe(rows, F.count(F.lit(1)).alias("ROW_COUNT")).write.parquet(staged)
+    _swap(df.sparkSession, staged, path)
     return rows.get["ROW_COUNT"]
 
 
+def load_table(spark: SparkSession, source: str, path: str, schema: StructType, fmt: delimited.Format) -> tuple[int, int]:
+    """Load one file into its raw table; returns its rows and those with a value that did not fit, counted while writing."""
+    raw = delimited.scan_declared(spark, source, schemas.nullable(schema), delimited.inspected(spark, source, fmt))
+    rows, staged = Observation(), _staged(path)
+    counted = raw.observe(
+        rows, F.count(F.lit(1)).alias("ROW_COUNT"), F.count_if(delimited.MISFIT).alias("MISFIT_ROWS")
+    )
+    counted.drop(delimited.MISFIT).write.parquet(staged)
+    _swap(spark, staged, path)
+    return rows.get["ROW_COUNT"], rows.get["MISFIT_ROWS"]
+
+
 def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
     """Build a table from its query and read it back; clustered tables are written in their order."""
     path = f"{root}/{name}"
+    staged = _staged(path)
     keys = schemas.CLUSTER_KEYS.get(name)
     if keys:
-        layout.clustered_write(df, path, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))
+        layout.clustered_write(df, staged, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(staged)
+    _swap(spark, staged, path)
     return spark.read.parquet(path)
 
 
 def load_sources(
-    spark: SparkSession, folder: str, root: str, registry: Mapping[str, str] = schemas.SOURCE_FILES
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    registry: Mapping[str, str] = schemas.SOURCE_FILES,
+    fmt: delimited.Format = delimited.Format(),
 ) -> DataFrame:
     """Load every registered file into its raw table; a missing or broken file does not stop the others.
 
-    Returns one report row per table.
+    Columns are found by header, the encoding is that of the file. Returns one report row per table, with the rows in
+    which a value did not fit its type (such values are null in the table).
     """
     report = []
     for file_name, table in registry.items():
         path = f"{folder}/{file_name}"
         if not exists(spark, path):
-            report.append((table, SKIPPED, 0, "file not found"))
+            report.append((table, SKIPPED, 0, 0, "file not found"))
             continue
         try:
-            raw = delimited.scan_table(spark, path, schemas.BRONZE[table])
-            report.append((table, LOADED, full_refresh(raw, f"{root}/{table}"), None))
-        except (PySparkException, Py4JJavaError) as error:
-            report.append((table, FAILED, 0, str(error).split("\n\tat ", 1)[0]))
+            report.append((table, LOADED, *load_table(spark, path, f"{root}/{table}", schemas.BRONZE[table], fmt), None))
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            report.append((table, FAILED, 0, 0, str(error).split("\n\tat ", 1)[0]))
     return spark.createDataFrame(report, LOAD_REPORT_DDL)
 
 
@@ -82,9 +124,12 @@ def write_snapshot(df: DataFrame, path: str, taken: datetime) -> None:
 
 
 def _latest(spark: SparkSession, path: str, upto: datetime) -> int | None:
-    """Newest snapshot not after ``upto``. Reads partition values only and returns one number to the driver."""
-    stamps = spark.read.parquet(path).select(SNAPSHOT).filter(F.col(SNAPSHOT) <= int(upto.strftime(_SNAPSHOT_FORMAT)))
-    return stamps.agg(F.max(SNAPSHOT)).first()[0]
+    """Newest snapshot not after ``upto``, from the names of the partition folders; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in listed]
+    stamps = [int(name.partition("=")[2]) for name in names if name.startswith(f"{SNAPSHOT}=")]
+    return max((stamp for stamp in stamps if stamp <= int(upto.strftime(_SNAPSHOT_FORMAT))), default=None)
 
 
 def read_as_of(spark: SparkSession, path: str, moment: datetime) -> DataFrame:

@@ -65,6 +65,68 @@ def test_load_report_goes_on_after_missing_and_broken_files(spark, tmp_path):
     assert dict(stored.dtypes)["LOAD_TIMESTAMP"] == "timestamp_ntz"
 
 
+LOADED = {"t.csv": "BRONZE_TERRITORY"}
+
+
+def load(spark, tmp_path, content, encoding="utf-8", registry=LOADED):
+    put(tmp_path, next(iter(registry)), content, encoding)
+    (report,) = tables.load_sources(spark, str(tmp_path), str(tmp_path / "bronze"), registry).collect()
+    if report.STATUS != "LOADED":
+        return report, []
+    stored = spark.read.parquet(str(tmp_path / "bronze" / report.TABLE_NAME))
+    return report, sorted((tuple(r)[:4] for r in stored.collect()), key=str)
+
+
+def test_load_finds_columns_by_header(spark, tmp_path):
+    report, rows = load(
+        spark, tmp_path, "Region, Country ,Extra,Continent,SalesTerritoryKey\nr,c,x,k,1\ns,d,y,l,2\n"
+    )
+    assert rows == [(1, "r", "c", "k"), (2, "s", "d", "l")] and report.MISFIT_ROWS == 0
+
+
+def test_load_fails_without_a_declared_column(spark, tmp_path):
+    report, _ = load(spark, tmp_path, "SalesTerritoryKey,Region\n1,r\n")
+    assert (report.STATUS, report.ROW_COUNT) == ("FAILED", 0)
+    assert "COUNTRY" in report.ERROR and "CONTINENT" in report.ERROR
+    report, _ = load(spark, tmp_path, "")
+    assert report.STATUS == "FAILED"
+
+
+def test_load_accepts_quoted_line_breaks(spark, tmp_path):
+    _, rows = load(spark, tmp_path, 'SalesTerritoryKey,Region,Country,Continent\n1,"a\nb",c,d\n2,e,f,g\n')
+    assert rows == [(1, "a\nb", "c", "d"), (2, "e", "f", "g")]
+
+
+def test_load_takes_the_encoding_of_the_file(spark, tmp_path):
+    _, rows = load(spark, tmp_path, "SalesTerritoryKey,Region,Country,Continent\n1,José,c,d\n", "latin-1")
+    assert rows == [(1, "José", "c", "d")]
+
+
+def test_load_counts_rows_with_values_that_do_not_fit(spark, tmp_path):
+    content = "SalesTerritoryKey,Region,Country,Continent\nx,a,b,c\n2,a,b,c\nN/A,a,b,c\n"
+    report, rows = load(spark, tmp_path, content)
+    assert (report.STATUS, report.ROW_COUNT, report.MISFIT_ROWS) == ("LOADED", 3, 1)
+
+
+@pytest.mark.parametrize("name", ["a+b.csv", "a b.csv", "a%41.csv", "a+b%20c d.csv"])
+def test_source_file_is_the_name_as_it_is(spark, tmp_path, name):
+    content = "SalesTerritoryKey,Region,Country,Continent\n1,a,b,c\n"
+    load(spark, tmp_path, content, registry={name: "BRONZE_TERRITORY"})
+    assert spark.read.parquet(str(tmp_path / "bronze" / "BRONZE_TERRITORY")).first().SOURCE_FILE == name
+
+
+def test_refresh_may_read_the_table_it_replaces_and_keeps_it_on_failure(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.full_refresh(spark.range(5), path)
+    tables.full_refresh(spark.read.parquet(path).unionByName(spark.range(5, 7)), path)
+    assert spark.read.parquet(path).count() == 7
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.full_refresh(failing, path)
+    spark.catalog.refreshByPath(path)
+    assert spark.read.parquet(path).count() == 7
+
+
 def test_full_refresh_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.full_refresh(spark.range(10), path) == 10
