@@ -4,7 +4,7 @@ A text has one feature per word occurrence (value 1 / number of words) and a fix
 bars, exclamation marks, capitals and digits, word length, repeated words and lines, size, and the declared number of
 characters against the found one. Every feature has a weight and a vector of ``RANK`` numbers; a pair of features adds the
 product of their vectors. The sum over all pairs is half of (sum of vectors) squared minus the sum of squares, so scoring
-is linear in the words. Learning uses at most ``PER_LABEL`` labelled texts per label, whole, with Adam steps over
+is linear in the words. Learning uses at most ``PER_LABEL`` labelled texts per label, whole, with adaptive steps over
 mini-batches. Null and empty texts have only statistics (all 0 but a mark for "no words"). Without labelled texts of both
 labels every score is the share of label 1 (0 without any).
 """
@@ -27,7 +27,7 @@ THRESHOLD = 0.3
 PER_LABEL = 1500
 WIDTH = 1 << 16
 RANK = 8
-EPOCHS, BATCH, RATE, L2 = 10, 128, 0.02, 1e-4
+EPOCHS, STEPS, BATCH, RATE, L2 = 10, 400, 64, 0.02, 1e-4
 
 STATISTICS = (
     "symbols", "bars", "exclamations", "capitals", "digits", "word_length", "repeated_words", "repeated_lines", "lines",
@@ -106,8 +106,11 @@ class Model:
         return np.concatenate(scores) if scores else np.zeros(0)
 
 
-def fit(rows: list[np.ndarray], table: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
-    """Adam over mini-batches on the log loss with L2; only touched rows of the word vectors move."""
+def fit(rows: list[np.ndarray], table: np.ndarray, labels: np.ndarray) -> Model:
+    """Adaptive steps over mini-batches (``EPOCHS`` times all rows, ``STEPS`` at least) on the log loss with L2.
+
+    Only touched rows of the word vectors move.
+    """
     share = float(labels.mean()) if len(labels) else 0.0
     rng = np.random.default_rng(7)
     size = WIDTH + N_STATISTICS
@@ -117,6 +120,7 @@ def fit(rows: list[np.ndarray], table: np.ndarray, labels: np.ndarray, epochs: i
     bias = float(np.log(share / (1 - share)))
     spread = np.zeros((size, RANK + 1))
     bias_spread = 0.0
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(rows)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs) + RATE / 20
         for batch in np.array_split(rng.permutation(len(rows)), -(-len(rows) // BATCH)):

@@ -31,7 +31,7 @@ WIDTH = 1 << 20
 LEAST_DOCUMENTS = 4
 LEAST_SHARE = 0.002
 LEAST_ASSOCIATION = 5.0
-PENALTY = 10.0
+PENALTY = 40.0
 L2 = 5e-5
 STEPS = 400
 PRUNE = 0.02
