@@ -65,15 +65,15 @@ def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> Dat
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_label: int, folds: int, held_out: int) -> DataFrame:
-    """text, n_chars and ``label`` of a bounded sample of the labelled documents outside the held-out fold.
+    """labelled_id, text, n_chars and ``label`` of a bounded sample of the labelled documents outside the held-out fold.
 
-    The sample holds at most ``per_label`` rows of each label, so sending its ids to every task is bounded too; the limit
-    after the join keeps that bound when ids repeat.
+    The sample holds at most ``per_label`` ids of each label, so sending them to every task is bounded too. Rows of equal id
+    all come; whoever collects them keeps one of each.
     """
-    known = labels.select(F.col("doc_id").alias("labelled_id"), F.col(label).cast("int").alias("label"))
+    known = labels.select(F.col("doc_id").cast("bigint").alias("labelled_id"), F.col(label).cast("int").alias("label"))
     known = known.filter(remainder("labelled_id", folds) != held_out)
     picked = bounded_sample(known, "label", "labelled_id", per_label).dropDuplicates(["labelled_id"])
     size = F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)
     body = docs.select("doc_id", F.col("text").cast("string").alias("text"), size.cast("long").alias("n_chars"))
     found = body.join(F.broadcast(picked), F.col("doc_id") == F.col("labelled_id"))
-    return found.select("text", "n_chars", "label").limit(2 * per_label)
+    return found.select("labelled_id", "text", "n_chars", "label")

@@ -78,7 +78,11 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 @dataclass
 class Parser:
-    """One language: ``table[state * width + code]`` is twice the next state, plus one where a new phrase begins."""
+    """One language: ``table[state * width + code]`` is twice the next state, plus one where a new phrase begins.
+
+    The last state is where every text starts and where an unknown symbol, a phrase of its own, leads: any symbol read
+    there begins a phrase.
+    """
 
     code: np.ndarray
     width: int
@@ -91,10 +95,10 @@ class Parser:
         code = np.zeros(256, np.int32)
         code[seen] = np.arange(1, len(seen) + 1)
         width = len(seen) + 1
-        start = np.zeros(width, np.int32)
+        start = np.full(width, len(follow), np.int32)
         for symbol, state in follow[0].items():
             start[code[symbol]] = state
-        table = np.tile(2 * start + 1, (len(follow), 1))
+        table = np.tile(2 * start + 1, (len(follow) + 1, 1))
         rows = [state for state, edges in enumerate(follow) for _ in edges]
         columns = [code[symbol] for edges in follow for symbol in edges]
         table[rows, columns] = [2 * target for edges in follow for target in edges.values()]
@@ -102,8 +106,8 @@ class Parser:
 
     def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece: ``lanes[k]`` holds symbol k of all pieces, which are sorted by falling length."""
-        state = np.zeros(len(lengths), np.int32)
-        count = np.ones(len(lengths), np.int32)
+        state = np.full(len(lengths), len(self.table) // self.width - 1, np.int32)
+        count = np.zeros(len(lengths), np.int32)
         active = np.searchsorted(-lengths, -np.arange(len(lanes)), "left")
         coded = self.code[lanes]
         for k in range(len(lanes)):

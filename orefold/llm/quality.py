@@ -120,30 +120,36 @@ def fit(rows: list[np.ndarray], table: np.ndarray, labels: np.ndarray) -> Model:
     bias = float(np.log(share / (1 - share)))
     spread = np.zeros((size, RANK + 1))
     bias_spread = 0.0
-    epochs = max(EPOCHS, -(-STEPS * BATCH // len(rows)))
+    batches = -(-len(rows) // BATCH)
+    epochs = max(EPOCHS, -(-STEPS // batches))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs) + RATE / 20
-        for batch in np.array_split(rng.permutation(len(rows)), -(-len(rows) // BATCH)):
+        for batch in np.array_split(rng.permutation(len(rows)), batches):
             some = [rows[i] for i in batch]
             counts = np.array([len(row) for row in some])
             owner = np.repeat(np.arange(len(some)), counts)
-            places, back = np.unique(np.concatenate(some), return_inverse=True)
-            values = np.repeat(1 / np.maximum(counts, 1), counts)
-            dense = np.zeros((len(some), len(places) + N_STATISTICS))
-            np.add.at(dense, (owner, back), values)
-            dense[:, len(places) :] = table[batch]
-            columns = np.concatenate([places, WIDTH + np.arange(N_STATISTICS)])
-            v, w = factors[columns], linear[columns]
-            total = dense @ v
-            margin = bias + dense @ w + ((total * total) - dense**2 @ v**2).sum(1) / 2
+            words = np.concatenate(some)
+            places, back = np.unique(words, return_inverse=True)
+            value, own = np.repeat(1 / np.maximum(counts, 1), counts), table[batch]
+            v, v_own = factors[words] * value[:, None], factors[WIDTH:]
+            total = np.stack([np.bincount(owner, v[:, k], len(some)) for k in range(RANK)], 1) + own @ v_own
+            squares = np.bincount(owner, (v * v).sum(1), len(some)) + own**2 @ (v_own**2).sum(1)
+            straight = np.bincount(owner, linear[words] * value, len(some)) + own @ linear[WIDTH:]
+            margin = bias + straight + ((total * total).sum(1) - squares) / 2
             slope = (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - labels[batch]) / len(batch)
+            each = (slope[owner] * value)[:, None] * (total[owner] - v)
+            columns = np.concatenate([places, WIDTH + np.arange(N_STATISTICS)])
             gradient = np.empty((len(columns), RANK + 1))
-            gradient[:, 0] = dense.T @ slope + L2 * w
-            gradient[:, 1:] = dense.T @ (slope[:, None] * total) - (dense**2).T @ slope[:, None] * v + L2 * v
+            gradient[: len(places), 0] = np.bincount(back, slope[owner] * value, len(places))
+            for k in range(RANK):
+                gradient[: len(places), k + 1] = np.bincount(back, each[:, k], len(places))
+            gradient[len(places) :, 0] = own.T @ slope
+            gradient[len(places) :, 1:] = own.T @ (slope[:, None] * total) - (own**2).T @ slope[:, None] * v_own
+            gradient += L2 * np.column_stack([linear[columns], factors[columns]])
             spread[columns] += gradient**2
             move = rate * gradient / (np.sqrt(spread[columns]) + 1e-8) * 5
-            linear[columns] = w - move[:, 0]
-            factors[columns] = v - move[:, 1:]
+            linear[columns] -= move[:, 0]
+            factors[columns] -= move[:, 1:]
             bias_spread += slope.sum() ** 2
             bias -= rate * slope.sum() / (np.sqrt(bias_spread) + 1e-8)
     return Model(bias, linear, factors)
@@ -162,12 +168,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
                 lists += [part.tolist() for part in np.split(places, np.searchsorted(owner, np.arange(1, high - low)))]
                 tables += table.tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(lists, pa.list_(pa.int32())), pa.array(tables, pa.list_(pa.float64()))],
-                ["label", "places", "table"],
+                [batch.column(2), batch.column(3), pa.array(lists, pa.list_(pa.int32())), pa.array(tables, pa.list_(pa.float64()))],
+                ["label", "id", "places", "table"],
             )
 
     sample = labelled(docs, labels, "quality", per_label, FOLDS, HELD_OUT)
-    found = sample.mapInArrow(measured, "label int, places array<int>, table array<double>").toArrow()
+    sample = sample.select("text", "n_chars", "label", "labelled_id")
+    kind = "label int, id long, places array<int>, table array<double>"
+    found = sample.mapInArrow(measured, kind).dropDuplicates(["id"]).toArrow().sort_by("id")
     rows = [np.array(row, np.int64) for row in found["places"].to_pylist()]
     table = np.array(found["table"].to_pylist(), float).reshape(-1, N_STATISTICS)
     return fit(rows, table, np.array(found["label"].to_pylist(), float))

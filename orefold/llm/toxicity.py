@@ -190,11 +190,11 @@ def train(docs: DataFrame, labels: DataFrame, penalty: float = PENALTY, per_labe
                 owner, places = word_features(batch.column(0).slice(low, high - low))
                 lists += [part.tolist() for part in np.split(places, np.searchsorted(owner, np.arange(1, high - low)))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["label", "places"]
+                [batch.column(1), batch.column(2), pa.array(lists, pa.list_(pa.int32()))], ["label", "id", "places"]
             )
 
-    sample = labelled(docs, labels, "toxic", per_label, FOLDS, HELD_OUT).select("text", "label")
-    found = sample.mapInArrow(features, "label int, places array<int>").toArrow()
+    sample = labelled(docs, labels, "toxic", per_label, FOLDS, HELD_OUT).select("text", "label", "labelled_id")
+    found = sample.mapInArrow(features, "label int, id long, places array<int>").dropDuplicates(["id"]).toArrow().sort_by("id")
     places = found["places"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
     rows = [np.array(row, np.int64) for row in places.to_pylist()]
     return fit(rows, np.array(found["label"].to_pylist(), float), swaps(), penalty)
