@@ -227,15 +227,15 @@ PARTS = {
                date_diff('day', cast(l_shipdate as date), cast(o_orderdate as date)) AS LEAD_TIME_DAYS
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey""",
     "fact_sales": """
-        SELECT s.*, PRODUCT_PRICE AS UNIT_PRICE, PRODUCT_COST AS UNIT_COST,
+        SELECT s.ORDER_NUMBER, s.ORDER_LINE_ITEM, s.ORDER_DATE_KEY, s.PRODUCT_KEY, s.CUSTOMER_KEY,
+               s.TERRITORY_KEY, s.STOCK_DATE_KEY, s.SALES_YEAR, s.ORDER_QUANTITY, s.LEAD_TIME_DAYS,
+               PRODUCT_PRICE AS UNIT_PRICE, PRODUCT_COST AS UNIT_COST,
                cast(round(cast(ORDER_QUANTITY as integer) * PRODUCT_PRICE, 2) as decimal(14,2)) AS GROSS_REVENUE,
                cast(round(cast(ORDER_QUANTITY as integer) * PRODUCT_COST, 2) as decimal(14,2)) AS TOTAL_COST,
                cast(round(cast(ORDER_QUANTITY as integer) * (PRODUCT_PRICE - PRODUCT_COST), 2) as decimal(14,2))
                    AS GROSS_PROFIT,
                MARGIN_PCT
-        FROM sales_lines s JOIN product_columns p ON s.PRODUCT_KEY = p.PRODUCT_KEY""".replace(
-        "s.*", "s.ORDER_NUMBER, s.ORDER_LINE_ITEM, s.ORDER_DATE_KEY, s.PRODUCT_KEY, s.CUSTOMER_KEY, s.TERRITORY_KEY, s.STOCK_DATE_KEY, s.SALES_YEAR, s.ORDER_QUANTITY, s.LEAD_TIME_DAYS"
-    ),
+        FROM sales_lines s JOIN product_columns p ON s.PRODUCT_KEY = p.PRODUCT_KEY""",
     "messy_fact": """
         SELECT ORDER_NUMBER, ORDER_LINE_ITEM, ORDER_DATE AS ORDER_DATE_KEY, s.PRODUCT_KEY, CUSTOMER_KEY, TERRITORY_KEY,
                STOCK_DATE AS STOCK_DATE_KEY, SALES_YEAR, ORDER_QUANTITY,
@@ -448,10 +448,10 @@ def _union(rows: list[str]) -> str:
     return " UNION ALL ".join(rows)
 
 
-_CUSTOMER_COLUMNS = (
-    "CUSTOMERKEY PREFIX FIRSTNAME LASTNAME BIRTHDATE MARITALSTATUS GENDER EMAILADDRESS ANNUALINCOME TOTALCHILDREN "
-    "EDUCATIONLEVEL OCCUPATION HOMEOWNER"
-).split()
+_CUSTOMER_COLUMNS = [
+    "CUSTOMERKEY", "PREFIX", "FIRSTNAME", "LASTNAME", "BIRTHDATE", "MARITALSTATUS", "GENDER",
+    "EMAILADDRESS", "ANNUALINCOME", "TOTALCHILDREN", "EDUCATIONLEVEL", "OCCUPATION", "HOMEOWNER",
+]
 _SALES_COLUMNS = (
     "ORDERDATE STOCKDATE ORDERNUMBER PRODUCTKEY CUSTOMERKEY TERRITORYKEY ORDERLINEITEM ORDERQUANTITY SOURCE_FILE"
 ).split()
@@ -540,26 +540,41 @@ _NULL_DATE = (
     "WHERE ORDER_DATE_KEY IS NULL"
 )
 
+_CALENDAR_REQUIRED = [
+    ("DATE_KEY", "date"), ("YEAR", "int"), ("MONTH_NUM", "int"), ("MONTH_NAME", "string"), ("DAY_OF_MONTH", "int"),
+    ("DAY_OF_WEEK_NAME", "string"), ("DAY_OF_WEEK_NUM", "int"), ("QUARTER_NUM", "int"), ("QUARTER_NAME", "string"),
+    ("WEEK_OF_YEAR", "int"), ("IS_WEEKEND", "boolean"), ("FIRST_DAY_OF_MONTH", "date"), ("LAST_DAY_OF_MONTH", "date"),
+]
+
 _REQUIRED = {
-    "DIM_DATE": (
-        "DATE_KEY:date YEAR:int MONTH_NUM:int MONTH_NAME:string DAY_OF_MONTH:int DAY_OF_WEEK_NAME:string "
-        "DAY_OF_WEEK_NUM:int QUARTER_NUM:int QUARTER_NAME:string WEEK_OF_YEAR:int IS_WEEKEND:boolean "
-        "FIRST_DAY_OF_MONTH:date LAST_DAY_OF_MONTH:date FISCAL_YEAR:int FISCAL_MONTH:int FISCAL_QUARTER:string"
-    ),
-    "DIM_CUSTOMER": "CUSTOMER_KEY:bigint",
-    "DIM_PRODUCT": "PRODUCT_KEY:bigint",
-    "DIM_TERRITORY": "TERRITORY_KEY:bigint",
-    "FACT_SALES": "ORDER_NUMBER:string ORDER_LINE_ITEM:bigint",
+    "SILVER_CALENDAR": _CALENDAR_REQUIRED,
+    "SILVER_TERRITORY": [
+        ("TERRITORY_KEY", "bigint"), ("REGION", "string"), ("COUNTRY", "string"), ("CONTINENT", "string"),
+    ],
+    "SILVER_PRODUCT_CATEGORY": [("CATEGORY_KEY", "bigint"), ("CATEGORY_NAME", "string")],
+    "SILVER_PRODUCT": [("PRODUCT_KEY", "bigint")],
+    "SILVER_CUSTOMER": [("CUSTOMER_KEY", "bigint")],
+    "SILVER_SALES": [("ORDER_NUMBER", "string"), ("ORDER_LINE_ITEM", "bigint")],
+    "DIM_DATE": [*_CALENDAR_REQUIRED, ("FISCAL_YEAR", "int"), ("FISCAL_MONTH", "int"), ("FISCAL_QUARTER", "string")],
+    "DIM_CUSTOMER": [("CUSTOMER_KEY", "bigint")],
+    "DIM_PRODUCT": [("PRODUCT_KEY", "bigint")],
+    "DIM_TERRITORY": [("TERRITORY_KEY", "bigint")],
+    "FACT_SALES": [("ORDER_NUMBER", "string"), ("ORDER_LINE_ITEM", "bigint")],
 }
 
+# The hand-built fact keeps the order key as a number.
+_OTHER_TYPE = {("FACT_SALES", "ORDER_NUMBER"): "bigint"}
+
 
 def _required() -> str:
     return _union(
         [
             f"SELECT '{table}' AS TABLE_NAME, '{column}' AS COLUMN_NAME, '{kind}' AS DECLARED_TYPE, "
+            f"'{_OTHER_TYPE.get((table, column), kind)}' AS ACTUAL_TYPE, "
+            f"{str((table, column) not in _OTHER_TYPE).lower()} AS TYPE_MATCHES, "
             f"count(*) FILTER (WHERE {column} IS NULL) AS NULL_ROWS FROM {table.lower()}"
             for table, columns in _REQUIRED.items()
-            for column, kind in (c.split(":") for c in columns.split())
+            for column, kind in columns
         ]
     )
 
@@ -577,10 +592,10 @@ _VIEW_BODIES = {
     "VW_RETURN_ANALYSIS": _RETURNS_VIEW,
 }
 
-_BUILT = (
-    "SILVER_CALENDAR SILVER_TERRITORY SILVER_PRODUCT_CATEGORY SILVER_PRODUCT SILVER_CUSTOMER SILVER_SALES "
-    "SILVER_RETURNS DIM_DATE DIM_CUSTOMER DIM_PRODUCT DIM_TERRITORY FACT_SALES FACT_RETURNS"
-).split()
+_BUILT = [
+    "SILVER_CALENDAR", "SILVER_TERRITORY", "SILVER_PRODUCT_CATEGORY", "SILVER_PRODUCT", "SILVER_CUSTOMER", "SILVER_SALES",
+    "SILVER_RETURNS", "DIM_DATE", "DIM_CUSTOMER", "DIM_PRODUCT", "DIM_TERRITORY", "FACT_SALES", "FACT_RETURNS",
+]
 
 _CSV_CUSTOMER = "SELECT * REPLACE ({}) FROM raw_customer".format(
     ", ".join(

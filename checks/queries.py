@@ -223,7 +223,7 @@ def ctas_refresh(feed):
 
 @query
 def declared_schema(feed):
-    return quality.required_columns(feed.star())
+    return quality.required_columns({**_silver_tables(feed), **feed.star()})
 
 
 @query

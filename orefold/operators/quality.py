@@ -77,7 +77,7 @@ def report(fact_sales: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFr
 
 
 def required_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Declared NOT NULL columns with their type and the rows that break the rule; one pass per table."""
+    """Declared NOT NULL columns with their declared and actual type and the rows that break the rule; one pass per table."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
         declared = schemas.TABLES[name]
@@ -86,6 +86,8 @@ def required_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
                 F.struct(
                     F.lit(column).alias("COLUMN_NAME"),
                     F.lit(declared[column].dataType.simpleString()).alias("DECLARED_TYPE"),
+                    F.lit(df.schema[column].dataType.simpleString()).alias("ACTUAL_TYPE"),
+                    F.lit(df.schema[column].dataType == declared[column].dataType).alias("TYPE_MATCHES"),
                     F.count_if(F.col(column).isNull()).alias("NULL_ROWS"),
                 )
                 for column in schemas.required_columns(name)

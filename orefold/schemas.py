@@ -53,9 +53,11 @@ SILVER_DDL = {
         "QUARTER_NUM int not null, QUARTER_NAME string not null, WEEK_OF_YEAR int not null, "
         "IS_WEEKEND boolean not null, FIRST_DAY_OF_MONTH date not null, LAST_DAY_OF_MONTH date not null"
     ),
-    "SILVER_TERRITORY": "TERRITORY_KEY long not null, REGION string, COUNTRY string, CONTINENT string",
+    "SILVER_TERRITORY": (
+        "TERRITORY_KEY long not null, REGION string not null, COUNTRY string not null, CONTINENT string not null"
+    ),
     "SILVER_PRODUCT_CATEGORY": (
-        "CATEGORY_KEY long, CATEGORY_NAME string, SUBCATEGORY_KEY long, SUBCATEGORY_NAME string"
+        "CATEGORY_KEY long not null, CATEGORY_NAME string not null, SUBCATEGORY_KEY long, SUBCATEGORY_NAME string"
     ),
     "SILVER_PRODUCT": (
         "PRODUCT_KEY long not null, SUBCATEGORY_KEY long, PRODUCT_SKU string, PRODUCT_NAME string, "
@@ -71,7 +73,7 @@ SILVER_DDL = {
         "OCCUPATION string, IS_HOME_OWNER boolean"
     ),
     "SILVER_SALES": (
-        "ORDER_NUMBER string not null, ORDER_LINE_ITEM long, ORDER_DATE date, STOCK_DATE date, "
+        "ORDER_NUMBER string not null, ORDER_LINE_ITEM long not null, ORDER_DATE date, STOCK_DATE date, "
         "DAYS_FROM_STOCK_TO_ORDER long, PRODUCT_KEY long, CUSTOMER_KEY long, TERRITORY_KEY long, "
         "ORDER_QUANTITY long, SALES_YEAR int, SOURCE_FILE string"
     ),
@@ -92,7 +94,9 @@ GOLD_DDL = {
         "MARGIN_PCT decimal(7,2), SUBCATEGORY_KEY long, SUBCATEGORY_NAME string, CATEGORY_KEY long, "
         "CATEGORY_NAME string, PRICE_TIER string"
     ),
-    "DIM_TERRITORY": SILVER_DDL["SILVER_TERRITORY"] + ", REGION_CODE string",
+    "DIM_TERRITORY": (
+        "TERRITORY_KEY long not null, REGION string, COUNTRY string, CONTINENT string, REGION_CODE string"
+    ),
     "FACT_SALES": (
         "ORDER_NUMBER string not null, ORDER_LINE_ITEM long not null, ORDER_DATE_KEY date, PRODUCT_KEY long, "
         "CUSTOMER_KEY long, TERRITORY_KEY long, STOCK_DATE_KEY date, SALES_YEAR int, ORDER_QUANTITY long, "

@@ -93,7 +93,7 @@ def test_latest_order_line_wins(spark):
 
 def test_required_columns(spark):
     dim = spark.createDataFrame([(1, "x"), (None, "y")], "TERRITORY_KEY long, REGION string")
-    assert [tuple(r) for r in quality.required_columns({"DIM_TERRITORY": dim}).collect()] == [("DIM_TERRITORY", "TERRITORY_KEY", "bigint", 1)]
+    assert [tuple(r) for r in quality.required_columns({"DIM_TERRITORY": dim}).collect()] == [("DIM_TERRITORY", "TERRITORY_KEY", "bigint", "bigint", True, 1)]
 
 
 def test_row_access(spark):
