@@ -238,8 +238,13 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose language can be told: some letter, and not the same fit to all."""
+    """The documents, with all their columns, whose language can be told: some letter, and not the same fit to all.
+
+    Where fewer than two languages were learned there is nothing to tell apart: only texts without a letter go.
+    """
     model = learned(docs)
+    if len(model.languages) < 2:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = predict(docs.sparkSession, F.col("text"), model)
-    undecided = UNDECIDED / max(1, len(model.languages))
+    undecided = UNDECIDED / len(model.languages)
     return docs.filter((found["lang_pred"] != UNDETERMINED) & (found["score"] > undecided))
