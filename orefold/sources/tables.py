@@ -18,6 +18,7 @@ from orefold.operators import layout
 from orefold.sources import delimited
 
 SNAPSHOT = "snapshot_ts"
+LOAD_TIMESTAMP = "LOAD_TIMESTAMP"
 _SNAPSHOT_FORMAT = "%Y%m%d%H%M%S"
 
 LOAD_REPORT_DDL = "TABLE_NAME string, STATUS string, ROW_COUNT long, MISFIT_ROWS long, ERROR string"
@@ -71,9 +72,10 @@ def load_table(spark: SparkSession, source: str, path: str, schema: StructType,
 
 
 def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
-    """Build a table from its query and read it back; clustered tables are written in their order."""
+    """Build a table from its query, stamped with the load time, and read it back; clustered tables keep their order."""
     path = f"{root}/{name}"
     staged = _staged(path)
+    df = df.withColumn(LOAD_TIMESTAMP, F.localtimestamp())
     keys = schemas.CLUSTER_KEYS.get(name)
     if keys:
         layout.clustered_write(df, staged, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))

@@ -178,3 +178,8 @@ def test_scratch_folder_follows_the_session(spark):
     path = session.scratch_path(spark, "x")
     assert path.startswith((root or spark.conf.get("spark.checkpoint.dir")).rstrip("/"))
     assert path != session.scratch_path(spark, "x")
+
+
+def test_refreshed_tables_carry_their_load_time(spark, tmp_path):
+    stored = tables.refresh_table(spark, str(tmp_path), "DIM_X", spark.range(3))
+    assert stored.columns == ["id", "LOAD_TIMESTAMP"] and stored.filter("LOAD_TIMESTAMP IS NULL").isEmpty()
