@@ -8,15 +8,16 @@ probability (1 - 0.75 ** 5) ** 40 = 2e-5.
 Within a bucket no pairs are listed. First round: every member is compared with the bucket's smallest and largest id only. Of its
 candidates each class keeps the one whose signature agrees most, and that link is confirmed on the full sets. The components of
 these links are found. Second round, for buckets whose members ended up in different components: members outside the bucket's
-most frequent component are compared with the members of other components. So every pair of a bucket is either in one
-component already or is compared itself, and a bucket filled by one group of copies costs its size. (Several large groups of
-mutually dissimilar texts in one bucket would still cost the product of their sizes; signatures of five equal minima make
-that rare.)
+most frequent component are compared with the members of other components, in blocks of at most ``BLOCK`` by ``BLOCK``, inside
+a task each, and only links leave it. So every pair of a bucket is either in one component already or is compared
+itself, no list of pairs is ever made, and a bucket filled by one group of copies costs its size. (Large families whose
+members are alike but just below the threshold still cost the time, not the space, of their pairs: no estimate can tell
+them from links.)
 
 Comparing means: sizes allow 0.75; then the share of equal minima (one byte each) is at least ``LEAST_AGREEMENT``, six standard
 deviations below 0.75; then 100 * intersection >= 75 * union on the full sets, worked out from the whole texts.
 
-Texts are read once for signatures and shuffled once per round for confirming. Null texts and texts without words have empty
+Texts are read once for signatures; those to be compared are shuffled, in the second round once per bucket. Null texts and texts without words have empty
 sets and link with nothing; a null doc_id links with nothing, its component is null and it is kept. Rows of equal id count
 as one document, with the set of the row whose size and key are smallest; equal rows all get the same answer.
 """
@@ -40,6 +41,7 @@ BANDS, ROWS = 40, 5
 LEAST_PERCENT = 75
 LEAST_AGREEMENT = 0.56
 BROADCAST_PAIRS = 1_000_000
+BLOCK = 1024
 
 _MINIMA = BANDS * ROWS
 _RNG = np.random.Generator(np.random.PCG64(5))
@@ -179,7 +181,7 @@ def _shared(buckets: DataFrame) -> DataFrame:
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .filter(F.col("low") < F.col("high"))
     )
-    return buckets.join(ends, "band").select("band", "id", "n", "low", "high")
+    return buckets.join(ends, "band").select("band", "place", "id", "n", "low", "high")
 
 
 def _with_ends(shared: DataFrame) -> DataFrame:
@@ -188,35 +190,93 @@ def _with_ends(shared: DataFrame) -> DataFrame:
     return pairs.filter(F.col("a") != F.col("b")).distinct()
 
 
-def _across_components(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in different components, but for those among its most frequent component."""
+def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets with several components: their component, the bucket's most frequent one, and how many members
+    and how many outside that component there are."""
     labelled = shared.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "band", "id", "n", F.coalesce("component", "id").alias("component")
+        "band", "place", "id", "n", F.coalesce("component", "id").alias("component")
     )
-    mixed = (
-        labelled.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter(F.col("low") < F.col("high"))
-        .select("band")
-    )
-    members = labelled.join(mixed, "band")
     frequent = (
-        members.groupBy("band", "component")
+        labelled.groupBy("band", "component")
         .agg(F.count(F.lit(1)).alias("size"))
         .groupBy("band")
-        .agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-    )
-    members = members.join(frequent, "band")
-    fewer = members.filter(F.col("component") != F.col("main")).select(
-        "band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a")
-    )
-    other = members.withColumnRenamed("id", "b")
-    pairs = fewer.join(other, "band").filter(
-        (F.col("component_a") != F.col("component"))
-        & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
-        & (100 * F.least("n_a", "n") >= LEAST_PERCENT * F.greatest("n_a", "n"))
+        .agg(
+            F.max_by("component", F.struct("size", "component")).alias("main"),
+            F.sum("size").alias("all"),
+            (F.sum("size") - F.max("size")).alias("others"),
+        )
+        .filter("others > 0")
     )
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return labelled.join(frequent, "band")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members dealt into blocks: those outside the main component (``asks``) against all, ``BLOCK`` of each to a block."""
+    rows = F.ceil(F.col("others") / BLOCK).cast("int")
+    columns = F.ceil(F.col("all") / BLOCK).cast("int")
+    row, column = F.pmod(F.xxhash64("id"), rows).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), columns).cast("int")
+
+    def at(p, q, asks: bool):
+        return F.struct(p.alias("p"), q.alias("q"), F.lit(asks).alias("asks"))
+
+    asking = F.transform(F.sequence(F.lit(0), columns - 1), lambda q: at(row, q, True))
+    answering = F.transform(F.sequence(F.lit(0), rows - 1), lambda p: at(p, column, False))
+    places = F.when(F.col("component") == F.col("main"), answering).otherwise(F.concat(asking, answering))
+    return members.select("*", F.explode(places).alias("at")).select("*", "at.*").drop("at")
+
+
+def compare_block(block: pa.Table) -> pa.Table:
+    """Links (a, b) between components of one block, at most one for each asking member and component.
+
+    A pair that shares an earlier band is left to the block of that band.
+    """
+    asks = block["asks"].to_numpy()
+    ids, component, n = (block[name].to_numpy() for name in ("id", "component", "n"))
+    main, place = block["main"][0].as_py(), block["place"][0].as_py()
+    bands = np.array(block["bands"].to_pylist(), np.int64)[:, :place]
+    sketch = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(-1, _MINIMA)
+    owner, values = shingle_sets(block["text"].combine_chunks())
+    codes = np.unique(values, return_inverse=True)[1]
+    first = np.searchsorted(owner, np.arange(len(ids) + 1))
+    marked = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+    running = np.zeros(len(codes) + 1, np.int64)
+    least = LEAST_AGREEMENT * (1 - 1 / 256) + 1 / 256
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(asks).tolist():
+        open_ = ~asks & (component != component[i]) & ((component == main) | (ids > ids[i]))
+        open_ &= 100 * np.minimum(n, n[i]) >= LEAST_PERCENT * np.maximum(n, n[i])
+        near = np.flatnonzero(open_)
+        near = near[~(bands[near] == bands[i]).any(1)]
+        near = near[(sketch[near] == sketch[i]).mean(1) >= least]
+        if not len(near):
+            continue
+        own = codes[first[i] : first[i + 1]]
+        marked[own] = True
+        np.cumsum(marked[codes], out=running[1:])
+        marked[own] = False
+        shared = running[first[near + 1]] - running[first[near]]
+        union = len(own) + (first[near + 1] - first[near]) - shared
+        linked = near[100 * shared >= LEAST_PERCENT * union]
+        for j in linked[np.unique(component[linked], return_index=True)[1]].tolist():
+            links.append((int(ids[i]), int(ids[j])))
+    columns = list(zip(*links)) or [(), ()]
+    return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+
+def _across_components(shared: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links between components that meet in a bucket; a stored table.
+
+    Blocks are compared in their tasks on signatures and full sets; no pair but a link leaves them.
+    """
+    members = store(_mixed(shared, found), "mixed-buckets")
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    if ids.count() <= BROADCAST_PAIRS:
+        ids = F.broadcast(ids)
+    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    known = classes.select("id", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    dealt = _dealt(members).join(known, "id")
+    block = dealt.select("band", "p", "q", "asks", "id", "component", "main", "n", "place", "bands", "sketch", "text")
+    return store(block.groupBy("band", "p", "q").applyInArrow(compare_block, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -233,7 +293,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     drop(table)
 
     buckets = classes.select("id", "n", F.posexplode("bands").alias("place", "value")).select(
-        "id", "n", F.xxhash64("place", "value").alias("band")
+        "id", "n", "place", F.xxhash64("place", "value").alias("band")
     )
     shared = store(_shared(buckets), "shared-buckets")
     candidates = _agreeing(_with_ends(shared), classes)
@@ -241,11 +301,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     pairs = store(nearest.select("a", "b"), "pairs")
     links = store(_confirmed(pairs, narrow), "links")
     found = components(links, "a", "b")
-    further = store(_agreeing(_across_components(shared, found), classes).select("a", "b"), "pairs")
+    more = _across_components(shared, found, classes, narrow)
     drop(pairs, shared)
-    if not further.isEmpty():
-        more = store(_confirmed(further, narrow).unionByName(links), "links")
-        links, found = more, components(more, "a", "b")
+    if not more.isEmpty():
+        found = components(links.unionByName(more), "a", "b")
 
     named = members.join(sets, keys, "left").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id", "doc_id"))
