@@ -81,7 +81,10 @@ class Words:
     def hashes(self, lane: int = 0) -> np.ndarray:
         power, inverse = powers(int(_ODD[lane][0]), len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[lane][self.data] * power[:-1], out=total[1:])
+        running = total[1:]
+        np.take(_BYTE[lane], self.data, out=running)
+        running *= power[:-1]
+        np.cumsum(running, out=running)
         return mix((total[self.end] - total[self.start]) * inverse[self.start])
 
     def text(self, i: int, j: int) -> list[bytes]:
