@@ -26,5 +26,5 @@ def labels(spark):
 
 @pytest.fixture(scope="session")
 def long_text():
-    """200,000 words, in which one sentence keeps coming back."""
-    return " ".join(f"w{i % 997} x{i}" if i % 10 else "the same sentence" for i in range(100_000))
+    """40,000 words, in which one sentence keeps coming back."""
+    return " ".join(f"w{i % 997} x{i}" if i % 10 else "the same sentence" for i in range(20_000))
