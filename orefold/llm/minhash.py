@@ -276,7 +276,9 @@ def _across_components(shared: DataFrame, found: DataFrame, classes: DataFrame,
     known = classes.select("id", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "id"), "id")
     dealt = _dealt(members).join(known, "id")
     block = dealt.select("band", "p", "q", "asks", "id", "component", "main", "n", "place", "bands", "sketch", "text")
-    return store(block.groupBy("band", "p", "q").applyInArrow(compare_block, "a long, b long"), "links")
+    links = store(block.groupBy("band", "p", "q").applyInArrow(compare_block, "a long, b long"), "links")
+    drop(members)
+    return links
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -302,9 +304,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     links = store(_confirmed(pairs, narrow), "links")
     found = components(links, "a", "b")
     more = _across_components(shared, found, classes, narrow)
-    drop(pairs, shared)
+    drop(pairs, shared, classes)
     if not more.isEmpty():
+        drop(found)
         found = components(links.unionByName(more), "a", "b")
+    drop(links, more)
 
     named = members.join(sets, keys, "left").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id", "doc_id"))
