@@ -12,8 +12,16 @@ from orefold.session import ADAPTIVE, scratch_path
 
 # A batch that crosses to Python holds a few megabytes of text whatever the length of the documents.
 ARROW = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
+}
+
+# Workers serve one stage after the other; these settings let them give the memory of large arrays back in between.
+WORKERS = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
 }
 
 
@@ -23,6 +31,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     home = str(Path(__file__).resolve().parent.parent.parent)
     environment = spark.sparkContext.environment
+    for key, value in WORKERS.items():
+        environment.setdefault(key, value)
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in known:
         environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])

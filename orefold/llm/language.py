@@ -24,7 +24,7 @@ from orefold.llm.common import prepare, remainder
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_DOCUMENTS = 200
-SAMPLE_BYTES = 24_000
+SAMPLE_BYTES = 12_000
 DOCUMENT_BYTES = 1_500
 PIECE = 512
 UNDETERMINED = "und"
@@ -121,17 +121,7 @@ class Parser:
 @dataclass
 class Model:
     languages: list[str]
-    samples: list[bytes]
-
-    def parsers(self) -> list[Parser]:
-        key = (tuple(self.languages), tuple(self.samples))
-        if key not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[key] = [Parser.of(sample) for sample in self.samples]
-        return _PARSERS[key]
-
-
-_PARSERS: dict[tuple, list[Parser]] = {}
+    parsers: list[Parser]
 
 
 def _has_letter(column: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -146,7 +136,7 @@ def _has_letter(column: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.nd
 def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score of every text of a batch: the winner's share of inverse phrase counts, sharpened."""
     languages, scores = [], []
-    parsers = model.parsers()
+    parsers = model.parsers
     for low, high in textgrid.slices(column):
         part = column.slice(low, high - low)
         data, bounds = textgrid.texts(part)
@@ -197,11 +187,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     pieces: dict[str, list[str]] = {language: [] for language in languages}
     for row in found.limit(SAMPLE_DOCUMENTS * max(1, len(languages))).collect():
         pieces[row["language"]].append(row["piece"])
-    samples = []
+    parsers = []
     for language in languages:
         joined = " ".join(pieces[language]).encode()[:SAMPLE_BYTES]
-        samples.append(symbols(np.frombuffer(joined, np.uint8)).tobytes())
-    return Model(languages, samples)
+        parsers.append(Parser.of(symbols(np.frombuffer(joined, np.uint8)).tobytes()))
+    return Model(languages, parsers)
 
 
 def predict(spark: SparkSession, text: Column, model: Model) -> Column:

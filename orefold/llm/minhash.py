@@ -41,7 +41,7 @@ BANDS, ROWS = 40, 5
 LEAST_PERCENT = 75
 LEAST_AGREEMENT = 0.56
 BROADCAST_PAIRS = 1_000_000
-BLOCK = 1024
+BLOCK = 512
 
 _MINIMA = BANDS * ROWS
 _RNG = np.random.Generator(np.random.PCG64(5))

@@ -34,10 +34,9 @@ from orefold.llm.common import prepare, store
 
 CAPACITY = 4096
 END_ID = 1
-MEMO_PARTS = 700_000
+MEMO_PARTS = 200_000
 TOGETHER_PARTS = 2000
 SEPARATOR = "\x00"
-SLICE_BYTES = 4 << 20
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -151,7 +150,7 @@ def token_pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc
         own = tokenizer(path)
         for batch in batches:
             rows: list[tuple] = []
-            for low, high in textgrid.slices(batch.column(1), SLICE_BYTES):
+            for low, high in textgrid.slices(batch.column(1)):
                 tokens, first = own.encode(batch.column(1).slice(low, high - low))
                 raw, bounds = tokens.tobytes(), (4 * first).tolist()
                 for doc_id, begin, stop in zip(batch.column(0).slice(low, high - low).to_pylist(), bounds, bounds[1:]):

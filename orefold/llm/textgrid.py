@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True

@@ -174,7 +174,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap: dict[int, int], penalt
         move = 0.05 * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
     weights[np.abs(weights) < PRUNE] = 0
-    whole = np.zeros(WIDTH)
+    whole = np.zeros(WIDTH, np.float32)
     whole[active] = weights
     return Model(whole, float(bias))
 
