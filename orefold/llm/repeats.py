@@ -186,8 +186,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .filter(F.col("low_context") < F.col("high_context"))
         .select("phrase")
     )
+    # Stored, so that the join on the phrase alone stands by itself and a hot phrase can be split.
+    ambiguous = store(contexts.join(differing, "phrase"), "differing-contexts")
     asked = (
-        confirmed.join(contexts.join(differing, "phrase"), ["phrase", "context"])
+        confirmed.join(ambiguous, ["phrase", "context"])
         .filter(F.col("doc_id") == F.col("smallest"))
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("phrase").alias("phrases"))
@@ -204,7 +206,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
     )
     stored = store(spans, "spans")
-    drop(confirmed, whole_stored, asked, windows)
+    drop(confirmed, whole_stored, ambiguous, asked, windows)
     return stored
 
 
