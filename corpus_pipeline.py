@@ -15,7 +15,7 @@ from orefold.llm.common import prepare, store, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts without a letter and those that fit all languages alike go."""
+    """Documents that op7 gives a language; null texts and texts without a letter go."""
     prepare(spark)
     return language.accepted(docs)
 

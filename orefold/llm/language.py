@@ -28,7 +28,6 @@ SAMPLE_BYTES = 12_000
 DOCUMENT_BYTES = 1_500
 PIECE = 512
 UNDETERMINED = "und"
-UNDECIDED = 1.02  # times the score of a text that all languages fit alike
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -228,13 +227,11 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose language can be told: some letter, and not the same fit to all.
+    """The documents, with all their columns, that ``identify`` gives a language: only ``und`` goes, whatever the score.
 
-    Where fewer than two languages were learned there is nothing to tell apart: only texts without a letter go.
+    Where no language was learned everything would be ``und``; then only texts without a letter go.
     """
     model = learned(docs)
-    if len(model.languages) < 2:
+    if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = predict(docs.sparkSession, F.col("text"), model)
-    undecided = UNDECIDED / len(model.languages)
-    return docs.filter((found["lang_pred"] != UNDETERMINED) & (found["score"] > undecided))
+    return docs.filter(predict(docs.sparkSession, F.col("text"), model)["lang_pred"] != UNDETERMINED)

@@ -155,3 +155,15 @@ def test_rejected_documents_go_and_columns_stay(spark, documents, labels):
     vile = documents([(i, "plain words" + " vile" * (i % 2)) for i in range(300)])
     left = toxicity.accepted(vile, labels([(i, 1, i % 2) for i in range(300)]))
     assert left.columns == vile.columns and sorted(r["doc_id"] for r in left.collect()) == list(range(0, 300, 2))
+
+
+def test_the_language_stage_keeps_what_identify_gives_a_language(spark, documents):
+    train = [(i, f"the house and the tree {i}", "en") for i in range(20, 60)]
+    train += [(i, f"das haus und der baum {i}", "de") for i in range(60, 100)]
+    group = [(i, "これは日本語の文章です", None) for i in range(200, 220)]
+    docs = documents([*EDGES, (7, "q"), (8, "A.\nAll rights reserved."), *group, *train])
+    known = sorted(r["doc_id"] or -1 for r in language.identify(docs).collect() if r["lang_pred"] != "und")
+    assert {-1, 5, 6, 7, 8, *range(200, 220)} <= set(known) and not {1, 2, 3, 4} & set(known)
+    assert sorted(r["doc_id"] or -1 for r in language.accepted(docs).collect()) == known
+    one = documents([*EDGES, *train[:40]])
+    assert language.accepted(one).count() == len([r for r in language.identify(one).collect() if r["lang_pred"] != "und"])
