@@ -284,8 +284,14 @@ _RECORD_SCHEMA = pa.schema(
 )
 
 
+def sound(records: DataFrame) -> DataFrame:
+    """The records; the job fails at a response whose recomputed digest isn't that of its header."""
+    damaged = F.concat(F.lit("damaged payload in "), F.col("archive"), F.lit(" at "), F.col("offset").cast("string"))
+    return records.filter(F.when(~F.col("digest_matches"), F.raise_error(damaged).cast("boolean")).otherwise(True))
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write, normalise and read back; raises if a record was lost on the way."""
+    """Write, normalise and read back; raises if a record was lost or a payload no longer has its digest."""
     root = scratch_path(pages.sparkSession, "warc")
     manifest = write_archives(pages, f"{root}/monolithic")
     written = manifest.agg(F.sum("records")).first()[0] or 0
@@ -295,4 +301,4 @@ def round_trip(pages: DataFrame) -> DataFrame:
     system, path = file_system(f"{root}/monolithic")
     if written:
         system.delete_dir(path)
-    return read_archives(index)
+    return sound(read_archives(index))

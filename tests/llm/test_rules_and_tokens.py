@@ -172,3 +172,22 @@ def test_warc_members_are_valid_gzip_at_their_offsets(spark, tmp_path):
     inflate = zlib.decompressobj(31)
     inflate.decompress(whole)
     assert inflate.eof and not inflate.unused_data  # one member for the whole file
+
+
+def test_a_payload_damaged_on_the_way_is_an_error(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://a", "<p>one</p>"), (2, "http://b", "<p>six</p>")], PAGES)
+    write = warc.write_archives
+
+    def damage(pages, folder):
+        manifest = write(pages, folder)
+        for row in manifest.collect():
+            path = row["archive"].removeprefix("file:")
+            whole = zlib.decompress(open(path, "rb").read(), 31).replace(b"<p>one", b"<p>two")
+            deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
+            open(path, "wb").write(deflate.compress(whole) + deflate.flush())
+        return manifest
+
+    assert warc.round_trip(pages).select("page_id", "payload_digest").count() == 2
+    monkeypatch.setattr(warc, "write_archives", damage)
+    with pytest.raises(Exception, match="damaged payload"):
+        warc.round_trip(pages).select("page_id").collect()
