@@ -361,3 +361,8 @@ def test_packing_on_edge_rows(spark, documents, long_text):
     assert len([r for r in found if r["doc_id"] == 11]) == 2
     assert len({(r["sequence_id"], r["offset"]) for r in found}) == len(found)
     assert packing.pack_documents(documents([]), path).count() == 0
+
+
+def test_names_of_special_tokens_in_a_text_are_text():
+    tokens, _ = packing.tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode(pa.array(["see <|endoftext|> here"]))
+    assert tokens.tolist() == [862, 27, 347, 40786, 4160, 91, 285, 763]
