@@ -997,12 +997,22 @@ def clustered_tables(feed):
 @query
 def clustering_report(feed):
     """What does not depend on the names and the number of the files."""
-    files = layout.clustering_report(_clustered_fact(feed), "ORDER_DATE_KEY")
-    return files.agg(
+    return clustering_facts(layout.clustering_report(_clustered_fact(feed), "ORDER_DATE_KEY"))
+
+
+def clustering_facts(files: DataFrame) -> DataFrame:
+    """COUNTED: every overlap count is that of a plain comparison with all files, and files meet at boundary keys only."""
+    ranges = files.agg(F.collect_list(F.struct("MIN_KEY", "MAX_KEY")).alias("RANGES")).scalar()
+    apart = lambda other: (other["MIN_KEY"] > F.col("MAX_KEY")) | (other["MAX_KEY"] < F.col("MIN_KEY"))
+    inside = lambda other: (other["MIN_KEY"] < F.col("MAX_KEY")) & (other["MAX_KEY"] > F.col("MIN_KEY"))
+    right = F.col("OVERLAPS") == F.size(F.filter("RANGES", lambda other: ~apart(other))) - 1
+    own = F.when(F.col("MIN_KEY") < F.col("MAX_KEY"), 1).otherwise(0)
+    narrow = F.size(F.filter("RANGES", inside)) == own
+    return files.withColumn("RANGES", ranges).withColumn("RIGHT", right & narrow).agg(
         F.sum("ROW_COUNT").alias("ROW_COUNT"),
         F.min("MIN_KEY").alias("MIN_KEY"),
         F.max("MAX_KEY").alias("MAX_KEY"),
-        F.bool_and(F.col("OVERLAPS").between(0, F.lit(1_000_000))).alias("COUNTED"),
+        F.bool_and("RIGHT").alias("COUNTED"),
     )
 
 

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import clustering_facts
 from orefold import schemas, session
 from orefold.operators import layout
 from orefold.sources import delimited, tables
@@ -183,3 +184,18 @@ def test_scratch_folder_follows_the_session(spark):
 def test_refreshed_tables_carry_their_load_time(spark, tmp_path):
     stored = tables.refresh_table(spark, str(tmp_path), "DIM_X", spark.range(3))
     assert stored.columns == ["id", "LOAD_TIMESTAMP"] and stored.filter("LOAD_TIMESTAMP IS NULL").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "rows, counted",
+    [
+        ([(1, 3, 1), (3, 5, 1)], True),
+        ([(1, 3, 1), (3, 3, 2), (3, 5, 2)], False),  # counts are wrong
+        ([(1, 3, 2), (3, 3, 2), (3, 5, 2)], True),
+        ([(1, 4, 1), (3, 5, 1)], False),  # more than the boundary key in common
+        ([(1, 3, 0), (4, 5, 0)], True),
+    ],
+)
+def test_clustering_facts_see_wrong_counts_and_wide_overlaps(spark, rows, counted):
+    files = spark.createDataFrame([(*r, 10) for r in rows], "MIN_KEY long, MAX_KEY long, OVERLAPS long, ROW_COUNT long")
+    assert clustering_facts(files).first().COUNTED is counted
