@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orefold.llm import bpe, fingerprint, language, minhash, oracles, packing, quality, repeats, rules, toxicity, warc
+from orefold.llm import bpe, fingerprint, language, lines, minhash, oracles, packing, quality, repeats, rules, toxicity, warc
 from orefold.llm.common import table
 
 import public_tokenizers
@@ -54,12 +54,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removal_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity, op2_minhash_dedup, op3_substring_dedup, op4_best_fit_packing, op5_fingerprints, op6_quality,
-        op7_language, op8_warc, op9_quality_rules, op10_byte_bpe,
+        op7_language, op8_warc, op9_quality_rules, op10_byte_bpe, op11_line_dedup,
     )
 }
 
-ORACLES = {"op8_warc": oracles.OP8, "op9_quality_rules": oracles.OP9}
+ORACLES = {"op8_warc": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_line_dedup": oracles.OP11}
