@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orefold.llm import bpe, fingerprint, language, lines, minhash, oracles, packing, quality, repeats, rules, toxicity, warc
+from orefold.llm import (
+    bpe, fingerprint, language, lines, minhash, oracles, packing, quality, repair, repeats, rules, toxicity, warc,
+)
 from orefold.llm.common import table
 
 import public_tokenizers
@@ -58,11 +60,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity, op2_minhash_dedup, op3_substring_dedup, op4_best_fit_packing, op5_fingerprints, op6_quality,
         op7_language, op8_warc, op9_quality_rules, op10_byte_bpe, op11_line_dedup,
+        op12_structure_repair,
     )
 }
 
