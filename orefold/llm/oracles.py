@@ -82,3 +82,42 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+# crc32 is a fold over the characters of the decimal conv_id: eight shifts of the polynomial per character.
+OP13 = r"""
+WITH told AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), lengths AS (
+  SELECT conv_id, turns,
+         xor(list_reduce(
+           list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+           lambda crc, byte: list_reduce(
+             range(8), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, byte)),
+           4294967295), 4294967295) % 6 AS h
+  FROM told
+), paths AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS path
+  FROM lengths a LEFT JOIN told b ON b.conv_id = a.conv_id - a.conv_id % 100
+), begun AS (
+  SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM paths
+), nodes AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM begun GROUP BY path[1:depth], depth
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+  SELECT node, depth, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(node[depth].t) END AS saved
+  FROM nodes LEFT JOIN children USING (node)
+), subtrees AS (
+  SELECT node[1:above] AS node, count_if(n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS above FROM valued) GROUP BY node[1:above]
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, v.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN valued v USING (node) JOIN subtrees s USING (node)
+LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+"""

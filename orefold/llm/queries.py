@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orefold.llm import (
-    bpe, fingerprint, language, lines, minhash, oracles, packing, quality, repair, repeats, rules, toxicity, warc,
+    bpe, fingerprint, language, lines, minhash, oracles, packing, quality, repair, repeats, rules, toxicity, trie, warc,
 )
 from orefold.llm.common import table
 
@@ -64,13 +64,22 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity, op2_minhash_dedup, op3_substring_dedup, op4_best_fit_packing, op5_fingerprints, op6_quality,
         op7_language, op8_warc, op9_quality_rules, op10_byte_bpe, op11_line_dedup,
-        op12_structure_repair,
+        op12_structure_repair, op13_prefix_trie,
     )
 }
 
-ORACLES = {"op8_warc": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_line_dedup": oracles.OP11}
+ORACLES = {
+    "op8_warc": oracles.OP8,
+    "op9_quality_rules": oracles.OP9,
+    "op11_line_dedup": oracles.OP11,
+    "op13_prefix_trie": oracles.OP13,
+}

@@ -9,7 +9,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from orefold.llm import repair
+from orefold.llm import repair, trie
 from orefold.llm.common import table
 from tests.llm.conftest import MIDDLE, SMALL
 
@@ -164,3 +164,73 @@ def test_weights_decide_every_short_conversation_as_a_search_does():
 def test_a_long_conversation_is_decided_whole():
     cost, audit = repair.cheapest(bytes([1, 2] * 4000 + [1]))
     assert cost == 2 and audit == "K" * 8001 + "I"
+
+
+def expected_trie(rows):
+    told = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            told[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    told = {c: [row[2:] for row in sorted(listed)] for c, listed in told.items()}
+    members, paths = defaultdict(list), {}
+    for c in sorted(told):
+        h = zlib.crc32(str(c).encode()) % 6
+        base = int(c / 100) * 100 if abs(c) < 2**50 else c - (abs(c) % 100) * (1 if c > 0 else -1)
+        paths[c] = tuple(told.get(base, [])[:h] + told[c][h:])
+        for d in range(len(paths[c]) + 1):
+            members[paths[c][:d]].append(c)
+    out = []
+    for node, found in members.items():
+        below = [other for other in members if other[: len(node)] == node]
+        ending = ",".join(str(c) for c in found if len(paths[c]) == len(node))
+        out.append(
+            (
+                found[0],
+                len(node),
+                members[node[:-1]][0] if node else None,
+                len(found),
+                sum(len(other) == len(node) + 1 for other in below),
+                sum(not any(len(more) == len(other) + 1 and more[:-1] == other for more in below) for other in below),
+                sum((len(members[other]) - 1) * len(other[-1][1]) for other in below if other),
+                hashlib.sha256(ending.encode()).hexdigest(),
+            )
+        )
+    return out
+
+
+def same_trie(df, rows):
+    assert sorted(map(tuple, df.collect()), key=lambda r: r[:2]) == sorted(expected_trie(rows), key=lambda r: r[:2])
+
+
+def test_trie_matches_plain_python(spark):
+    same_trie(trie.prefix_trie(table(spark, SMALL, "conversations")), rows_of_table(SMALL))
+
+
+@pytest.mark.parametrize("block_turns", [1, 2, 4])
+def test_trie_of_copies_forks_and_long_conversations(spark, block_turns):
+    rows = list(EDGES)
+    for c in range(100, 160):  # many copies, forks in and between blocks, openings lent by 100
+        rows += [(c, t, "user", "same") for t in range(c % 11)] + [(c, 20 + t, "user", f"{c % 3}") for t in range(c % 5)]
+    rows += [(300 + c, t, "user", "ab"[t == c]) for c in range(6) for t in range(30)]
+    rows += [(2**62 + 100 - 2**62 % 100 + c, t, "x", "far") for c in range(3) for t in range(3)]
+    df = spark.createDataFrame(rows, CONVERSATIONS).selectExpr("*", "1 AS place", "2 AS block", "3 AS owner", "4 AS key")
+    same_trie(trie.prefix_trie(df, block_turns), rows)
+
+
+def test_trie_of_random_small_alphabets(spark):
+    """Every fork, end and copy that few words allow."""
+    import random
+
+    draw = random.Random(7)
+    rows = [
+        (c, t, draw.choice("ua"), draw.choice(["", "x", "yy"])) for c in range(-40, 240) for t in range(draw.randrange(1, 9))
+    ]
+    same_trie(trie.prefix_trie(spark.createDataFrame(rows, CONVERSATIONS)), rows)
+
+
+def test_trie_without_turns_and_of_an_empty_table(spark):
+    short = [c for c in range(101, 200) if zlib.crc32(str(c).encode()) % 6 > 0][:3]
+    rows = [(c, 0, "user", "lost") for c in short]
+    same_trie(trie.prefix_trie(spark.createDataFrame(rows, CONVERSATIONS)), rows)
+    assert trie.prefix_trie(spark.createDataFrame([], CONVERSATIONS)).collect() == []
+    assert trie.prefix_trie(spark.createDataFrame([(None, 0, "user", "x")], CONVERSATIONS)).collect() == []
