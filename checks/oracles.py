@@ -662,7 +662,7 @@ BODIES = {
     "load_registry": _union(
         [
             f"SELECT 'BRONZE_{t}' AS TABLE_NAME, 'LOADED' AS STATUS, count(*) AS ROW_COUNT, "
-            f"cast(0 as bigint) AS MISFIT_ROWS, cast(NULL as varchar) AS ERROR FROM {source}"
+            f"cast(0 as bigint) AS MISFIT_ROWS, cast(0 as bigint) AS REJECTED_ROWS, cast(NULL as varchar) AS ERROR FROM {source}"
             for t, source in (
                 ("CUSTOMER", "raw_customer"), ("PRODUCT", "raw_product"), ("PRODUCT_CATEGORY", "raw_category"),
                 ("SUBCATEGORY", "raw_subcategory"), ("CALENDAR", "raw_calendar"), ("RETURNS", "raw_returns"),
@@ -670,7 +670,7 @@ BODIES = {
                 ("SALES_2022", "raw_sales WHERE FILE_YEAR = 2022"), ("CATEGORY_SALES_UNPIVOT", "raw_category_sales"),
             )
         ]
-        + ["SELECT 'BRONZE_TERRITORY', 'SKIPPED', 0, 0, 'file not found'"]
+        + ["SELECT 'BRONZE_TERRITORY', 'SKIPPED', 0, 0, 0, 'file not found'"]
     ),
     "files_to_sales_by_year": f"""
         SELECT YEAR, {_ORDERS} AS TOTAL_ORDERS, {_UNITS} AS TOTAL_UNITS_SOLD, {_REVENUE} AS TOTAL_REVENUE,

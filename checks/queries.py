@@ -126,7 +126,7 @@ def full_refresh_load(feed):
     orders = feed.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     tables.full_refresh(orders.filter(F.col("o_orderstatus") == "F"), path)
     tables.full_refresh(orders, path)
-    return feed.spark.read.parquet(path)
+    return tables.read_table(feed.spark, path)
 
 
 _LINE_FIELDS = "ORDERKEY long, LINE long, QUANTITY long, FLAG string"
@@ -193,7 +193,7 @@ def files_to_sales_by_year(feed):
     tables.load_sources(feed.spark, _source_files(feed), root)
 
     def bronze(name: str) -> DataFrame:
-        return feed.spark.read.parquet(f"{root}/BRONZE_{name}")
+        return tables.read_table(feed.spark, f"{root}/BRONZE_{name}")
 
     sales = silver.sales([(year, bronze(f"SALES_{year}")) for year in (2020, 2021, 2022)])
     product = silver.product(bronze("PRODUCT"), bronze("SUBCATEGORY"), bronze("PRODUCT_CATEGORY"))

@@ -127,52 +127,59 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return UTF8 if invalid.isEmpty() else LATIN1
 
 
-def inspected(spark: SparkSession, path: str, fmt: Format = Format()) -> Format:
-    """``fmt`` with the encoding of the file, and with ``multi_line`` if some line has an odd number of quotes.
-
-    One pass over the lines; the encoding is UTF-8 if all are valid, otherwise Latin-1.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(fmt.quote), F.lit("")))
-    found = spark.read.text(path).agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.bool_or(quotes % 2 == 1).alias("open")
-    ).first()
-    encoding = LATIN1 if found["valid"] is False else UTF8
-    return replace(fmt, encoding=encoding, multi_line=fmt.multi_line or bool(found["open"]))
-
-
 MISFIT = "_MISFIT"
+CORRUPT, INVALID, HEADER = "_CORRUPT", "_INVALID", "_HEADER"
 
 
-def scan_declared(spark: SparkSession, path: str, schema: StructType, fmt: Format = Format()) -> DataFrame:
-    """Declared columns by the normalised names of the header, audit columns, and whether a value of the row did not fit.
+def header_of(spark: SparkSession, path: str, fmt: Format = Format()) -> list[str]:
+    """Fields of the first line; none for an empty file."""
+    first = replace(fmt, header=False).reader(spark).csv(path).first()
+    return [field or "" for field in first] if first else []
 
-    The order of the columns in the file does not matter and further columns are ignored. A missing or ambiguous
-    declared column is an error, and so is a file whose header differs from that of the others at ``path``.
-    """
-    header = fmt.reader(spark).csv(path).columns
+
+def positions(header: list[str], schema: StructType) -> list[int]:
+    """Place of every declared column in the header, by normalised name; a missing or ambiguous one is an error."""
     names = [normalized_name(name) for name in header]
     wrong = [f.name for f in schema.fields if names.count(f.name) != 1]
     if wrong:
         raise ValueError(f"columns missing or repeated in the header: {', '.join(wrong)}")
-    by_position = StructType([StructField(name, StringType(), True) for name in header])
-    raw = fmt.reader(spark).option("enforceSchema", False).schema(by_position).csv(path)
-    picked = raw.select(
-        *[F.col("`" + header[names.index(f.name)].replace("`", "``") + "`").alias(f.name) for f in schema.fields],
-        "_metadata.file_name",
+    return [names.index(f.name) for f in schema.fields]
+
+
+def parsed(rows: DataFrame, raw: str, header: list[str], schema: StructType, fmt: Format = Format()) -> DataFrame:
+    """``rows`` with the declared columns of their raw text, and whether it has another number of fields than the header
+    (_CORRUPT), is the header itself (_HEADER), or has a value that its type can't hold (_MISFIT: the value is null)."""
+    picked = positions(header, schema)
+    fields = [f"_c{i}" for i in range(len(header))]
+    options = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_ROW, "sep": fmt.delimiter, "quote": fmt.quote, "escape": fmt.quote,
+        "ignoreLeadingWhiteSpace": str(fmt.trim).lower(), "ignoreTrailingWhiteSpace": str(fmt.trim).lower(),
+    }
+    declared = ", ".join(f"{name} string" for name in [*fields, _BAD_ROW])
+    kept = rows.columns
+    split = rows.withColumn("_FIELDS", F.from_csv(raw, declared, options)).select(*kept, "_FIELDS.*")
+    is_header = F.lit(True)
+    for name, value in zip(fields, header):
+        is_header = is_header & (F.coalesce(name, F.lit("")) == value)
+    named = split.select(
+        *kept,
+        *[F.col(fields[place]).alias(f.name) for f, place in zip(schema.fields, picked)],
+        F.col(_BAD_ROW).isNotNull().alias(CORRUPT),
+        is_header.alias(HEADER),
     )
-    unfit = F.lit(False)
-    for field in schema.fields:
-        if not isinstance(field.dataType, StringType):
-            value = _token_to_null(F.col(field.name), fmt.null_tokens)
-            unfit = unfit | (value.isNotNull() & value.try_cast(field.dataType).isNull())
-    return picked.select(
+    misfits = [_misfit(f, fmt) for f in schema.fields if not isinstance(f.dataType, StringType)]
+    reason = F.lit(None).cast("string")
+    for unfit, text_of in reversed(misfits):
+        reason = F.when(unfit, text_of).otherwise(reason)
+    return named.select(
+        *kept,
         *[_typed(f, fmt) for f in schema.fields],
-        F.localtimestamp().alias("LOAD_TIMESTAMP"),
-        file_name(F.col("file_name")).alias("SOURCE_FILE"),
-        unfit.alias(MISFIT),
+        CORRUPT,
+        HEADER,
+        reason.alias(MISFIT),
     )
 
 
-def scan_table(spark: SparkSession, path: str, schema: StructType, fmt: Format = Format()) -> DataFrame:
-    """Raw table: declared columns plus audit columns, in the encoding of the file."""
-    return scan_declared(spark, path, nullable(schema), inspected(spark, path, fmt)).drop(MISFIT)
+def _misfit(field: StructField, fmt: Format) -> tuple[Column, str]:
+    value = _token_to_null(F.col(field.name), fmt.null_tokens)
+    return value.isNotNull() & value.try_cast(field.dataType).isNull(), f"{field.name} is not {field.dataType.simpleString()}"

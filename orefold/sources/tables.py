@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timedelta
+from functools import partial
 from time import monotonic
-from uuid import uuid4
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -15,80 +18,173 @@ from pyspark.sql.types import StructType
 
 from orefold import schemas
 from orefold.operators import layout
-from orefold.sources import delimited
+from orefold.sources import delimited, records, versions
 
+T = TypeVar("T")
 SNAPSHOT = "snapshot_ts"
 LOAD_TIMESTAMP = "LOAD_TIMESTAMP"
 _SNAPSHOT_FORMAT = "%Y%m%d%H%M%S"
 
-LOAD_REPORT_DDL = "TABLE_NAME string, STATUS string, ROW_COUNT long, MISFIT_ROWS long, ERROR string"
+LOAD_REPORT_DDL = "TABLE_NAME string, STATUS string, ROW_COUNT long, MISFIT_ROWS long, REJECTED_ROWS long, ERROR string"
 LOADED, SKIPPED, FAILED = "LOADED", "SKIPPED", "FAILED"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+REJECT_REASON, UNCLOSED_QUOTE, FIELDS = delimited.REASON, "quoted value without an end", "wrong number of fields"
+REJECTS_SUFFIX = "_REJECTS"
+exists, read_table = versions.exists, versions.read
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished folder in the place of the table; until then the old state stays readable."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    new, old, aside = make(staged), make(path), make(f"{staged}-old")
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(old):
-        fs.rename(old, aside)
-    if not fs.rename(new, old):
-        if fs.exists(aside):
-            fs.rename(aside, old)
-        raise OSError(f"{staged} could not be moved to {path}")
-    fs.delete(aside, True)
+def full_refresh(df: DataFrame, path: str) -> int:
+    """Replace the stored table once the new state is written; returns the rows, counted while writing.
 
+    A failed write leaves the table as it was, and ``df`` may read the table that it replaces. Read it by ``read_table``.
+    """
+    rows, version = Observation(), versions.new_version(path)
+    df.observe(rows, F.count(F.lit(1)).alias("ROW_COUNT")).write.parquet(version)
+    versions.commit(df.sparkSession, path, version)
+    return rows.get["ROW_COUNT"]
 
-def _staged(path: str) -> str:
-    return f"{path.rstrip('/')}-{uuid4().hex}"
 
+def _audited(rows: DataFrame, schema: StructType) -> DataFrame:
+    named = delimited.file_name(F.element_at(F.split(records.FILE, "/"), -1))
+    return rows.select(*schema.names, F.localtimestamp().alias(LOAD_TIMESTAMP), named.alias("SOURCE_FILE"))
 
-def full_refresh(df: DataFrame, path: str) -> int:
-    """Replace the stored table once the new state is written; returns the rows, counted while writing.
 
-    A failed write leaves the table as it was, and ``df`` may read the table that it replaces.
+def _load_clean(spark: SparkSession, source: str, version: str, header: list[str], schema: StructType, fmt: delimited.Format):
+    """Write the rows of a file that needs no care, in one pass over its lines; returns what was seen on the way.
+
+    Rows are right if every line is a record: no quoted value is open at its end, all are valid in the encoding, all have
+    the fields of the header, and every file began with it.
     """
-    rows, staged = Observation(), _staged(path)
-    df.observe(rows, F.count(F.lit(1)).alias("ROW_COUNT")).write.parquet(staged)
-    _swap(df.sparkSession, staged, path)
-    return rows.get["ROW_COUNT"]
+    shapes = records.Shapes(fmt.delimiter, fmt.quote)
+    lines = spark.read.option("lineSep", "\n").text(source).select(
+        F.col("_metadata.file_path").alias(records.FILE), F.col("_metadata.file_block_start").alias("_AT"), "value"
+    )
+    lines = lines.select(
+        records.FILE, "_AT", (~F.is_valid_utf8("value")).alias(delimited.INVALID),
+        records.line_text("value", fmt.encoding).alias(records.RAW),
+    ).filter(F.trim(records.RAW) != "")
+    judged = delimited.parsed(lines.withColumn(records.UNCLOSED, shapes.opens(F.col(records.RAW))), records.RAW, header, schema, fmt)
+    is_header = F.col(delimited.HEADER) & (F.col("_AT") == 0)
+    seen = Observation()
+    counted = judged.observe(
+        seen,
+        F.count(F.lit(1)).alias("LINES"),
+        F.count_if(is_header).alias("HEADERS"),
+        F.count_if(F.col(delimited.MISFIT).isNotNull() & ~is_header).alias("MISFITS"),
+        F.count_if(F.col(records.UNCLOSED)).alias("UNCLOSED"),
+        F.count_if(F.col(delimited.CORRUPT)).alias("CORRUPT"),
+        F.count_if(F.col(delimited.INVALID)).alias("INVALID"),
+    )
+    _audited(counted.filter(~is_header), schema).write.parquet(version)
+    return seen.get
 
 
-def load_table(spark: SparkSession, source: str, path: str, schema: StructType, fmt: delimited.Format) -> tuple[int, int]:
-    """Load one file into its raw table; returns its rows and those with a value that did not fit, counted while writing."""
-    raw = delimited.scan_declared(spark, source, schemas.nullable(schema), delimited.inspected(spark, source, fmt))
-    rows, staged = Observation(), _staged(path)
-    counted = raw.observe(
-        rows, F.count(F.lit(1)).alias("ROW_COUNT"), F.count_if(delimited.MISFIT).alias("MISFIT_ROWS")
+def _judged_records(
+    spark: SparkSession, source: str, header: list[str], schema: StructType, fmt: delimited.Format, reject_misfits: bool
+) -> DataFrame:
+    """All records of the files but their headers, with the reason why a record can't be loaded (null if it can)."""
+    found = records.records(spark, source, fmt.delimiter, fmt.quote, fmt.encoding, len(header))
+    judged = delimited.parsed(found, records.RAW, header, schema, fmt)
+    # Raises where it is evaluated, so no rows of a file with another header are ever put in place.
+    other = F.raise_error(F.concat(F.lit("another header than in the first file: "), F.col(records.FILE)))
+    first = F.col(records.POSITION) == 0
+    rows = judged.filter(F.when(first & ~F.col(delimited.HEADER), other.cast("boolean")).otherwise(~first))
+    reason = F.when(F.col(records.UNCLOSED), UNCLOSED_QUOTE).when(F.col(delimited.CORRUPT), FIELDS)
+    return rows.withColumn(REJECT_REASON, reason.otherwise(F.col(delimited.MISFIT)) if reject_misfits else reason)
+
+
+def load_table(
+    spark: SparkSession, source: str, path: str, schema: StructType, fmt: delimited.Format, reject_misfits: bool = False
+) -> tuple[int, int, int]:
+    """Load a file (or a folder of them) into its raw table; returns rows, rows with a value that did not fit, rejected rows.
+
+    The file is read once if it is clean. If a line leaves a quoted value open, is not UTF-8 or has another number of fields,
+    its records are found anew with their positions (see ``records``) and those that can't be loaded go to the table of
+    rejects beside it, with file, byte position, reason and text: every record is in one of the two. Values that don't fit
+    their type become null and are counted; with ``reject_misfits`` their rows are rejects too.
+    """
+    schema = schemas.nullable(schema)
+    header = delimited.header_of(spark, source, fmt)
+    delimited.positions(header, schema)
+    rejects, version = f"{path}{REJECTS_SUFFIX}", versions.new_version(path)
+    seen = _load_clean(spark, source, version, header, schema, fmt)
+    n_files = len(spark.read.text(source).inputFiles())
+    dirty = seen["UNCLOSED"] + seen["CORRUPT"] + seen["INVALID"] + (seen["MISFITS"] if reject_misfits else 0)
+    if not dirty and seen["HEADERS"] == n_files:
+        versions.commit(spark, path, version)
+        full_refresh(spark.createDataFrame([], REJECTS_DDL), rejects)
+        return seen["LINES"] - seen["HEADERS"], seen["MISFITS"], 0
+    versions.delete(spark, version)
+    if seen["INVALID"]:
+        fmt = replace(fmt, encoding=delimited.LATIN1)
+        header = delimited.header_of(spark, source, fmt)
+    judged = records.store(_judged_records(spark, source, header, schema, fmt, reject_misfits), "judged-records")
+    refused = F.col(REJECT_REASON).isNotNull()
+    named = delimited.file_name(F.element_at(F.split(records.FILE, "/"), -1)).alias("SOURCE_FILE")
+    n_rejected = full_refresh(
+        judged.filter(refused).select(named, records.POSITION, REJECT_REASON, records.RAW), rejects
+    )
+    rows, version = Observation(), versions.new_version(path)
+    counted = judged.filter(~refused).observe(
+        rows, F.count(F.lit(1)).alias("ROW_COUNT"), F.count_if(F.col(delimited.MISFIT).isNotNull()).alias("MISFITS")
     )
-    counted.drop(delimited.MISFIT).write.parquet(staged)
-    _swap(spark, staged, path)
-    return rows.get["ROW_COUNT"], rows.get["MISFIT_ROWS"]
+    _audited(counted, schema).write.parquet(version)
+    versions.commit(spark, path, version)
+    return rows.get["ROW_COUNT"], rows.get["MISFITS"], n_rejected
+
+
+REJECTS_DDL = "SOURCE_FILE string, POSITION long, REJECT_REASON string, RAW_ROW string"
+
+
+def load_corrections(
+    spark: SparkSession,
+    corrections: DataFrame,
+    path: str,
+    header: list[str],
+    schema: StructType,
+    fmt: delimited.Format = delimited.Format(),
+) -> tuple[int, int]:
+    """Add corrected rejects to their table; returns how many were added and how many rejects are left.
+
+    ``corrections`` has SOURCE_FILE, POSITION and the corrected RAW_ROW. One that is not (or no longer) among the rejects is
+    ignored and of several for one reject the least text counts, so no row is loaded twice; one that still can't be loaded
+    stays rejected, with its new text and reason.
+    """
+    schema = schemas.nullable(schema)
+    known = read_table(spark, f"{path}{REJECTS_SUFFIX}")
+    key = ["SOURCE_FILE", records.POSITION]
+    given = corrections.groupBy(*key).agg(F.min(records.RAW).alias(records.RAW))
+    judged = delimited.parsed(known.select(*key).join(given, key), records.RAW, header, schema, fmt)
+    shapes = records.Shapes(fmt.delimiter, fmt.quote)
+    reason = F.when(shapes.opens(F.col(records.RAW)), UNCLOSED_QUOTE).when(F.col(delimited.CORRUPT), FIELDS)
+    judged = records.store(judged.withColumn(REJECT_REASON, reason.otherwise(F.col(delimited.MISFIT))), "judged-corrections")
+    good = judged.filter(F.col(REJECT_REASON).isNull())
+    added = good.select(*schema.names, F.localtimestamp().alias(LOAD_TIMESTAMP), "SOURCE_FILE")
+    still = judged.filter(F.col(REJECT_REASON).isNotNull()).select(*known.columns)
+    left = known.join(judged.select(*key), key, "left_anti").select(*known.columns).unionByName(still)
+    n_added = good.count()
+    full_refresh(read_table(spark, path).unionByName(added), path)
+    return n_added, full_refresh(left, f"{path}{REJECTS_SUFFIX}")
 
 
 def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
     """Build a table from its query, stamped with the load time, and read it back; clustered tables keep their order."""
     path = f"{root}/{name}"
-    staged = _staged(path)
+    version = versions.new_version(path)
     df = df.withColumn(LOAD_TIMESTAMP, F.localtimestamp())
     keys = schemas.CLUSTER_KEYS.get(name)
     if keys:
         # Stored first: dealing rows out by range samples its input, which then is a scan of the keys and not the query.
-        plain = f"{staged}-plain"
+        plain = f"{version}-plain"
         df.write.parquet(plain)
         stored = spark.read.parquet(plain)
-        layout.clustered_write(stored, staged, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))
-        folder = spark._jvm.org.apache.hadoop.fs.Path(plain)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        layout.clustered_write(stored, version, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))
+        versions.delete(spark, plain)
     else:
-        df.write.parquet(staged)
-    _swap(spark, staged, path)
-    return spark.read.parquet(path)
+        df.write.parquet(version)
+    versions.commit(spark, path, version)
+    return read_table(spark, path)
 
 
 def load_sources(
@@ -97,31 +193,42 @@ def load_sources(
     root: str,
     registry: Mapping[str, str] = schemas.SOURCE_FILES,
     fmt: delimited.Format = delimited.Format(),
+    reject_misfits: bool = False,
+    at_once: int = 4,
 ) -> DataFrame:
     """Load every registered file into its raw table; a missing or broken file does not stop the others.
 
-    Columns are found by header, the encoding is that of the file. Returns one report row per table, with the rows in
-    which a value did not fit its type (such values are null in the table).
+    Columns are found by header, the encoding is that of the file. Returns one report row per table in the order of the
+    registry; see ``load_table`` for its counts. ``at_once`` files are loaded side by side.
     """
-    report = []
-    for file_name, table in registry.items():
+
+    def load(file_name: str, table: str) -> tuple:
         path = f"{folder}/{file_name}"
         if not exists(spark, path):
-            report.append((table, SKIPPED, 0, 0, "file not found"))
-            continue
+            return table, SKIPPED, 0, 0, 0, "file not found"
         try:
-            report.append((table, LOADED, *load_table(spark, path, f"{root}/{table}", schemas.BRONZE[table], fmt), None))
+            counts = load_table(spark, path, f"{root}/{table}", schemas.BRONZE[table], fmt, reject_misfits)
+            return table, LOADED, *counts, None
         except (PySparkException, Py4JJavaError, ValueError) as error:
-            report.append((table, FAILED, 0, 0, str(error).split("\n\tat ", 1)[0]))
-    return spark.createDataFrame(report, LOAD_REPORT_DDL)
+            return table, FAILED, 0, 0, 0, str(error).split("\n\tat ", 1)[0]
+
+    return spark.createDataFrame(side_by_side([partial(load, *entry) for entry in registry.items()], at_once), LOAD_REPORT_DDL)
+
 
+def side_by_side(jobs: Sequence[Callable[[], T]], at_once: int) -> list[T]:
+    """Results of independent jobs, in order; their stages share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda job: job(), jobs))
 
-def row_counts(tables: Mapping[str, DataFrame], root: str, spark: SparkSession) -> DataFrame:
-    """Build the tables in order and report rows and seconds for each."""
-    report = []
-    for name, df in tables.items():
+
+def row_counts(tables: Mapping[str, DataFrame], root: str, spark: SparkSession, at_once: int = 4) -> DataFrame:
+    """Build the tables, ``at_once`` side by side, and report rows and seconds for each, in order."""
+
+    def build(name: str, df: DataFrame) -> tuple:
         started = monotonic()
-        report.append((name, full_refresh(df, f"{root}/{name}"), monotonic() - started))
+        return name, full_refresh(df, f"{root}/{name}"), monotonic() - started
+
+    report = side_by_side([partial(build, *entry) for entry in tables.items()], at_once)
     return spark.createDataFrame(report, "TABLE_NAME string, ROW_COUNT long, SECONDS double")
 
 
@@ -164,7 +271,7 @@ def stored_or_built(
 ) -> dict[str, DataFrame]:
     """Stored tables if all can be read, otherwise the result of ``build``."""
     try:
-        return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+        return {name: read_table(spark, f"{root}/{name}") for name in names}
     except AnalysisException:
         return build()
 

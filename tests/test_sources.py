@@ -60,7 +60,7 @@ def test_load_report_goes_on_after_missing_and_broken_files(spark, tmp_path):
     assert [(r.TABLE_NAME, r.STATUS, r.ROW_COUNT) for r in report] == [
         ("BRONZE_RETURNS", "FAILED", 0), ("BRONZE_TERRITORY", "LOADED", 2), ("BRONZE_CALENDAR", "SKIPPED", 0)
     ]
-    stored = spark.read.parquet(str(tmp_path / "bronze" / "BRONZE_TERRITORY"))
+    stored = tables.read_table(spark, str(tmp_path / "bronze" / "BRONZE_TERRITORY"))
     row = stored.first()
     assert row.SOURCE_FILE == "Territory Lookup.csv" and row.LOAD_TIMESTAMP is not None
     assert dict(stored.dtypes)["LOAD_TIMESTAMP"] == "timestamp_ntz"
@@ -74,7 +74,7 @@ def load(spark, tmp_path, content, encoding="utf-8", registry=LOADED):
     (report,) = tables.load_sources(spark, str(tmp_path), str(tmp_path / "bronze"), registry).collect()
     if report.STATUS != "LOADED":
         return report, []
-    stored = spark.read.parquet(str(tmp_path / "bronze" / report.TABLE_NAME))
+    stored = tables.read_table(spark, str(tmp_path / "bronze" / report.TABLE_NAME))
     return report, sorted((tuple(r)[:4] for r in stored.collect()), key=str)
 
 
@@ -113,26 +113,26 @@ def test_load_counts_rows_with_values_that_do_not_fit(spark, tmp_path):
 def test_source_file_is_the_name_as_it_is(spark, tmp_path, name):
     content = "SalesTerritoryKey,Region,Country,Continent\n1,a,b,c\n"
     load(spark, tmp_path, content, registry={name: "BRONZE_TERRITORY"})
-    assert spark.read.parquet(str(tmp_path / "bronze" / "BRONZE_TERRITORY")).first().SOURCE_FILE == name
+    assert tables.read_table(spark, str(tmp_path / "bronze" / "BRONZE_TERRITORY")).first().SOURCE_FILE == name
 
 
 def test_refresh_may_read_the_table_it_replaces_and_keeps_it_on_failure(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.full_refresh(spark.range(5), path)
-    tables.full_refresh(spark.read.parquet(path).unionByName(spark.range(5, 7)), path)
-    assert spark.read.parquet(path).count() == 7
+    tables.full_refresh(tables.read_table(spark, path).unionByName(spark.range(5, 7)), path)
+    assert tables.read_table(spark, path).count() == 7
     failing = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     with pytest.raises(Exception, match="no"):
         tables.full_refresh(failing, path)
     spark.catalog.refreshByPath(path)
-    assert spark.read.parquet(path).count() == 7
+    assert tables.read_table(spark, path).count() == 7
 
 
 def test_full_refresh_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.full_refresh(spark.range(10), path) == 10
     assert tables.full_refresh(spark.range(3), path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert tables.read_table(spark, path).count() == 3
 
 
 def test_snapshots_and_retention(spark, tmp_path):
