@@ -14,7 +14,7 @@ from orefold import schemas, session
 from orefold.functions import dates, masks, numbers
 from orefold.operators import gold, governance, layout, profiling, quality, silver
 from orefold.plans import business, reports, views
-from orefold.sources import delimited, tables
+from orefold.sources import delimited, history, tables
 from orefold.sources.starfeed import AS_OF, StarFeed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -307,32 +307,43 @@ def mapping_table_insert(feed):
 _STATES = tuple(datetime(year, 1, 1) for year in (1997, 1999, 2001))
 
 
-def _order_snapshots(feed, states=_STATES) -> str:
-    """Full states of the orders table: what had been ordered by each date."""
-    path = scratch(feed, "snapshots")
+def _order_history(feed, states=_STATES) -> str:
+    """States of the orders table over time: what had been ordered by each date."""
+    path = scratch(feed, "history")
     orders = feed.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     for taken in states:
-        tables.write_snapshot(orders.filter(F.col("o_orderdate") < F.lit(taken.date())), path, taken)
+        history.write_snapshot(orders.filter(F.col("o_orderdate") < F.lit(taken.date())), path, _ORDER_KEY, taken)
     return path
 
 
+_ORDER_KEY = ["o_orderkey"]
+
+
 @query
 def point_in_time_read(feed):
-    return tables.read_as_of(feed.spark, _order_snapshots(feed), datetime(2000, 6, 30)).drop("o_orderdate")
+    return history.read_as_of(feed.spark, _order_history(feed), _ORDER_KEY, datetime(2000, 6, 30)).drop("o_orderdate")
 
 
 @query
 def retention_filter(feed):
+    """Snapshots within the retention of each layer, read after older states were deleted."""
     now = _STATES[-1]
-    taken = [now - timedelta(days=days) for days in (10, 20, 60)]
-    stored = feed.spark.read.parquet(_order_snapshots(feed, taken))
-    kept = [
-        tables.within_retention(stored, layer, now)
-        .groupBy(tables.SNAPSHOT)
-        .agg(F.lit(layer).alias("LAYER"), F.count(F.lit(1)).alias("ROW_COUNT"))
-        for layer in schemas.RETENTION_DAYS
-    ]
-    return reduce(DataFrame.unionByName, kept)
+    taken = [now - timedelta(days=days) for days in (60, 20, 10)]
+
+    def kept(layer: str) -> DataFrame:
+        path = _order_history(feed, taken)
+        history.expire(feed.spark, path, _ORDER_KEY, layer, now)
+        oldest = now - timedelta(days=schemas.RETENTION_DAYS[layer])
+        counts = [
+            history.read_as_of(feed.spark, path, _ORDER_KEY, moment)
+            .agg(F.count(F.lit(1)).alias("ROW_COUNT"))
+            .select(F.lit(history.stamp(moment)).alias(tables.SNAPSHOT), F.lit(layer).alias("LAYER"), "ROW_COUNT")
+            for moment in taken
+            if moment >= oldest
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+    return reduce(DataFrame.unionByName, [kept(layer) for layer in schemas.RETENTION_DAYS])
 
 
 # Curated tables

@@ -233,17 +233,16 @@ def row_counts(tables: Mapping[str, DataFrame], root: str, spark: SparkSession,
 
 
 def write_snapshot(df: DataFrame, path: str, taken: datetime) -> None:
-    """Add a full state of the table as of ``taken``."""
+    """Add a full state of a table without a key as of ``taken``; see ``history`` for keyed ones."""
     stamp = int(taken.strftime(_SNAPSHOT_FORMAT))
     df.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={stamp}")
 
 
 def _latest(spark: SparkSession, path: str, upto: datetime) -> int | None:
-    """Newest snapshot not after ``upto``, from the names of the partition folders; no file is opened."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [status.getPath().getName() for status in listed]
-    stamps = [int(name.partition("=")[2]) for name in names if name.startswith(f"{SNAPSHOT}=")]
+    """Newest whole snapshot not after ``upto``, from the names of the partition folders; no file is opened."""
+    names = [name for name in versions.names(spark, path) if name.startswith(f"{SNAPSHOT}=")]
+    whole = [name for name in names if exists(spark, f"{path}/{name}/_SUCCESS")]
+    stamps = [int(name.partition("=")[2]) for name in whole]
     return max((stamp for stamp in stamps if stamp <= int(upto.strftime(_SNAPSHOT_FORMAT))), default=None)
 
 
