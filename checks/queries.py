@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -240,8 +241,13 @@ def view_registry(feed):
 
 @query
 def mv_monthly_revenue(feed):
-    content = views.monthly_revenue(feed.fact_sales(*_DATED), feed.dim_date)
-    return _stored(feed, "MV_MONTHLY_REVENUE", content)
+    """Built without the lines of the last 40 days, then refreshed for the months of these."""
+    fact, path = feed.fact_sales(*_DATED), scratch(feed, "monthly")
+    late = F.col("ORDER_DATE_KEY") > F.date_sub(F.lit(fact.agg(F.max("ORDER_DATE_KEY")).first()[0]), 40)
+    early = fact.filter(~late)
+    tables.refresh_monthly_revenue(path, early, feed.dim_date, early)
+    tables.refresh_monthly_revenue(path, fact, feed.dim_date, fact.filter(late))
+    return feed.spark.read.schema(views.monthly_revenue(fact, feed.dim_date).schema).parquet(path)
 
 
 @query
@@ -975,22 +981,35 @@ def column_sensitivity(feed):
 # Layout and logs
 
 
-def _clustered_fact(feed) -> DataFrame:
+def _clustered_fact(feed, keys, **options) -> DataFrame:
     path = scratch(feed, "clustered")
     layout.clustered_write(
-        feed.fact_sales(), path, schemas.CLUSTER_KEYS["FACT_SALES"], lookup_columns=schemas.LOOKUP_COLUMNS["FACT_SALES"]
+        feed.fact_sales(), path, keys, lookup_columns=schemas.LOOKUP_COLUMNS["FACT_SALES"], **options
     )
     return feed.spark.read.parquet(path)
 
 
 @query
 def clustered_write(feed):
-    return _clustered_fact(feed)
+    return _clustered_fact(feed, schemas.CLUSTER_KEYS["FACT_SALES"], curved=True)
+
+
+def content(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a table and a sum over hashes of its rows; decimals and load times, which engines print differently, are left out."""
+    plain = sorted(f.name for f in df.schema if not f.dataType.typeName().startswith(("decimal", "double", "timestamp")))
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in plain]).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.agg(
+        F.lit(name).alias("TABLE_NAME"),
+        F.count(F.lit(1)).alias("ROW_COUNT"),
+        F.sum(number).alias("CONTENT"),
+        F.lit(",".join(plain)).alias("COLUMNS"),
+    )
 
 
 @query
 def clustered_tables(feed):
-    """Rows of every table that is stored in an order, read back."""
+    """Rows and content of every table that is stored in an order, read back."""
     every = {
         "SILVER_SALES": silver.sales_of_years(feed.sales_of_years()),
         "DIM_DATE": feed.dim_date,
@@ -1001,25 +1020,26 @@ def clustered_tables(feed):
     }
     root = scratch(feed, "clustered")
     stored = {name: tables.refresh_table(feed.spark, root, name, df) for name, df in every.items()}
-    counts = [df.agg(F.lit(name).alias("TABLE_NAME"), F.count(F.lit(1)).alias("ROW_COUNT")) for name, df in stored.items()]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [content(df, name) for name, df in stored.items()])
 
 
 @query
 def clustering_report(feed):
     """What does not depend on the names and the number of the files."""
-    return clustering_facts(layout.clustering_report(_clustered_fact(feed), "ORDER_DATE_KEY"))
+    return clustering_facts(layout.clustering_report(_clustered_fact(feed, ["ORDER_DATE_KEY"]), "ORDER_DATE_KEY"))
 
 
 def clustering_facts(files: DataFrame) -> DataFrame:
-    """COUNTED: every overlap count is that of a plain comparison with all files, and files meet at boundary keys only."""
-    ranges = files.agg(F.collect_list(F.struct("MIN_KEY", "MAX_KEY")).alias("RANGES")).scalar()
-    apart = lambda other: (other["MIN_KEY"] > F.col("MAX_KEY")) | (other["MAX_KEY"] < F.col("MIN_KEY"))
-    inside = lambda other: (other["MIN_KEY"] < F.col("MAX_KEY")) & (other["MAX_KEY"] > F.col("MIN_KEY"))
-    right = F.col("OVERLAPS") == F.size(F.filter("RANGES", lambda other: ~apart(other))) - 1
-    own = F.when(F.col("MIN_KEY") < F.col("MAX_KEY"), 1).otherwise(0)
-    narrow = F.size(F.filter("RANGES", inside)) == own
-    return files.withColumn("RANGES", ranges).withColumn("RIGHT", right & narrow).agg(
+    """COUNTED: files, sorted by key, share at most a boundary key with the next, and every overlap count is that of the
+    files that have a boundary in common."""
+    before = F.lag("MAX_KEY").over(W.orderBy("MIN_KEY", "MAX_KEY"))
+    bounds = files.select(F.explode(F.array_distinct(F.array("MIN_KEY", "MAX_KEY"))).alias("AT")).groupBy("AT")
+    sharing = bounds.agg((F.count(F.lit(1)) - 1).alias("OTHERS"))
+    first, last = (sharing.select(F.col("AT").alias(c), F.col("OTHERS").alias(f"{c}_OTHERS")) for c in ("MIN_KEY", "MAX_KEY"))
+    at_end = F.when(F.col("MIN_KEY") < F.col("MAX_KEY"), F.col("MAX_KEY_OTHERS")).otherwise(0)
+    right = (F.col("OVERLAPS") == F.col("MIN_KEY_OTHERS") + at_end) & (F.coalesce("BEFORE", "MIN_KEY") <= F.col("MIN_KEY"))
+    met = files.withColumn("BEFORE", before).join(first, "MIN_KEY").join(last, "MAX_KEY")
+    return met.withColumn("RIGHT", right).agg(
         F.sum("ROW_COUNT").alias("ROW_COUNT"),
         F.min("MIN_KEY").alias("MIN_KEY"),
         F.max("MAX_KEY").alias("MAX_KEY"),

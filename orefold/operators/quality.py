@@ -98,51 +98,55 @@ def required_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items() if schemas.required_columns(name)])
 
 
-_MEDIAN_BUCKETS = 10_000
+_BUCKETS = 10_000
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact median of a whole-number column as one MEDIAN value, without bringing all values together.
+def _value_at(values: DataFrame, rank: int, low: int, high: int) -> int:
+    """The value at a rank (from 1) of the whole numbers VALUE between ``low`` and ``high``, by repeated narrowing.
 
-    Values are counted, counts are added up over at most 10,000 buckets of equal width between the smallest and the
-    largest value, and only the buckets that hold the middle positions are looked into. The one window without a
-    partition runs over bucket totals.
+    Each pass counts the values of at most 10,000 equal parts of the range, combined before the shuffle, and goes on in the
+    part that holds the rank until it is one value wide; a range of 64 bits takes five passes, whatever the distribution.
     """
-    value = F.col(column)
-    copies = (
-        df.filter(value.isNotNull()).groupBy(value.cast("long").alias("VALUE")).agg(F.count(F.lit(1)).alias("COPIES"))
-    )
-    span = copies.agg(F.min("VALUE").alias("LOW"), F.max("VALUE").alias("HIGH"))
-    low_value = span.select("LOW").scalar()
-    width = span.select(F.floor((F.col("HIGH") - F.col("LOW")) / _MEDIAN_BUCKETS) + 1).scalar()
-    counts = copies.withColumn("BUCKET", F.floor((F.col("VALUE") - low_value) / width))
-    by_bucket = counts.groupBy("BUCKET").agg(F.sum("COPIES").alias("IN_BUCKET"))
-    up_to = W.orderBy("BUCKET").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = by_bucket.select(
-        "BUCKET",
-        F.sum("IN_BUCKET").over(up_to).alias("BUCKET_END"),
-        (F.sum("IN_BUCKET").over(up_to) - F.col("IN_BUCKET")).alias("BUCKET_START"),
-        F.sum("IN_BUCKET").over(W.partitionBy()).alias("TOTAL"),
-    )
-    low, high = F.floor((F.col("TOTAL") + 1) / 2), F.floor((F.col("TOTAL") + 2) / 2)
-    middle = placed.filter((F.col("BUCKET_START") < high) & (F.col("BUCKET_END") >= low))
-    inside = W.partitionBy("BUCKET").orderBy("VALUE").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.join(middle, "BUCKET").withColumn(
-        "LAST", F.col("BUCKET_START") + F.sum("COPIES").over(inside)
-    )
-    first = F.col("LAST") - F.col("COPIES")
-
-    def holds(position: Column) -> Column:
-        return (first < position) & (F.col("LAST") >= position)
-
-    at_low = F.max(F.when(holds(low), F.col("VALUE")))
-    at_high = F.max(F.when(holds(high), F.col("VALUE")))
-    return ranked.agg(((at_low.cast("double") + at_high.cast("double")) / 2).alias("MEDIAN"))
+    before = 0
+    while low < high:
+        width = (high - low) // _BUCKETS + 1
+        inside = values.filter(F.col("VALUE").between(low, high))
+        # The distance to the lower end of the range may exceed 64 bits, the number of the part does not.
+        kind = "decimal(20,0)" if high - low > 2**62 else "bigint"
+        part = F.call_function("div", F.col("VALUE").cast(kind) - F.lit(low).cast(kind), F.lit(width).cast(kind))
+        upto = W.orderBy("PART").rowsBetween(W.unboundedPreceding, W.currentRow)
+        counted = inside.groupBy(part.cast("bigint").alias("PART")).agg(F.count(F.lit(1)).alias("COPIES"))
+        found = (
+            counted.withColumn("LAST", F.sum("COPIES").over(upto))
+            .filter(F.col("LAST") + before >= rank)
+            .orderBy("PART")
+            .first()
+        )
+        before += found["LAST"] - found["COPIES"]
+        low += found["PART"] * width
+        high = min(high, low + width - 1)
+    return low
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """Exact median of a whole-number column, null without values; no task gets all values or all distinct ones."""
+    values = df.select(F.col(column).cast("long").alias("VALUE")).filter(F.col("VALUE").isNotNull())
+    seen = values.agg(F.count(F.lit(1)).alias("N"), F.min("VALUE").alias("LOW"), F.max("VALUE").alias("HIGH")).first()
+    if not seen["N"]:
+        return None
+    rank = (seen["N"] + 1) // 2
+    lower = upper = _value_at(values, rank, seen["LOW"], seen["HIGH"])
+    if seen["N"] % 2 == 0:
+        above = values.agg(
+            F.count_if(F.col("VALUE") <= lower).alias("UPTO"), F.min(F.when(F.col("VALUE") > lower, F.col("VALUE"))).alias("NEXT")
+        ).first()
+        upper = lower if above["UPTO"] > rank else above["NEXT"]
+    return (lower + upper) / 2
 
 
 def impute_income(customers: DataFrame) -> DataFrame:
     """dq001: a missing income becomes the median; its band stays Unknown."""
-    median = F.round(exact_median(customers, "ANNUALINCOME").scalar(), 0).cast("long")
+    median = F.round(F.lit(exact_median(customers, "ANNUALINCOME")).cast("double"), 0).cast("long")
     income = F.col("ANNUALINCOME")
     return customers.withColumn(
         "INCOME_BAND", F.when(income.isNull(), "Unknown").otherwise(bands.banded(income, bands.INCOME_BANDS))

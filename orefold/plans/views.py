@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.functions import bands, numbers
@@ -212,7 +214,7 @@ def return_analysis(
 
 
 def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Content of the stored monthly aggregate; refresh it by writing it again."""
+    """Content of the stored monthly aggregate."""
     month = ("YEAR", "MONTH_NUM", "MONTH_NAME")
     return (
         with_date(fact_sales, dim_date, *month)
@@ -221,6 +223,24 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
+MONTH = ("YEAR", "MONTH_NUM")
+
+
+def months_of(lines: DataFrame, dim_date: DataFrame) -> list[tuple[int, int]]:
+    """The calendar months that the lines fall into, ascending; only ORDER_DATE_KEY is read."""
+    days = lines.select("ORDER_DATE_KEY").distinct()
+    return sorted(tuple(row) for row in with_date(days, dim_date, *MONTH).select(*MONTH).distinct().collect())
+
+
+def monthly_revenue_of(fact_sales: DataFrame, dim_date: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """The stored monthly aggregate for some months; the fact is read by their dates only."""
+    wanted = [(F.col("YEAR") == year) & (F.col("MONTH_NUM") == month) for year, month in months]
+    days = dim_date.filter(reduce(Column.__or__, wanted, F.lit(False)))
+    spans = days.groupBy(*MONTH).agg(F.min("DATE_KEY").alias("FIRST"), F.max("DATE_KEY").alias("LAST")).collect()
+    dated = [F.col("ORDER_DATE_KEY").between(F.lit(span["FIRST"]), F.lit(span["LAST"])) for span in spans]
+    return monthly_revenue(fact_sales.filter(reduce(Column.__or__, dated, F.lit(False))), days)
+
+
 def build(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All published views over a star schema given by table name."""
     sales, returned = star["FACT_SALES"], star["FACT_RETURNS"]

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from orefold import schemas
 from orefold.operators import layout
+from orefold.plans import views
 from orefold.sources import delimited, records, versions
 
 T = TypeVar("T")
@@ -179,7 +180,7 @@ def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> D
         plain = f"{version}-plain"
         df.write.parquet(plain)
         stored = spark.read.parquet(plain)
-        layout.clustered_write(stored, version, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()))
+        layout.clustered_write(stored, version, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()), curved=len(keys) > 1)
         versions.delete(spark, plain)
     else:
         df.write.parquet(version)
@@ -265,6 +266,33 @@ def within_retention(table: DataFrame, layer: str, now: datetime) -> DataFrame:
     return table.filter(F.col(SNAPSHOT) >= int(oldest.strftime(_SNAPSHOT_FORMAT)))
 
 
+def refresh_partitions(df: DataFrame, path: str, columns: Sequence[str], asked: Sequence[tuple]) -> None:
+    """Overwrite the asked partitions of a stored table with the rows of ``df``; one without rows is removed, others stay.
+
+    ``df`` must hold rows of asked partitions only. It is evaluated once, before a partition is touched.
+    """
+    spark = df.sparkSession
+    fresh = records.store(df.withColumn(LOAD_TIMESTAMP, F.localtimestamp()), "partitions")
+    filled = {tuple(row) for row in fresh.select(*columns).distinct().collect()}
+    if not filled <= set(asked):
+        raise ValueError(f"rows of other partitions than asked: {sorted(filled - set(asked))}")
+    fresh.repartition(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    for values in set(asked) - filled:
+        versions.delete(spark, "/".join([path, *[f"{c}={v}" for c, v in zip(columns, values)]]))
+
+
+def refresh_monthly_revenue(path: str, fact_sales: DataFrame, dim_date: DataFrame, changed: DataFrame) -> int:
+    """Bring the stored monthly aggregate up to date with ``fact_sales``; returns the months written or removed.
+
+    ``changed`` holds the lines that were added, altered or deleted. Only the partitions of their months are built again, from
+    the fact read by date. All lines build the whole table.
+    """
+    months = views.months_of(changed, dim_date)
+    if months:
+        refresh_partitions(views.monthly_revenue_of(fact_sales, dim_date, months), path, views.MONTH, months)
+    return len(months)
+
+
 def stored_or_built(
     spark: SparkSession, root: str, names: list[str], build: Callable[[], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:

@@ -55,7 +55,25 @@ def test_orphans_count_null_keys_and_the_report_warns(spark):
 )
 def test_exact_median(spark, values):
     df = spark.createDataFrame([(v,) for v in [*values, None]], "v long")
-    assert quality.exact_median(df, "v").first().MEDIAN == median(values)
+    assert quality.exact_median(df, "v") == median(values)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[10**15, *range(30_000, 90_000, 7)], [-(2**63), 2**63 - 1, 5], [-(2**63), *range(1000), 2**63 - 1], [2**63 - 1] * 4],
+)
+def test_exact_median_with_far_outliers(spark, values):
+    assert quality.exact_median(spark.createDataFrame([(v,) for v in values], "v long"), "v") == median(values)
+
+
+def test_exact_median_narrows_until_no_part_is_large(spark, monkeypatch):
+    """One income of 1e15 leaves no pass with more parts than allowed, and several passes."""
+    passes, at = [], quality._value_at
+    monkeypatch.setattr(quality, "_value_at", lambda *a: passes.append(a) or at(*a))
+    monkeypatch.setattr(quality, "_BUCKETS", 100)
+    values = [10**15, *range(30_000, 90_000, 7)]
+    assert quality.exact_median(spark.createDataFrame([(v,) for v in values], "v long"), "v") == median(values)
+    assert quality.exact_median(spark.createDataFrame([], "v long"), "v") is None and len(passes) == 1
 
 
 def test_income_imputation(spark):
