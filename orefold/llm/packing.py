@@ -54,13 +54,24 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# The letters that stand for bytes in vocabularies of byte-level models (fixed values): printable ones for themselves, the
+# others in order from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {byte: chr(byte) for byte in _PRINTABLE} | {
+    byte: chr(256 + n) for n, byte in enumerate(sorted({*range(256)} - _PRINTABLE))
+}
+
+
 class PartTokenizer:
     """Ids of texts, for a tokenizer that lower-cases and joins neither words nor letters with digits or punctuation.
 
     A word of letters (ASCII and Latin-1), digits and ASCII punctuation is taken apart into its runs of one kind, lower-cased
     as bytes; a word with anything else (apostrophes, combining marks, other scripts) stays one part as it is. Equal
-    parts of a slice are found by their 64-bit hashes, each is looked up once in a bounded memo by its bytes, and unknown
-    ones are encoded together with a separator that is one token between them.
+    parts of a slice are found by their 64-bit hashes, each is looked up once in a bounded memo by its bytes. Unknown runs of
+    letters, which the library would hand to its model as they are, go to that model at once; other unknown parts are
+    encoded together with a separator that is one token between them.
+
+    The memo has two generations: when the younger is full it becomes the older, and what is found there moves up again.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,10 +80,33 @@ class PartTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.separator = self._ids(SEPARATOR)
         if len(self.separator) != 4:
             raise ValueError("the separator has to be one token")
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _letters(self, part: bytes) -> bytes:
+        """Ids of a lower-case run of letters: one word to the model, each byte as the letter that stands for it."""
+        word = part.decode("latin-1").translate(_BYTE_LETTERS)
+        return np.array([token.id for token in self.model.tokenize(word)], "<u4").tobytes()
+
+    def _lookup(self, parts: list[bytes], letters: list[bool]) -> list[bytes]:
+        if len(self.memo) > MEMO_PARTS // 2:
+            self.memo, self.older = {}, self.memo
+        unknown = []
+        for part, plain in zip(parts, letters):
+            if part not in self.memo:
+                found = self.older.get(part)
+                if found is not None:
+                    self.memo[part] = found
+                elif plain:
+                    self.memo[part] = self._letters(part)
+                else:
+                    unknown.append(part)
+        self._learn(unknown)
+        return list(map(self.memo.__getitem__, parts))
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -104,12 +138,10 @@ class PartTokenizer:
         edge = np.zeros(len(data) + 1, bool)
         edge[bounds] = True
         words = textgrid.split(column)
-        strange = np.concatenate([[0], np.cumsum(kind == _OTHER)])
-        strange = np.flatnonzero(strange[words.end] > strange[words.start])
-        step = np.zeros(len(data) + 1, np.int8)
-        step[words.start[strange]] += 1
-        step[words.end[strange]] -= 1
-        whole = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+        # Words with a byte of another kind, and all their bytes.
+        strange = np.unique(np.searchsorted(words.start, np.flatnonzero(kind == _OTHER), "right") - 1)
+        sizes = words.end[strange] - words.start[strange]
+        whole = np.repeat(words.start[strange] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         kind[whole] = _OTHER
         low[whole] = data[whole]
         change = np.ones(len(data) + 1, bool)
@@ -122,10 +154,7 @@ class PartTokenizer:
         _, shown, which = np.unique(parts.hashes(), return_index=True, return_inverse=True)
         raw = low.tobytes()
         keys = [raw[a:b] for a, b in zip(start[shown].tolist(), end[shown].tolist())]
-        if len(self.memo) > MEMO_PARTS:
-            self.memo.clear()
-        self._learn([key for key in keys if key not in self.memo])
-        ids = [self.memo[key] for key in keys]
+        ids = self._lookup(keys, (kind[start[shown]] == _LETTER).tolist())
         sizes = np.array([len(found) // 4 for found in ids], np.int64)
         flat = np.frombuffer(b"".join(ids), "<u4")
         counts = sizes[which]
@@ -233,7 +262,8 @@ def reduce_by_dominance(left: np.ndarray, plan: Plan, capacity: int = CAPACITY)
                 plan.put(length, plan.open(bins), bins, 1, 0)
                 left[length] = 0
             elif partner == length:
-                bins = int(left[length]) // 2 if 2 * length == capacity else 1
+                # Two fill a sequence, or dominance, which needs up to three more pieces of the length, has to be shown again.
+                bins = int(left[length]) // 2 if 2 * length == capacity else max(int(left[length]) // 2 - 2, 1)
                 plan.put(length, plan.open(bins), bins, 2, 0)
                 left[length] -= 2 * bins
             else:

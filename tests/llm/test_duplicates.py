@@ -366,3 +366,41 @@ def test_packing_on_edge_rows(spark, documents, long_text):
 def test_names_of_special_tokens_in_a_text_are_text():
     tokens, _ = packing.tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode(pa.array(["see <|endoftext|> here"]))
     assert tokens.tolist() == [862, 27, 347, 40786, 4160, 91, 285, 763]
+
+
+@pytest.mark.parametrize(
+    "counts",
+    [
+        {1500: 10**9},
+        {1500: 10**9, 1400: 10**9 + 1, 1300: 10**9 + 2},
+        {n: 10**9 + n for n in range(1300, 1600)},
+        {n: 10**9 for n in range(1, 4097, 7)},
+    ],
+)
+def test_plan_follows_the_number_of_lengths_not_of_documents(counts):
+    plan = packing.make_plan(counts)
+    assert len(plan.runs) <= 8 * len(counts)
+    packed = dict.fromkeys(counts, 0)
+    for run in plan.runs:
+        packed[run.length] += run.pieces
+    assert packed == counts
+    assert plan.sequences * packing.CAPACITY >= sum(length * n for length, n in counts.items())
+
+
+def test_equal_lengths_fixed_together_give_as_many_sequences_as_one_by_one():
+    for n in range(1, 40):
+        assert packing.make_plan({1500: n}).sequences == -(-n // 2)
+        assert packing.make_plan({1500: n, 1400: n}).sequences == -(-2 * n // 2)
+
+
+def test_parts_pushed_out_of_the_memo_keep_their_ids(monkeypatch):
+    words = [f"wört{i} Größe{i * 7919 % 1000}x y{i}'s" for i in range(3000)]
+    texts = pa.array([" ".join(words[i : i + 50]) for i in range(0, 3000, 10)])
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = packing.PartTokenizer(path).encode(texts)
+    monkeypatch.setattr(packing, "MEMO_PARTS", 100)
+    own = packing.PartTokenizer(path)
+    for _ in range(2):
+        parts = [own.encode(texts.slice(i, 1))[0] for i in range(len(texts))]
+        assert np.array_equal(np.concatenate(parts), whole[0])
+    assert len(own.memo) + len(own.older) < 1000
