@@ -6,8 +6,14 @@ automaton is laid out as one table (state, symbol) -> state whose missing entrie
 start, marked as a new phrase; so a text costs one lookup per symbol and language, and many pieces of text advance side by
 side. Pieces are counted alone (one extra phrase each) and added up, so a long text is bounded work in any order.
 
-Symbols are bytes of the lower-cased letters; everything else is one blank. Learning reads a bounded sample of labelled
-texts (``SAMPLE_DOCUMENTS`` per language, ``SAMPLE_BYTES`` of text each language in all); every text is scored whole.
+Symbols are bytes of the lower-cased letters; everything else is one blank. Counts are normalised, since languages have learned
+from different amounts of text: a phrase is worth the bits that point into the training text, the logarithm of its length, and
+a symbol that the training text lacks at least the bits of a byte. These bits of a text are its cross-entropy by parsing.
+
+Learning cuts all labelled texts, whole, into pieces of ``LEARNED_CHARS`` characters and takes ``LEARNED_PIECES`` different ones for
+each language by their hashes, a text in turn with the others. That is a bounded sample from everywhere in the texts: rows
+and passages that are repeated count once, no opening counts for more than the rest, and no long text for more than a short
+one. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -23,9 +29,9 @@ from orefold.llm import textgrid
 from orefold.llm.common import prepare, remainder
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE_DOCUMENTS = 200
-SAMPLE_BYTES = 12_000
-DOCUMENT_BYTES = 1_500
+LEARNED_CHARS = 256
+LEARNED_PIECES = 48
+LITERAL_BITS = 8
 PIECE = 512
 UNDETERMINED = "und"
 
@@ -86,6 +92,7 @@ class Parser:
     code: np.ndarray
     width: int
     table: np.ndarray
+    learned: int  # symbols of the training text
 
     @classmethod
     def of(cls, text: bytes) -> Parser:
@@ -101,7 +108,7 @@ class Parser:
         rows = [state for state, edges in enumerate(follow) for _ in edges]
         columns = [code[symbol] for edges in follow for symbol in edges]
         table[rows, columns] = [2 * target for edges in follow for target in edges.values()]
-        return cls(code, width, table.ravel())
+        return cls(code, width, table.ravel(), len(text))
 
     def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece: ``lanes[k]`` holds symbol k of all pieces, which are sorted by falling length."""
@@ -116,6 +123,12 @@ class Parser:
             state[:n] = step >> 1
         return count
 
+    def bits(self, phrases: np.ndarray, symbol_counts: np.ndarray) -> np.ndarray:
+        """Cost of texts with so many phrases and symbols (a column for each of the 256)."""
+        pointer = np.log2(max(self.learned, 2))
+        unknown = symbol_counts[:, self.code == 0].sum(1)
+        return (phrases - unknown) * pointer + unknown * max(pointer, LITERAL_BITS)
+
 
 @dataclass
 class Model:
@@ -133,7 +146,7 @@ def _has_letter(column: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.nd
 
 
 def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
-    """Language and score of every text of a batch: the winner's share of inverse phrase counts, sharpened."""
+    """Language and score of every text of a batch: the winner's share of inverse normalised counts, sharpened."""
     languages, scores = [], []
     parsers = model.parsers
     for low, high in textgrid.slices(column):
@@ -150,11 +163,15 @@ def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
         padded = np.concatenate([folded, np.full(PIECE, 32, np.uint8)])
         deepest = int(length[0]) if len(length) else 0
         lanes = padded[start[None, :] + np.arange(deepest)[:, None]]
-        needed = np.array([np.bincount(owner, p.phrases(lanes, length), len(sizes)) for p in parsers]).reshape(-1, len(sizes))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        symbol_counts = np.bincount(row * 256 + folded, minlength=256 * len(sizes)).reshape(-1, 256)
+        needed = np.array(
+            [p.bits(np.bincount(owner, p.phrases(lanes, length), len(sizes)), symbol_counts) for p in parsers]
+        ).reshape(-1, len(sizes))
         ok = _has_letter(part, data, bounds) & (len(parsers) > 0)
         if len(parsers):
             best = needed.argmin(0)
-            share = (needed.min(0) / np.maximum(needed, 1)) ** 4
+            share = (needed.min(0) / np.maximum(needed, 1e-9)) ** 4
             score = np.where(ok, 1 / np.maximum(share.sum(0), 1), 0.0)
         else:
             best, score = np.zeros(len(sizes), int), np.zeros(len(sizes))
@@ -163,34 +180,49 @@ def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     return languages, np.concatenate(scores) if scores else np.zeros(0)
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
-    """Learn from (text, lang): per language the texts whose key hashes lowest, their bytes joined by blanks.
+def learned_pieces(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
+    """Per language at most ``LEARNED_PIECES`` different pieces of its texts: of each text the one whose hash is lowest, then of
+    each the second, and so on, in the order of the hashes.
 
-    The sample is bounded by ``SAMPLE_DOCUMENTS`` and ``SAMPLE_BYTES`` per language. Texts are cut to ``DOCUMENT_BYTES`` in the
-    sample only, so that no single one fills it. Rows without text or language are not used.
+    A first pass estimates how many different first pieces there are. If they are many, a second keeps those below a hash that
+    four times as many as are wanted should pass. The driver gets the sample only. Rows without text, letters or
+    language give no pieces.
     """
-    clean = labelled.filter(F.col(lang).isNotNull() & (F.length(F.trim(F.col(text))) > 0)).select(
-        F.col(lang).cast("string").alias("language"),
-        F.xxhash64(F.col(key)).alias("at"),
-        F.substring(F.col(text), 1, DOCUMENT_BYTES).alias("piece"),
+    cut = F.regexp_extract_all(F.col(text).cast("string"), F.lit(f"(?s).{{1,{LEARNED_CHARS}}}"), F.lit(0))
+    lettered = F.filter(cut, lambda piece: piece.rlike(r"\p{L}"))
+    hashed = F.transform(lettered, lambda piece: F.struct(F.xxhash64(piece).alias("at"), piece.alias("piece")))
+    texts = labelled.filter(F.col(lang).isNotNull()).select(
+        F.col(lang).cast("string").alias("language"), F.array_sort(F.array_distinct(hashed)).alias("pieces")
+    )
+    first = texts.select("language", F.get("pieces", F.lit(0))["at"].alias("at")).filter(F.col("at").isNotNull())
+    different = first.groupBy("language").agg(F.approx_count_distinct("at").alias("n")).collect()
+    if not different:
+        return {}
+    passed = [(row["language"], 4 * LEARNED_PIECES / max(row["n"], 1)) for row in different]
+    limits = [(language, int(share * 2**64) - 2**63 if share < 1 else None) for language, share in passed]
+    limit = F.broadcast(labelled.sparkSession.createDataFrame(limits, "language string, highest long"))
+    ranked = texts.join(limit, "language").select(
+        "language", "highest", F.posexplode(F.slice("pieces", 1, LEARNED_PIECES)).alias("rank", "found")
     )
-    lowest = Window.partitionBy("language").orderBy("at")
+    low = F.col("highest").isNull() | ((F.col("rank") == 0) & (F.col("found.at") <= F.col("highest")))
     chosen = (
-        clean.select("language", "at", F.row_number().over(lowest).alias("nth"))
-        .filter(F.col("nth") <= SAMPLE_DOCUMENTS)
-        .select("language", "at")
-        .distinct()
+        ranked.filter(low)
+        .groupBy("language", F.col("found.at").alias("at"))
+        .agg(F.min("rank").alias("rank"), F.min("found.piece").alias("piece"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("language").orderBy("rank", "at")))
+        .filter(F.col("nth") <= LEARNED_PIECES)
     )
-    languages = sorted(row[0] for row in chosen.select("language").distinct().collect())
-    found = clean.join(F.broadcast(chosen), ["language", "at"]).orderBy("language", "at", "piece")
-    pieces: dict[str, list[str]] = {language: [] for language in languages}
-    for row in found.limit(SAMPLE_DOCUMENTS * max(1, len(languages))).collect():
-        pieces[row["language"]].append(row["piece"])
-    parsers = []
-    for language in languages:
-        joined = " ".join(pieces[language]).encode()[:SAMPLE_BYTES]
-        parsers.append(Parser.of(symbols(np.frombuffer(joined, np.uint8)).tobytes()))
-    return Model(languages, parsers)
+    found: dict[str, list[str]] = {language: [] for language, _ in sorted(limits)}
+    for row in chosen.orderBy("language", "nth").collect():
+        found[row["language"]].append(row["piece"])
+    return found
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Parsers of all languages, each learned from its pieces joined by blanks."""
+    pieces = learned_pieces(labelled, text, lang)
+    joined = [np.frombuffer(" ".join(found).encode(), np.uint8) for found in pieces.values()]
+    return Model(list(pieces), [Parser.of(symbols(text).tobytes()) for text in joined])
 
 
 def predict(spark: SparkSession, text: Column, model: Model) -> Column:

@@ -1,5 +1,7 @@
 """Toxicity, quality and language: held-out accuracy on the test tables, method checks, edge rows."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -167,3 +169,88 @@ def test_the_language_stage_keeps_what_identify_gives_a_language(spark, document
     assert sorted(r["doc_id"] or -1 for r in language.accepted(docs).collect()) == known
     one = documents([*EDGES, *train[:40]])
     assert language.accepted(one).count() == len([r for r in language.identify(one).collect() if r["lang_pred"] != "und"])
+
+
+def held_out(spark, documents, rows):
+    """Share of the held-out rows whose language is found, by language."""
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(documents(rows)).filter("held_out").collect()}
+    right = {}
+    for doc_id, _, lang in rows:
+        if doc_id in found:
+            right.setdefault(lang, []).append(found[doc_id] == lang)
+    return {lang: sum(r) / len(r) for lang, r in right.items()}
+
+
+@pytest.fixture(scope="module")
+def prose(spark):
+    """Texts of two languages of the test tables."""
+    rows = spark.read.parquet(f"{MIDDLE}/documents.parquet").filter("length(text) > 200").orderBy("doc_id").collect()
+    return {lang: [r["text"] for r in rows if r["lang"] == lang] for lang in ("en", "de")}
+
+
+def learning(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 3 != 1
+
+
+def test_a_row_stored_a_thousand_times_counts_once(spark, documents, prose):
+    rows = [(2 * i, t, "en") for i, t in enumerate(prose["en"][:60])] + [(2 * i + 1, t, "de") for i, t in enumerate(prose["de"][:60])]
+    repeated = next(row for row in rows if row[2] == "de" and learning(row[0]))
+    pieces = language.learned_pieces(documents([row for row in rows if learning(row[0])] + [repeated] * 1000))
+    assert pieces == language.learned_pieces(documents([row for row in rows if learning(row[0])]))
+    assert {len(found) for found in pieces.values()} == {language.LEARNED_PIECES}
+    assert min(held_out(spark, documents, rows + [repeated] * 1000).values()) > 0.95
+
+
+def test_a_language_with_300_bytes_is_found(spark, documents, prose):
+    rows = [(2 * i, t, "en") for i, t in enumerate(prose["en"][:90])]
+    known = next(i for i in range(1, 99, 2) if learning(i))
+    rows.append((known, prose["de"][0][:280], "de"))
+    rows += [(i, t, "de") for i, t in zip([i for i in range(1001, 2001, 2) if not learning(i)], prose["de"][1:60])]
+    right = held_out(spark, documents, rows)
+    assert right["de"] > 0.95 and right["en"] > 0.95
+
+
+def test_a_stray_label_on_a_tiny_text_wins_nothing(spark, documents, prose):
+    rows = [(2 * i, t, "en") for i, t in enumerate(prose["en"][:60])] + [(next(i for i in range(1, 99, 2) if learning(i)), "ok", "xx")]
+    assert held_out(spark, documents, rows)["en"] == 1
+
+
+def test_texts_with_a_long_opening_in_common(spark, documents, prose):
+    opening = prose["en"][0][:200] * 10
+    rows = [(2 * i, opening + t, "en") for i, t in enumerate(prose["en"][1:50])]
+    rows += [(2 * i + 1, opening + t * 8, "de") for i, t in enumerate(prose["de"][1:50])]
+    learned = language.learned_pieces(documents([row for row in rows if learning(row[0])]))
+    shared = [sum(piece in opening for piece in found) for found in learned.values()]
+    assert max(shared) <= len(opening) // language.LEARNED_CHARS + 1
+    assert min(held_out(spark, documents, rows).values()) > 0.9
+
+
+def test_the_choice_is_the_least_cost_of_a_plain_parse(spark, documents, prose):
+    """Greedy phrases by plain search in the training text, their bits, and the least of them."""
+    import math
+
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(t, lang) for lang in prose for t in prose[lang][:25]])]
+    model = language.learned(documents(rows))
+    sources = [
+        language.symbols(np.frombuffer(" ".join(found).encode(), np.uint8)).tobytes()
+        for found in language.learned_pieces(documents([row for row in rows if learning(row[0])])).values()
+    ]
+
+    def cost(text, source):
+        total = 0.0
+        for low in range(0, len(text), language.PIECE):
+            piece, at = text[low : low + language.PIECE], 0
+            while at < len(piece):
+                size = 1
+                known = piece[at : at + 1] in source
+                while known and at + size < len(piece) and piece[at : at + size + 1] in source:
+                    size += 1
+                bits = math.log2(len(source))
+                total += bits if known else max(bits, language.LITERAL_BITS)
+                at += size
+        return total
+
+    for row in language.identify(documents(rows), model).collect()[::7]:
+        text = language.symbols(np.frombuffer(rows[row["doc_id"]][1].encode(), np.uint8)).tobytes()
+        costs = [cost(text, source) for source in sources]
+        assert row["lang_pred"] == model.languages[costs.index(min(costs))]
