@@ -50,6 +50,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], label: str, how: str = "inner") -> DataFrame:
+    """Join rows with an aggregate of themselves by its keys, safe for a key that holds a large part of the rows.
+
+    The aggregate is stored first. Joined as it is, it would share the exchange of the rows and end in the middle of a stage,
+    where adaptive execution splits nothing; read back, it is a side of its own, and the skewed partitions of the rows are
+    split, or it is small enough, by its measured size, for Spark to broadcast it.
+    """
+    return rows.join(store(groups, label), keys, how)
+
+
 def drop(*stored: DataFrame) -> None:
     """Delete tables made by ``store`` that nothing will read again."""
     for df in stored:

@@ -4,9 +4,10 @@ An edge set is kept as (u, v) with u > v. A large-star round links every larger
 neighbour (or itself); a small-star round links the smaller neighbours of a node, and the node, to the smallest of them. Rounds
 alternate until the edges do not change; they are then one star per component, with the smallest id at its centre.
 
-A round is an aggregate (the smallest neighbour per node, combined before the shuffle) joined back to the edges, so a node with
-very many neighbours is a skewed join partition, which adaptive execution splits, and never one group in one task. Each round
-is stored in the shared scratch folder and the one before is deleted. Only the number of edges and a hash sum reach the driver.
+A round is an aggregate (the smallest neighbour per node, combined before the shuffle), stored and joined back to the edges, so
+a node with very many neighbours is a skewed join partition, which adaptive execution splits, and never one group in one
+task. Each round is stored in the shared scratch folder and the edges before are deleted. Only the number of edges and a hash
+sum reach the driver.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import drop, store
+from orefold.llm.common import drop, join_back, store
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -33,11 +34,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _ordered(both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return _ordered(join_back(both, least, ["u"], "least").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = store(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     linked = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _ordered(linked.unionByName(least.select("u", F.col("m").alias("v"))))
 

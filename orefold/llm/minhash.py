@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
 from orefold.llm import textgrid
-from orefold.llm.common import drop, prepare, store
+from orefold.llm.common import drop, join_back, prepare, store
 from orefold.llm.components import components
 
 SHINGLE = 5
@@ -181,7 +181,7 @@ def _shared(buckets: DataFrame) -> DataFrame:
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .filter(F.col("low") < F.col("high"))
     )
-    return buckets.join(ends, "band").select("band", "place", "id", "n", "low", "high")
+    return join_back(buckets, ends, ["band"], "bucket-ends").select("band", "place", "id", "n", "low", "high")
 
 
 def _with_ends(shared: DataFrame) -> DataFrame:
@@ -196,6 +196,7 @@ def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
     labelled = shared.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "band", "place", "id", "n", F.coalesce("component", "id").alias("component")
     )
+    labelled = store(labelled, "labelled-buckets")
     frequent = (
         labelled.groupBy("band", "component")
         .agg(F.count(F.lit(1)).alias("size"))
@@ -207,7 +208,7 @@ def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
         )
         .filter("others > 0")
     )
-    return labelled.join(frequent, "band")
+    return join_back(labelled, frequent, ["band"], "mixed-bands")
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -225,6 +226,14 @@ def _dealt(members: DataFrame) -> DataFrame:
     return members.select("*", F.explode(places).alias("at")).select("*", "at.*").drop("at")
 
 
+def sliced_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of many texts, a slice at a time: what is held at once is the sets, not the work on all bytes."""
+    parts = [(low, shingle_sets(texts.slice(low, high - low))) for low, high in textgrid.slices(texts)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate([low + owner for low, (owner, _) in parts]), np.concatenate([values for _, (_, values) in parts])
+
+
 def compare_block(block: pa.Table) -> pa.Table:
     """Links (a, b) between components of one block, at most one for each asking member and component.
 
@@ -235,7 +244,7 @@ def compare_block(block: pa.Table) -> pa.Table:
     main, place = block["main"][0].as_py(), block["place"][0].as_py()
     bands = np.array(block["bands"].to_pylist(), np.int64)[:, :place]
     sketch = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(-1, _MINIMA)
-    owner, values = shingle_sets(block["text"].combine_chunks())
+    owner, values = sliced_sets(block["text"].combine_chunks())
     codes = np.unique(values, return_inverse=True)[1]
     first = np.searchsorted(owner, np.arange(len(ids) + 1))
     marked = np.zeros(int(codes.max(initial=-1)) + 1, bool)
@@ -288,7 +297,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     table = store(signed(narrow), "signatures")
     keys = ["n_shingles", "key_a", "key_b"]
     members = store(table.select("doc_id", *keys), "members")
-    sets = members.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("id"))
+    sets = store(members.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("id")), "sets")
     first = sets.dropna(subset=["id"]).groupBy("id").agg(F.min(F.struct(*keys)).alias("of")).select("id", "of.*")
     signed_ids = table.withColumnRenamed("doc_id", "id").join(first, ["id", *keys]).dropDuplicates(["id"])
     classes = store(signed_ids.select("id", F.col("n_shingles").alias("n"), "bands", "sketch"), "classes")

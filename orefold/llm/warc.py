@@ -24,10 +24,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm.common import prepare, store
+from orefold.llm.common import drop, join_back, prepare, store
 from orefold.session import scratch_path
 
 ROWS_PER_ARCHIVE = 4000
@@ -51,6 +51,12 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if ":" in uri else (pafs.LocalFileSystem(), uri)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system in which Spark finds it, so that every executor means the same folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
+
+
 def _number(value) -> str:
     return NO_ID if value is None else str(value)
 
@@ -96,23 +102,29 @@ def _page(urn: str) -> int | None:
 def resolved(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, bytes and the page that each repeats (null for responses).
 
-    Only digests and ids are grouped, combined before the shuffle; a digest shared by a third of the pages is one row per
-    map task. The join back is on the digest, where adaptive execution splits a hot one.
+    Digests and ids are stored and resolved by themselves: a digest shared by a third of the pages is one row per map task when
+    the responses are found, and a split partition when they are joined back. The html is never moved by its digest, only
+    joined with the references by page_id, or not moved at all while these are few enough for Spark to broadcast.
     """
     body = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.unhex(F.sha1(F.col("html").cast("binary"))))
+    known = store(body.select("page_id", "digest"), "page-digests")
     repeats = (
-        body.groupBy("digest")
+        known.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("page_id").alias("response_id"))
         .filter("copies > 1 AND response_id IS NOT NULL")
-        .select(F.col("digest").alias("repeated"), "response_id")
+        .select("digest", "response_id")
     )
-    joined = body.join(repeats, body.digest == repeats.repeated, "left")
     other = (F.col("page_id") != F.col("response_id")) | F.col("page_id").isNull()
-    return joined.select("page_id", "url", "html", "digest", F.when(other, F.col("response_id")).alias("refers_to"))
+    met = join_back(known, repeats, ["digest"], "repeated-payloads").filter(other)
+    references = store(met.select("page_id", "digest", "response_id").distinct(), "references")
+    drop(known)
+    its = references.select(F.col("page_id").alias("its_id"), F.col("digest").alias("its_digest"), "response_id")
+    same = F.col("page_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    return body.join(its, same, "left").select("page_id", "url", "html", "digest", F.col("response_id").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -292,7 +304,7 @@ def sound(records: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write, normalise and read back; raises if a record was lost or a payload no longer has its digest."""
-    root = scratch_path(pages.sparkSession, "warc")
+    root = qualified(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
     manifest = write_archives(pages, f"{root}/monolithic")
     written = manifest.agg(F.sum("records")).first()[0] or 0
     index = normalise(manifest, f"{root}/members")
