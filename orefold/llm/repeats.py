@@ -4,22 +4,23 @@ A window is 50 consecutive words of one document. Every word covered by a window
 with a smaller doc_id is removed; windows are judged on the input.
 
 1. Phrases. In each window the eight-word phrase with the smallest hash (leftmost if equal) stands for it, so equal windows
-   have equal phrases at equal places. Neighbouring windows share a phrase: one row per phrase place holds the phrase, the
-   words all its windows cover (its context, as a hash) and which windows they are: about one row per 22 words.
-2. Confirming. Phrases found in two documents or more recur. Of documents with equal contexts all but the smallest repeat
-   every window of it: done. Only where a phrase stands in different contexts the windows themselves are looked at, once per
-   context, in its smallest document.
-3. Automata. These documents are dealt into shards; for each part of a shard the phrases that its documents ask for are compiled
-   into an Aho-Corasick automaton, all its texts are streamed through it, and every place found that stands for windows
-   yields one row per window. So each document meets the phrases that can occur in it and no others, and the work
-   grows with the text, not with text times phrases.
-4. Windows are grouped by phrase and hash; those with a smaller document are removed from the others.
-
-Groups are aggregates joined back (a hot phrase is split by adaptive execution); what is collected per document is its own windows.
-Keys are two 64-bit hashes, of the phrase and of the context or window. Texts are shuffled for documents that are to be
-searched or cut, not for others, as long as their ids fit into a broadcast of checked size. A null text has no words.
-Rows with a null doc_id have no place in the order: they lose nothing and take nothing from others. Rows of equal doc_id never
-take from each other.
+   have equal phrases at equal places: about one phrase place per 22 words.
+2. Confirming. Phrases found in two documents or more recur; each is kept once, with its words, as a pattern.
+3. Automata. Documents are dealt into shards of bounded text. The patterns that can occur in a shard, those whose hashes its
+   documents have, are compiled into an Aho-Corasick automaton, and every text of the shard is streamed through it. Its hits
+   are the places: what it does not find is no place, whatever the hashes say. So each document meets the patterns that can
+   occur in it and no others, and the work grows with the text, not with text times patterns. Documents without a
+   recurring phrase have no patterns and are not streamed.
+4. Contexts. Neighbouring windows share a phrase: one row per place holds the phrase, the words all its windows cover (its
+   context, as a hash) and which windows they are. Of documents with equal contexts all but the smallest repeat every
+   window of it: done. Only where a phrase stands in different contexts the windows themselves are looked at, once per
+   context, in its smallest document, grouped by phrase and hash; those with a smaller document are removed from the others.
+
+Groups are stored aggregates joined back (a hot phrase is split by adaptive execution); what is collected per document is its
+own phrases and windows. Keys are two 64-bit hashes, of the phrase and of the context or window. Texts are shuffled for
+documents that are to be streamed or cut, not for others, as long as their ids fit into a broadcast of checked size. A null
+text has no words. Rows with a null doc_id have no place in the order: they lose nothing and take nothing from others. Rows
+of equal doc_id never take from each other.
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from orefold.llm import textgrid
-from orefold.llm.common import drop, prepare, store
+from orefold.llm.common import drop, join_back, prepare, store
 
 WINDOW = 50
 PHRASE = 8
 BROADCAST_DOCUMENTS = 1_000_000
 
+PHRASES = "doc_id long, text_key long, phrase long, words string"
 PLACES = "doc_id long, text_key long, phrase long, context long, low int, high int"
 WINDOWS = "doc_id long, text_key long, phrase long, window long, start int"
 
@@ -75,62 +77,84 @@ def _int64(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64), pa.int64())
 
 
-def phrase_places(docs: DataFrame) -> DataFrame:
-    """One row per phrase place of every document: (doc_id, text_key, phrase, context, low, high)."""
+def phrases(docs: DataFrame) -> DataFrame:
+    """The phrases that stand for windows of every document, with their words: (doc_id, text_key, phrase, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in textgrid.slices(batch.column(2)):
                 part = batch.slice(i, j - i)
                 found = Places(part.column(2))
-                owner, origin = pa.array(found.owner), found.words.first[found.owner]
+                once = np.unique(np.stack([found.owner.astype(np.uint64), found.phrase]), axis=1, return_index=True)[1]
+                owner = pa.array(found.owner[once])
+                said = [b" ".join(found.words.text(k, k + PHRASE)).decode() for k in found.place[once].tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(owner),
-                        part.column(1).take(owner),
-                        _int64(found.phrase),
-                        _int64(found.contexts()),
-                        pa.array(found.low - origin, pa.int32()),
-                        pa.array(found.high - origin, pa.int32()),
-                    ],
-                    [part.split()[0] for part in PLACES.split(", ")],
+                    [part.column(0).take(owner), part.column(1).take(owner), _int64(found.phrase[once]), pa.array(said, pa.string())],
+                    [part.split()[0] for part in PHRASES.split(", ")],
                 )
 
-    return docs.mapInArrow(run, PLACES)
+    return docs.mapInArrow(run, PHRASES)
 
 
-def _located(found: Places, wanted: list[set[int]]) -> np.ndarray:
-    """Numbers of the places whose phrase the automaton of this slice finds where its document asks for it."""
-    words, signed = found.words, found.phrase.view(np.int64).tolist()
-    asked = [k for k, (owner, phrase) in enumerate(zip(found.owner.tolist(), signed)) if phrase in wanted[owner]]
+def hits(words: textgrid.Words, patterns: set[str]) -> np.ndarray:
+    """Ascending numbers of the words at which the automaton of the patterns finds one, over all texts."""
     automaton = ahocorasick.Automaton()
-    for k in asked:
-        place = int(found.place[k])
-        phrase = f" {b' '.join(words.text(place, place + PHRASE)).decode('latin-1')} "
-        automaton.add_word(phrase, len(phrase))
+    for pattern in patterns:
+        # Words are compared as bytes, one character each, between blanks: a pattern begins and ends at a word.
+        streamed = f" {pattern.encode().decode('latin-1')} "
+        automaton.add_word(streamed, len(streamed))
     if not len(automaton):
         return np.zeros(0, np.int64)
     automaton.make_automaton()
-    seen: list[int] = []
-    for text in sorted({int(found.owner[k]) for k in asked}):
-        low, high = int(words.first[text]), int(words.first[text + 1])
+    seen = [np.zeros(0, np.int64)]
+    for low, high in zip(words.first.tolist(), words.first[1:].tolist()):
         streamed = f" {b' '.join(words.text(low, high)).decode('latin-1')} "
+        begins = np.fromiter((end - size + 1 for end, size in automaton.iter(streamed)), np.int64)
         sizes = words.end[low:high] - words.start[low:high] + 1
-        at = {start: low + n for n, start in enumerate((np.cumsum(sizes) - sizes).tolist())}
-        seen += [at[end - size + 1] for end, size in automaton.iter(streamed)]
-    places = np.isin(found.place[asked], np.array(sorted(set(seen)), np.int64))
-    return np.array(asked, np.int64)[places]
+        seen.append(low + np.searchsorted(np.cumsum(sizes) - sizes, begins))
+    return np.unique(np.concatenate(seen))
+
+
+def phrase_places(docs: DataFrame) -> DataFrame:
+    """The places at which the automaton of a shard finds a pattern (array ``patterns`` of its documents) that stands for
+    windows there: (doc_id, text_key, phrase, context, low, high)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in textgrid.slices(batch.column(2)):
+                part = batch.slice(i, j - i)
+                found = Places(part.column(2))
+                patterns = set(part.column(3).flatten().to_pylist())
+                at = np.flatnonzero(np.isin(found.place, hits(found.words, patterns)))
+                owner, origin = pa.array(found.owner[at]), found.words.first[found.owner[at]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(owner),
+                        part.column(1).take(owner),
+                        _int64(found.phrase[at]),
+                        _int64(found.contexts()[at]),
+                        pa.array(found.low[at] - origin, pa.int32()),
+                        pa.array(found.high[at] - origin, pa.int32()),
+                    ],
+                    [part.split()[0] for part in PLACES.split(", ")],
+                )
+
+    return docs.mapInArrow(run, PLACES)
 
 
 def located_windows(docs: DataFrame) -> DataFrame:
-    """Windows around the phrases (array ``phrases``) that each document asks for: (doc_id, text_key, phrase, window, start)."""
+    """Windows at the places of the phrases (array ``phrases``) that each document is asked for, which the automata found:
+    (doc_id, text_key, phrase, window, start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in textgrid.slices(batch.column(2)):
                 part = batch.slice(i, j - i)
                 found = Places(part.column(2))
-                places = _located(found, [set(phrases) for phrases in part.column(3).to_pylist()])
+                wanted = [set(asked) for asked in part.column(3).to_pylist()]
+                signed = found.phrase.view(np.int64).tolist()
+                asked = [k for k, (owner, phrase) in enumerate(zip(found.owner.tolist(), signed)) if phrase in wanted[owner]]
+                places = np.array(asked, np.int64)
                 low, count = found.low[places], found.high[places] - found.low[places] + 1
                 start = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
                 owner = np.repeat(found.owner[places], count)
@@ -159,22 +183,44 @@ def _few(ids: DataFrame) -> bool:
 
 
 def _beyond_smallest(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Smallest doc_id per key, and the rows of larger ones."""
-    least = rows.groupBy(*keys).agg(F.min("doc_id").alias("smallest"))
+    """Smallest doc_id per key, a stored table, and the rows of larger ones."""
+    least = store(rows.groupBy(*keys).agg(F.min("doc_id").alias("smallest")), "smallest")
     return least, rows.join(least, keys).filter(F.col("doc_id") > F.col("smallest"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, spans) of the documents that lose words: an array of (start, end) word numbers; a stored table."""
-    places = store(phrase_places(docs.filter("doc_id IS NOT NULL")), "phrase-places")
+def patterns(said: DataFrame) -> DataFrame:
+    """phrase and words of every phrase that two documents or more have; a stored table."""
     recurring = (
-        places.groupBy("phrase")
+        said.groupBy("phrase")
         .agg(F.min("doc_id").alias("low_id"), F.max("doc_id").alias("high_id"))
         .filter(F.col("low_id") < F.col("high_id"))
-        .select("phrase")
     )
-    confirmed = store(places.join(recurring, "phrase"), "recurring-places")
-    drop(places)
+    of_smallest = join_back(said, recurring, ["phrase"], "recurring-phrases").filter(F.col("doc_id") == F.col("low_id"))
+    return store(of_smallest.groupBy("phrase").agg(F.min("words").alias("words")), "patterns")
+
+
+def _of_few(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The documents that are asked for anything, with what they are asked for; others aren't shuffled while those are few."""
+    keys = ["doc_id", "text_key"]
+    if _few(asked):
+        docs = docs.join(F.broadcast(asked.select(*keys)), keys, "left_semi")
+    return docs.join(asked, keys)
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, spans) of the documents that lose words: an array of (start, end) word numbers; a stored table."""
+    said = store(phrases(docs.filter("doc_id IS NOT NULL")), "phrases")
+    known = patterns(said)
+    shards = (
+        said.select("doc_id", "text_key", "phrase")
+        .join(known, "phrase")
+        .groupBy("doc_id", "text_key")
+        .agg(F.collect_set("words").alias("patterns"))
+    )
+    shards = store(shards, "document-patterns")
+    streamed = _of_few(docs, shards).select("doc_id", "text_key", "text", "patterns")
+    confirmed = store(phrase_places(streamed), "recurring-places")
+    drop(said, known, shards)
     least, copies = _beyond_smallest(confirmed, ["phrase", "context"])
     whole = copies.select("doc_id", "text_key", F.col("low").alias("start"), (F.col("high") + WINDOW).alias("end"))
     whole_stored = store(whole, "repeated-contexts")
@@ -187,7 +233,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .select("phrase")
     )
     # Stored, so that the join on the phrase alone stands by itself and a hot phrase can be split.
-    ambiguous = store(contexts.join(differing, "phrase"), "differing-contexts")
+    ambiguous = store(join_back(contexts, differing, ["phrase"], "differing-phrases"), "differing-contexts")
     asked = (
         confirmed.join(ambiguous, ["phrase", "context"])
         .filter(F.col("doc_id") == F.col("smallest"))
@@ -195,10 +241,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("phrase").alias("phrases"))
     )
     asked = store(asked, "asked-phrases")
-    searched = docs
-    if _few(asked):
-        searched = docs.join(F.broadcast(asked.select("doc_id", "text_key")), ["doc_id", "text_key"], "left_semi")
-    searched = searched.join(asked, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "phrases")
+    searched = _of_few(docs, asked).select("doc_id", "text_key", "text", "phrases")
     windows = store(located_windows(searched), "windows")
     _, repeated = _beyond_smallest(windows, ["phrase", "window"])
     single = repeated.select("doc_id", "text_key", "start", (F.col("start") + WINDOW).alias("end"))
@@ -206,7 +249,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
     )
     stored = store(spans, "spans")
-    drop(confirmed, whole_stored, ambiguous, asked, windows)
+    drop(confirmed, least, whole_stored, ambiguous, asked, windows)
     return stored
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from orefold.llm import components, fingerprint, minhash, packing, queries, repeats
+from orefold.llm import components, fingerprint, minhash, packing, queries, repeats, textgrid
 from tests.llm.conftest import SMALL
 
 
@@ -404,3 +404,33 @@ def test_parts_pushed_out_of_the_memo_keep_their_ids(monkeypatch):
         parts = [own.encode(texts.slice(i, 1))[0] for i in range(len(texts))]
         assert np.array_equal(np.concatenate(parts), whole[0])
     assert len(own.memo) + len(own.older) < 1000
+
+
+def located(spark, rows):
+    """(doc_id, low) of the places that the automata find for documents with their patterns."""
+    df = spark.createDataFrame([(i, 0, text, found) for i, text, found in rows], "doc_id long, text_key long, text string, patterns array<string>")
+    return sorted((r["doc_id"], r["low"]) for r in repeats.phrase_places(df).collect())
+
+
+def test_the_hits_of_the_automaton_are_the_places(spark, documents):
+    """Places come from patterns only: without a pattern its places are gone, and a pattern changed in a letter finds none."""
+    draw = random.Random(3)
+    passage = " ".join(f"{draw.choice('abcdé')}{draw.randrange(500)}" for _ in range(130))
+    texts = {1: f"one {passage} end", 2: f"another\n{passage}\tstop here", 3: "nothing in common " * 40}
+    said = repeats.phrases(repeats.keyed(documents(list(texts.items()))))
+    known = sorted(r["words"] for r in repeats.patterns(repeats.store(said, "said")).collect())
+    assert len(known) > 3 and all(pattern in passage for pattern in known)
+    rows = lambda patterns: [(i, text, patterns) for i, text in texts.items()]
+    whole = located(spark, rows(known))
+    assert {i for i, _ in whole} == {1, 2} and located(spark, rows([])) == []
+    for left_out in known[:3]:
+        rest = located(spark, rows([p for p in known if p != left_out]))
+        assert set(rest) < set(whole) and {i for i, _ in set(whole) - set(rest)} == {1, 2}
+        assert rest == located(spark, rows([p if p != left_out else f"{p}x" for p in known]))
+
+
+def test_patterns_match_whole_words_only():
+    words = textgrid.split(pa.array(["xa b c", "a b cx", "a  b\tc", None, "", "é b c a b c"]))
+    assert repeats.hits(words, {"a b c"}).tolist() == [6, 12]
+    assert repeats.hits(words, {"é b c", "b c"}).tolist() == [1, 7, 9, 10, 13]
+    assert repeats.hits(words, set()).tolist() == []
