@@ -87,13 +87,19 @@ def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> Dat
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_label: int, folds: int, held_out: int) -> DataFrame:
     """labelled_id, text, n_chars and ``label`` of a bounded sample of the labelled documents outside the held-out fold.
 
-    The sample holds at most ``per_label`` ids of each label, so sending them to every task is bounded too. Rows of equal id
-    all come; whoever collects them keeps one of each.
+    The sample holds at most ``per_label`` ids of each label, so sending them to every task is bounded too. An id with both
+    labels has label 0. Rows of equal id all come; whoever collects them keeps one of each, see ``one_per_id``.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("labelled_id"), F.col(label).cast("int").alias("label"))
     known = known.filter(remainder("labelled_id", folds) != held_out)
-    picked = bounded_sample(known, "label", "labelled_id", per_label).dropDuplicates(["labelled_id"])
+    picked = bounded_sample(known, "label", "labelled_id", per_label).groupBy("labelled_id").agg(F.min("label").alias("label"))
     size = F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)
     body = docs.select("doc_id", F.col("text").cast("string").alias("text"), size.cast("long").alias("n_chars"))
     found = body.join(F.broadcast(picked), F.col("doc_id") == F.col("labelled_id"))
     return found.select("labelled_id", "text", "n_chars", "label")
+
+
+def one_per_id(sample: DataFrame) -> DataFrame:
+    """Of several rows of one ``id`` the least in its other columns, in their order: the same in every run."""
+    others = [c for c in sample.columns if c != "id"]
+    return sample.groupBy("id").agg(F.min(F.struct(*others)).alias("row")).select("id", "row.*")

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType
+from pyspark.sql.types import BooleanType, DoubleType, MapType, VariantType
 
 from orefold.llm import textgrid
 from orefold.llm.common import drop, join_back, prepare, store
@@ -281,7 +281,7 @@ def _across_components(shared: DataFrame, found: DataFrame, classes: DataFrame,
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     if ids.count() <= BROADCAST_PAIRS:
         ids = F.broadcast(ids)
-    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     known = classes.select("id", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "id"), "id")
     dealt = _dealt(members).join(known, "id")
     block = dealt.select("band", "p", "q", "asks", "id", "component", "main", "n", "place", "bands", "sketch", "text")
@@ -326,7 +326,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents with all their columns, one of each group: the smallest id, and one row of each repeated id.
+    """The documents with all their columns, one of each group: the smallest id, and of a repeated id the row with the least
+    text, then the least other columns.
 
     What goes is taken out by an anti join, so the texts aren't shuffled while its ids are few (checked).
     """
@@ -342,5 +343,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     if again.count() <= BROADCAST_PAIRS:
         again = F.broadcast(again)
     own = left[key].cast("bigint")
-    once = left.join(again, own == F.col("__again"), "left_semi").dropDuplicates([key])
+    repeated = left.join(again, own == F.col("__again"), "left_semi")
+    sortable = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    order = F.struct(F.col(text).alias("__text"), *[F.col(name).alias(f"__{i}") for i, name in enumerate(sortable)])
+    least = repeated.groupBy(own.alias("__again")).agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
+    once = least.select("__row.*")
     return left.join(again, own == F.col("__again"), "left_anti").unionByName(once)

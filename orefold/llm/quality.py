@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold.llm import textgrid
-from orefold.llm.common import labelled, prepare, remainder
+from orefold.llm.common import labelled, one_per_id, prepare, remainder
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -175,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     sample = labelled(docs, labels, "quality", per_label, FOLDS, HELD_OUT)
     sample = sample.select("text", "n_chars", "label", "labelled_id")
     kind = "label int, id long, places array<int>, table array<double>"
-    found = sample.mapInArrow(measured, kind).dropDuplicates(["id"]).toArrow().sort_by("id")
+    found = one_per_id(sample.mapInArrow(measured, kind)).toArrow().sort_by("id")
     rows = [np.array(row, np.int64) for row in found["places"].to_pylist()]
     table = np.array(found["table"].to_pylist(), float).reshape(-1, N_STATISTICS)
     return fit(rows, table, np.array(found["label"].to_pylist(), float))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold.llm import textgrid
-from orefold.llm.common import labelled, prepare, remainder
+from orefold.llm.common import labelled, one_per_id, prepare, remainder
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -194,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, penalty: float = PENALTY, per_labe
             )
 
     sample = labelled(docs, labels, "toxic", per_label, FOLDS, HELD_OUT).select("text", "label", "labelled_id")
-    found = sample.mapInArrow(features, "label int, id long, places array<int>").dropDuplicates(["id"]).toArrow().sort_by("id")
+    found = one_per_id(sample.mapInArrow(features, "label int, id long, places array<int>")).toArrow().sort_by("id")
     places = found["places"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
     rows = [np.array(row, np.int64) for row in places.to_pylist()]
     return fit(rows, np.array(found["label"].to_pylist(), float), swaps(), penalty)

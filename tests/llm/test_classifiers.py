@@ -254,3 +254,29 @@ def test_the_choice_is_the_least_cost_of_a_plain_parse(spark, documents, prose):
         text = language.symbols(np.frombuffer(rows[row["doc_id"]][1].encode(), np.uint8)).tobytes()
         costs = [cost(text, source) for source in sources]
         assert row["lang_pred"] == model.languages[costs.index(min(costs))]
+
+
+def test_conflicting_labels_and_rows_of_one_id_have_a_defined_choice(spark, documents, labels):
+    from orefold.llm.common import labelled, one_per_id
+
+    known = labels([(i, 0, 0) for i in range(20)] + [(i, 1, 1) for i in range(20)])
+    sample = labelled(documents([(i, f"text {i}") for i in range(20)]), known, "toxic", 50, 3, 1)
+    assert {r["label"] for r in sample.collect()} == {0}
+    rows = spark.createDataFrame([(1, 1, [2]), (1, 0, [9]), (1, 0, [3, 1]), (2, 1, [])], "id long, label int, places array<int>")
+    assert sorted(map(tuple, one_per_id(rows).collect())) == [(1, 0, [3, 1]), (2, 1, [])]
+
+
+def test_toxicity_scores_match_a_plain_recomputation(spark):
+    """Each distinct place of a text once, its weights added up in a loop, then the logistic function."""
+    import math
+
+    docs, labels = tables(spark)
+    model = toxicity.train(docs, labels)
+    rows = toxicity.classify(docs, labels, model).join(docs.select("doc_id", "text"), "doc_id").limit(60).collect()
+    assert len({round(row["score"], 3) for row in rows}) > 5
+    for row in rows:
+        _, places = toxicity.word_features(pa.array([row["text"]]))
+        margin = model.bias
+        for place in sorted(set(places.tolist())):
+            margin += float(model.weights[place])
+        assert abs(1 / (1 + math.exp(-margin)) - row["score"]) < 1e-6

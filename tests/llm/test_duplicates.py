@@ -434,3 +434,21 @@ def test_patterns_match_whole_words_only():
     assert repeats.hits(words, {"a b c"}).tolist() == [6, 12]
     assert repeats.hits(words, {"é b c", "b c"}).tolist() == [1, 7, 9, 10, 13]
     assert repeats.hits(words, set()).tolist() == []
+
+
+def test_of_rows_with_equal_id_the_least_text_stays(spark):
+    docs = spark.createDataFrame(
+        [(1, "b text of five words", "de"), (1, "a text of five words", "fr"), (1, "a text of five words", "en"), (2, "other", None)],
+        "doc_id long, text string, lang string",
+    )
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, "a text of five words", "en"), (2, "other", None)]
+
+
+def test_sets_of_many_texts_are_those_of_each(long_text):
+    texts = pa.array([long_text, None, "", "a b c d e f", "é " * 9, long_text[: len(long_text) // 2]] * 4)
+    owner, values = minhash.sliced_sets(texts)
+    for i in range(len(texts)):
+        alone = minhash.shingle_sets(texts.slice(i, 1))[1]
+        assert sorted(values[owner == i].tolist()) == sorted(alone.tolist())
