@@ -18,6 +18,7 @@ sorted or counted in one task.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -44,7 +45,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Token ids
 
 
-_SPACE, _LETTER, _DIGIT, _PUNCTUATION, _OTHER = range(5)
+_SPACE, _LETTER, _DIGIT, _PUNCTUATION, _OTHER, _SPECIAL = range(6)
 _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 for _byte in range(33, 127):
@@ -71,6 +72,9 @@ class PartTokenizer:
     letters, which the library would hand to its model as they are, go to that model at once; other unknown parts are
     encoded together with a separator that is one token between them.
 
+    The name of a special token in a text is that token, as the library has it: it is looked for in the text as it is, before
+    anything else, and is a part of its own that ends the parts beside it.
+
     The memo has two generations: when the younger is full it becomes the older, and what is found there moves up again.
     """
 
@@ -79,7 +83,11 @@ class PartTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(token.normalized or token.single_word or token.lstrip or token.rstrip for token in added):
+            raise ValueError("special tokens have to be found in the text as it is")
+        names = sorted((token.content.encode() for token in added), key=len, reverse=True)
+        self.names = re.compile(b"|".join(map(re.escape, names)) or b"(?!)")
         self.model = self.tokenizer.model
         self.separator = self._ids(SEPARATOR)
         if len(self.separator) != 4:
@@ -126,6 +134,11 @@ class PartTokenizer:
             for part, start, end in zip(some, starts, [*ends, len(raw)], strict=True):
                 self.memo[part] = raw[start:end]
 
+    def _special(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """First byte and end of each name of a special token; none reaches from one text into the next."""
+        found = np.array([match.span() for match in self.names.finditer(data)], np.int64).reshape(-1, 2)
+        return found[np.searchsorted(bounds, found[:, 0], "right") == np.searchsorted(bounds, found[:, 1])]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (one more than texts)."""
         data, bounds = textgrid.texts(column)
@@ -144,6 +157,10 @@ class PartTokenizer:
         whole = np.repeat(words.start[strange] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         kind[whole] = _OTHER
         low[whole] = data[whole]
+        special = self._special(data, bounds)
+        for begin, stop in special.tolist():
+            kind[begin:stop] = _SPECIAL
+        edge[special] = True
         change = np.ones(len(data) + 1, bool)
         change[1:-1] = kind[1:] != kind[:-1]
         change |= edge
