@@ -8,8 +8,8 @@ probability (1 - 0.75 ** 5) ** 40 = 2e-5.
 Within a bucket no pairs are listed. First round: every member is compared with the bucket's smallest and largest id only. Of its
 candidates each class keeps the one whose signature agrees most, and that link is confirmed on the full sets. The components of
 these links are found. Second round, for buckets whose members ended up in different components: members outside the bucket's
-most frequent component are compared with the members of other components, in blocks of at most ``BLOCK`` by ``BLOCK``, inside
-a task each, and only links leave it. So every pair of a bucket is either in one component already or is compared
+most frequent component are compared with the members of other components, in blocks of about ``BLOCK`` by ``BLOCK`` members and
+``BLOCK_BYTES`` by ``BLOCK_BYTES`` of text (or one longer text), inside a task each, and only links leave it. So every pair of a bucket is either in one component already or is compared
 itself, no list of pairs is ever made, and a bucket filled by one group of copies costs its size. (Large families whose
 members are alike but just below the threshold still cost the time, not the space, of their pairs: no estimate can tell
 them from links.)
@@ -42,6 +42,7 @@ LEAST_PERCENT = 75
 LEAST_AGREEMENT = 0.56
 BROADCAST_PAIRS = 1_000_000
 BLOCK = 512
+BLOCK_BYTES = 8 << 20
 
 _MINIMA = BANDS * ROWS
 _RNG = np.random.Generator(np.random.PCG64(5))
@@ -50,7 +51,7 @@ _SHIFT = _RNG.integers(0, 1 << 32, _MINIMA, dtype=np.uint32)
 _BAND = _RNG.integers(0, 1 << 64, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _KEYS = _RNG.integers(0, 1 << 64, 2, dtype=np.uint64)
 
-SIGNATURE = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, sketch binary"
+SIGNATURE = "doc_id long, n_bytes long, n_shingles long, key_a long, key_b long, bands array<long>, sketch binary"
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,13 +128,14 @@ def signed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        pa.array(np.diff(textgrid.texts(part.column(1))[1])),
                         pa.array(sizes),
                         pa.array(key_a.view(np.int64)),
                         pa.array(key_b.view(np.int64)),
                         pa.ListArray.from_arrays(offsets, flat),
                         pa.array([row.tobytes() for row in sketch], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "key_a", "key_b", "bands", "sketch"],
+                    ["doc_id", "n_bytes", "n_shingles", "key_a", "key_b", "bands", "sketch"],
                 )
 
     return docs.mapInArrow(run, SIGNATURE)
@@ -181,7 +183,7 @@ def _shared(buckets: DataFrame) -> DataFrame:
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .filter(F.col("low") < F.col("high"))
     )
-    return join_back(buckets, ends, ["band"], "bucket-ends").select("band", "place", "id", "n", "low", "high")
+    return join_back(buckets, ends, ["band"], "bucket-ends").select(*buckets.columns, "low", "high")
 
 
 def _with_ends(shared: DataFrame) -> DataFrame:
@@ -192,19 +194,21 @@ def _with_ends(shared: DataFrame) -> DataFrame:
 
 def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets with several components: their component, the bucket's most frequent one, and how many members
-    and how many outside that component there are."""
+    and bytes of text there are, in all and outside that component."""
     labelled = shared.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "band", "place", "id", "n", F.coalesce("component", "id").alias("component")
+        "band", "place", "id", "n", "n_bytes", F.coalesce("component", "id").alias("component")
     )
     labelled = store(labelled, "labelled-buckets")
     frequent = (
         labelled.groupBy("band", "component")
-        .agg(F.count(F.lit(1)).alias("size"))
+        .agg(F.count(F.lit(1)).alias("size"), F.sum("n_bytes").alias("bytes"))
         .groupBy("band")
         .agg(
             F.max_by("component", F.struct("size", "component")).alias("main"),
             F.sum("size").alias("all"),
             (F.sum("size") - F.max("size")).alias("others"),
+            F.sum("bytes").alias("all_bytes"),
+            (F.sum("bytes") - F.max_by("bytes", F.struct("size", "component"))).alias("other_bytes"),
         )
         .filter("others > 0")
     )
@@ -212,9 +216,13 @@ def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _dealt(members: DataFrame) -> DataFrame:
-    """Members dealt into blocks: those outside the main component (``asks``) against all, ``BLOCK`` of each to a block."""
-    rows = F.ceil(F.col("others") / BLOCK).cast("int")
-    columns = F.ceil(F.col("all") / BLOCK).cast("int")
+    """Members dealt into blocks: those outside the main component (``asks``) against all, about ``BLOCK`` members and
+    ``BLOCK_BYTES`` of text of each to a block, never more blocks than members."""
+
+    def parts(members: str, size: str):
+        return F.ceil(F.greatest(F.col(members) / BLOCK, F.least(F.col(members), F.col(size) / BLOCK_BYTES))).cast("int")
+
+    rows, columns = parts("others", "other_bytes"), parts("all", "all_bytes")
     row, column = F.pmod(F.xxhash64("id"), rows).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), columns).cast("int")
 
     def at(p, q, asks: bool):
@@ -300,11 +308,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sets = store(members.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("id")), "sets")
     first = sets.dropna(subset=["id"]).groupBy("id").agg(F.min(F.struct(*keys)).alias("of")).select("id", "of.*")
     signed_ids = table.withColumnRenamed("doc_id", "id").join(first, ["id", *keys]).dropDuplicates(["id"])
-    classes = store(signed_ids.select("id", F.col("n_shingles").alias("n"), "bands", "sketch"), "classes")
+    classes = store(signed_ids.select("id", "n_bytes", F.col("n_shingles").alias("n"), "bands", "sketch"), "classes")
     drop(table)
 
-    buckets = classes.select("id", "n", F.posexplode("bands").alias("place", "value")).select(
-        "id", "n", "place", F.xxhash64("place", "value").alias("band")
+    buckets = classes.select("id", "n", "n_bytes", F.posexplode("bands").alias("place", "value")).select(
+        F.xxhash64("place", "value").alias("band"), "place", "id", "n", "n_bytes"
     )
     shared = store(_shared(buckets), "shared-buckets")
     candidates = _agreeing(_with_ends(shared), classes)
