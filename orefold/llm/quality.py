@@ -54,7 +54,10 @@ def _repeated(owner: np.ndarray, values: np.ndarray, texts: int) -> np.ndarray:
 
 
 def features(column: pa.Array, declared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner and place of every word, and the statistics of every text (values of about 0 to 1)."""
+    """Owner and place of every word, and the statistics of every text (values of about 0 to 1).
+
+    Lines count as repeated if they differ only in the kind of white space or in white space at their end.
+    """
     words = textgrid.split(column)
     texts = len(column)
     sizes = np.diff(words.bounds)

@@ -111,6 +111,29 @@ def test_factorisation_machine_equals_the_sum_over_pairs():
     assert model.margin(np.zeros(4, int), places, table)[0] == pytest.approx(expected)
 
 
+def test_statistics_of_a_text_match_plain_python(long_text):
+    texts = ["", None, " \n ", "One two\ntwo | three!\n\nOne two", "# * $ % & < >", "日本語 ABC 123", "x\r\nx\n x", long_text]
+    declared = np.array([0, -1, 5, 33, 13, 2, 100, len(long_text)])
+    owner, places, table = quality.features(pa.array(texts), declared)
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        words = raw.split()
+        lines = [bytes(32 if 9 <= c <= 13 else c for c in line).rstrip() for line in raw.split(b"\n") if line]
+        some, size, chars = max(len(words), 1), max(len(raw), 1), len(text or "")
+        among = lambda marks: sum(raw.count(mark) for mark in marks.encode())
+        expected = [
+            min(among("#*$%&<>") / some / 3, 1), min(among("|") / some * 2, 1), min(among("!") / some / 2, 1),
+            among("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / size, among("0123456789") / size, min(len(raw) / some / 20, 1),
+            (len(words) - len(set(words))) / some, (len(lines) - len(set(lines))) / max(len(lines), 1),
+            min(len(lines) / some * 5, 1), min(np.log1p(len(words)) / 12, 1), float(not words),
+            0 if declared[i] < 0 else min(abs(declared[i] - chars) / max(chars, 1), 1),
+        ]
+        assert table[i].tolist() == pytest.approx(expected)
+        mine = places[owner == i].tolist()
+        assert len(mine) == len(words) and len(set(mine)) <= len(set(words))
+        assert len({(word, place) for word, place in zip(words, mine)}) == len(set(words))
+
+
 def greedy_phrases(text: bytes, sample: bytes) -> int:
     count, at = 0, 0
     while at < len(text):

@@ -86,6 +86,52 @@ def test_chains_and_groups_of_near_copies(spark, documents):
     check_near(minhash.near_duplicates(documents(rows)), rows)
 
 
+def test_blocks_of_long_texts_are_bounded_by_their_bytes(spark, documents, monkeypatch):
+    """The members of a bucket dealt out: every pair that has to be compared meets in one block, and blocks stay small."""
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 400_000)
+    members = [(i, 20_000 + 1000 * (i % 7), 7 if i % 3 else i) for i in range(90)]
+    total, other = (sum(m[1] for m in members if keep(m)) for keep in (lambda m: True, lambda m: m[2] != 7))
+    outside = sum(m[2] != 7 for m in members)
+    rows = [(1, 0, i, size, component, 7, 90, outside, total, other) for i, size, component in members]
+    names = "band long, place int, id long, n_bytes long, component long, main long, `all` long, others long, "
+    dealt = minhash._dealt(spark.createDataFrame(rows, names + "all_bytes long, other_bytes long")).collect()
+    blocks = defaultdict(lambda: ([], []))
+    for r in dealt:
+        blocks[r["p"], r["q"]][r["asks"]].append((r["id"], r["n_bytes"]))
+    assert max(sum(size for _, size in side) for pair in blocks.values() for side in pair) < 2 * minhash.BLOCK_BYTES
+    met = [(a, b) for answers, asks in blocks.values() for a, _ in asks for b, _ in answers]
+    assert sorted(met) == sorted((a, b) for a, _, c in members if c != 7 for b, *_ in members)
+    huge = [(1, 0, i, 10**10, i, 0, 3, 2, 3 * 10**10, 2 * 10**10) for i in range(3)]
+    dealt = minhash._dealt(spark.createDataFrame(huge, names + "all_bytes long, other_bytes long"))
+    assert dealt.selectExpr("max(p)", "max(q)").first()[0] <= 1 and dealt.count() <= 2 * 3 + 3 * 2
+
+
+def test_small_blocks_lose_no_link(spark, documents, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 2000)
+    test_chains_and_groups_of_near_copies(spark, documents)
+
+
+def test_pairs_of_similarity_75_to_80_share_a_bucket():
+    """Recall of banding and of the least agreement, where a link is weakest."""
+    rng = random.Random(17)
+    pairs = []
+    while len(pairs) < 1500:
+        size = rng.randrange(40, 300)
+        text = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        copy = text[:]
+        for at in rng.sample(range(size), max(1, size // 33)):
+            copy[at] = f"n{rng.randrange(10**6)}"
+        one, other = shingles(" ".join(text)), shingles(" ".join(copy))
+        if 0.75 <= len(one & other) / len(one | other) < 0.8:
+            pairs.append((" ".join(text), " ".join(copy)))
+    sides = [minhash.signatures(*minhash.shingle_sets(pa.array(list(side))), len(pairs)) for side in zip(*pairs)]
+    meet = (sides[0][3] == sides[1][3]).any(1)
+    agree = ((sides[0][4] == sides[1][4]).mean(1) - 1 / 256) / (1 - 1 / 256) >= minhash.LEAST_AGREEMENT
+    assert (~(meet & agree)).sum() <= 1
+    assert minhash.similar(*(pa.array(list(side)) for side in zip(*pairs))).all()
+
+
 EDGES = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE two"), (6, "one two three"), (7, "a b c d e"), (8, "A B C D E")]
 
 
@@ -242,6 +288,75 @@ def test_entropies_follow_the_definition():
     assert len(fingerprint.entropies(rng.integers(0, 9, 15, dtype=np.uint8))) == 0
 
 
+def plain_chain(text: bytes) -> list[int]:
+    """The chain of filters of one text as whole numbers, each run of bytes looked at by itself."""
+    size = len(text)
+    runs = [text[i : i + fingerprint.RUN] for i in range(size - fingerprint.RUN + 1)]
+
+    def far(run):
+        spread = sum(round(n * np.log2(n) * 65536) for n in Counter(run).values() if n > 1)
+        most = round(fingerprint.RUN * np.log2(fingerprint.RUN) * 65536)
+        return abs((most - spread) * 1000 // most - fingerprint.TYPICAL)
+
+    rarity = [far(run) for run in runs]
+    if not runs:
+        chosen = [text] if text else []
+    elif len(runs) < fingerprint.FEW_RUNS:
+        chosen = runs
+    else:
+        points = Counter()
+        for low in range(len(runs) - fingerprint.NEIGHBOURS + 1):
+            points[max(range(low, low + fingerprint.NEIGHBOURS), key=lambda i: (rarity[i], -i))] += 1
+        places = [i for i in range(len(runs)) if points[i] >= fingerprint.POPULAR]
+        chosen = [runs[i] for i in places or [max(range(len(runs)), key=lambda i: (rarity[i], -i))]]
+    chain = []
+    for low in range(0, len(chosen), fingerprint.FILTER_FEATURES):
+        bits = 0
+        for run in chosen[low : low + fingerprint.FILTER_FEATURES]:
+            data = np.frombuffer(run, np.uint8)
+            (hashed,) = fingerprint._window_hashes(data, np.array([0]), np.array([len(run)])).tolist()
+            for k in range(fingerprint.FILTER_HASHES):
+                bits |= 1 << (hashed >> 11 * k) % fingerprint.FILTER_BITS
+        chain.append(bits)
+    return chain
+
+
+def plain_likeness(one: list[int], other: list[int]) -> float:
+    if one == other:
+        return 1.0
+    if not one or not other:
+        return 0.0
+    few, many = sorted((one, other), key=len)
+    total = 0.0
+    for a in few:
+        scores = []
+        for b in many:
+            chance = a.bit_count() * b.bit_count() / fingerprint.FILTER_BITS
+            room = min(a.bit_count(), b.bit_count()) - chance
+            scores.append(((a & b).bit_count() - chance) / room if room > 0 else 1.0)
+        total += a.bit_count() * max(scores)
+    return min(max(total / sum(a.bit_count() for a in few), 0.0), 1.0)
+
+
+def test_features_filters_and_likeness_match_plain_python(spark, documents):
+    rng = random.Random(21)
+    letters = "etaoin shrdlu,.é"
+    texts = ["", "tiny", "exactly 16 bytes", "a" * 400, "ab" * 300]
+    texts += ["".join(rng.choices(letters, k=size)) for size in (30, 110, 111, 112, 400, 3000, 9000)]
+    texts += [texts[-1][2000:6000] + "".join(rng.choices(letters, k=900)), texts[-1], texts[-2] + "!"]
+    found = {r["doc_id"]: r for r in fingerprint.compare_edited(documents(list(enumerate(texts)))).collect()}
+    chains = [plain_chain(text.encode()) for text in texts]
+    for i, text in enumerate(texts):
+        following = (i + 1) % len(texts)
+        rows = fingerprint.fingerprints(pa.array([text]))[0]
+        assert sorted(np.flatnonzero(np.unpackbits(row)).tolist() for row in rows) == sorted(
+            [bit for bit in range(fingerprint.FILTER_BITS) if bits >> bit & 1] for bits in chains[i]
+        )
+        changed = plain_chain(fingerprint.edited(text, texts[following]).encode())
+        assert found[i]["near_edited"] == pytest.approx(plain_likeness(chains[i], changed))
+        assert found[i]["near_next"] == pytest.approx(plain_likeness(chains[i], chains[following]))
+
+
 def test_fingerprints_on_edge_rows(spark, documents, long_text):
     rows = [(1, None), (2, ""), (3, "short"), (4, "short"), (5, "é" * 40), (6, "a" * 900), (7, long_text), (None, "no id")]
     docs = documents(rows).selectExpr("*", "1 AS bucket", "2 AS carried", "3 AS fingerprint")
@@ -274,7 +389,6 @@ def test_shared_passages_share_features():
 def test_packing_of_whole_table(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = texts_of(spark)
     encoded = tokenizer.encode_batch([text or "" for _, text in rows], add_special_tokens=False)
     expected = {}
@@ -353,7 +467,6 @@ def test_packing_on_edge_rows(spark, documents, long_text):
     docs = documents([*rows, (None, "no id")]).selectExpr("*", "1 AS length", "2 AS salt", "3 AS number", "4 AS piece")
     found = packing.pack_documents(docs, path).collect()
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     for i, text in [*rows, (None, "no id")]:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
         pieces = [r for r in found if r["doc_id"] == i and r["piece"] == 0]
@@ -363,9 +476,25 @@ def test_packing_on_edge_rows(spark, documents, long_text):
     assert packing.pack_documents(documents([]), path).count() == 0
 
 
-def test_names_of_special_tokens_in_a_text_are_text():
-    tokens, _ = packing.tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode(pa.array(["see <|endoftext|> here"]))
-    assert tokens.tolist() == [862, 27, 347, 40786, 4160, 91, 285, 763]
+def test_names_of_special_tokens_in_a_text_are_those_tokens():
+    """As the library has it: found in the text as it is, before the text is taken apart, but not across two texts."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rows = [
+        "see <|endoftext|> here", "a<|endoftext|>b", "<|EndOfText|>", "x <|startoftext|><|endoftext|>", "<|endoftext| >",
+        "don<|endoftext|>'t", "DON'T<|ENDOFTEXT|>", "é<|endoftext|>\u0301 z", "<|<|endoftext|>|>", "\x00<|endoftext|>\x00 1",
+        "cut <|endof", "text|> here", "", "<|startoftext|>", "日<|endoftext|>本 É",
+    ]
+    tokens, first = packing.tokenizer(path).encode(pa.array(rows))
+    expected = [encoding.ids for encoding in library.encode_batch(rows, add_special_tokens=False)]
+    assert [tokens[a:b].tolist() for a, b in zip(first, first[1:])] == expected
+    assert expected[0] == [862, 49407, 763]
+    rng = random.Random(9)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "É", "'s", " ", "\u0301", "Word", "7", "\x00", "<"]
+    rows = ["".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(3000)]
+    tokens, first = packing.tokenizer(path).encode(pa.array(rows))
+    expected = [encoding.ids for encoding in library.encode_batch(rows, add_special_tokens=False)]
+    assert [tokens[a:b].tolist() for a, b in zip(first, first[1:])] == expected
 
 
 @pytest.mark.parametrize(
