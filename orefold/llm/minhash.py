@@ -9,15 +9,17 @@ Within a bucket no pairs are listed. First round: every member is compared with
 candidates each class keeps the one whose signature agrees most, and that link is confirmed on the full sets. The components of
 these links are found. Second round, for buckets whose members ended up in different components: members outside the bucket's
 most frequent component are compared with the members of other components, in blocks of about ``BLOCK`` by ``BLOCK`` members and
-``BLOCK_BYTES`` by ``BLOCK_BYTES`` of text (or one longer text), inside a task each, and only links leave it. So every pair of a bucket is either in one component already or is compared
-itself, no list of pairs is ever made, and a bucket filled by one group of copies costs its size. (Large families whose
-members are alike but just below the threshold still cost the time, not the space, of their pairs: no estimate can tell
-them from links.)
+``BLOCK_BYTES`` by ``BLOCK_BYTES`` of text (or one longer text), inside a task each: first on sizes and signatures, then, for
+members that may have a link in the block, on their texts. Only links leave it. So every pair of a bucket is either in one
+component already or is compared itself, no list of pairs is ever made, and a bucket filled by one group of copies costs its
+size. (Members of large families that are alike but just below the threshold cost the time of their pairs, and their texts
+are copied to each block in which a signature can't tell them from links.)
 
 Comparing means: sizes allow 0.75; then the share of equal minima (one byte each) is at least ``LEAST_AGREEMENT``, six standard
 deviations below 0.75; then 100 * intersection >= 75 * union on the full sets, worked out from the whole texts.
 
-Texts are read once for signatures; those to be compared are shuffled, in the second round once per bucket. Null texts and texts without words have empty
+Texts are read once for signatures; of the rest only those that may have a link are shuffled, in the second round once for each
+block in which they may have one. Null texts and texts without words have empty
 sets and link with nothing; a null doc_id links with nothing, its component is null and it is kept. Rows of equal id count
 as one document, with the set of the row whose size and key are smallest; equal rows all get the same answer.
 """
@@ -45,6 +47,8 @@ BLOCK = 512
 BLOCK_BYTES = 8 << 20
 
 _MINIMA = BANDS * ROWS
+# A block; the place of its band is a key too, so that bands of different places with equal hashes stay apart.
+_BLOCK = ("band", "place", "p", "q")
 _RNG = np.random.Generator(np.random.PCG64(5))
 _FACTOR = _RNG.integers(0, 1 << 32, _MINIMA, dtype=np.uint32) | np.uint32(1)
 _SHIFT = _RNG.integers(0, 1 << 32, _MINIMA, dtype=np.uint32)
@@ -242,31 +246,45 @@ def sliced_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([low + owner for low, (owner, _) in parts]), np.concatenate([values for _, (_, values) in parts])
 
 
-def compare_block(block: pa.Table) -> pa.Table:
-    """Links (a, b) between components of one block, at most one for each asking member and component.
+def _partners(block: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each asking member of a block with the members of other components whose sizes and signatures allow a link.
 
     A pair that shares an earlier band is left to the block of that band.
     """
     asks = block["asks"].to_numpy()
     ids, component, n = (block[name].to_numpy() for name in ("id", "component", "n"))
     main, place = block["main"][0].as_py(), block["place"][0].as_py()
-    bands = np.array(block["bands"].to_pylist(), np.int64)[:, :place]
+    earlier = block["bands"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), place)
     sketch = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(-1, _MINIMA)
-    owner, values = sliced_sets(block["text"].combine_chunks())
-    codes = np.unique(values, return_inverse=True)[1]
-    first = np.searchsorted(owner, np.arange(len(ids) + 1))
-    marked = np.zeros(int(codes.max(initial=-1)) + 1, bool)
-    running = np.zeros(len(codes) + 1, np.int64)
     least = LEAST_AGREEMENT * (1 - 1 / 256) + 1 / 256
-    links: list[tuple[int, int]] = []
     for i in np.flatnonzero(asks).tolist():
         open_ = ~asks & (component != component[i]) & ((component == main) | (ids > ids[i]))
         open_ &= 100 * np.minimum(n, n[i]) >= LEAST_PERCENT * np.maximum(n, n[i])
         near = np.flatnonzero(open_)
-        near = near[~(bands[near] == bands[i]).any(1)]
+        near = near[~(earlier[near] == earlier[i]).any(1)]
         near = near[(sketch[near] == sketch[i]).mean(1) >= least]
-        if not len(near):
-            continue
+        if len(near):
+            yield i, near
+
+
+def with_partners(block: pa.Table) -> pa.Table:
+    """The members of a block that have a possible link in it: those whose texts have to be compared."""
+    needed = np.zeros(len(block), bool)
+    for i, near in _partners(block):
+        needed[i] = needed[near] = True
+    return block.filter(pa.array(needed))
+
+
+def compare_block(block: pa.Table) -> pa.Table:
+    """Links (a, b) between components of one block, at most one for each asking member and component."""
+    ids, component = block["id"].to_numpy(), block["component"].to_numpy()
+    owner, values = sliced_sets(block["text"].combine_chunks())
+    codes = np.unique(values, return_inverse=True)[1]
+    first = np.searchsorted(owner, np.arange(len(ids) + 1))
+    marked = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+    running = np.zeros(len(codes) + 1, np.int64)
+    links: list[tuple[int, int]] = []
+    for i, near in _partners(block):
         own = codes[first[i] : first[i + 1]]
         marked[own] = True
         np.cumsum(marked[codes], out=running[1:])
@@ -283,18 +301,20 @@ def compare_block(block: pa.Table) -> pa.Table:
 def _across_components(shared: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links between components that meet in a bucket; a stored table.
 
-    Blocks are compared in their tasks on signatures and full sets; no pair but a link leaves them.
+    Blocks are first compared in their tasks on sizes and signatures alone. Only the members that may have a link in their
+    block meet there again with their texts and are compared on full sets; no pair but a link leaves a block.
     """
     members = store(_mixed(shared, found), "mixed-buckets")
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    signs = classes.select("id", "bands", "sketch")
+    dealt = _dealt(members).join(signs, "id").withColumn("bands", F.slice("bands", F.lit(1), F.col("place")))
+    block = dealt.select(*_BLOCK, "asks", "id", "component", "main", "n", "bands", "sketch")
+    asked = store(block.groupBy(*_BLOCK).applyInArrow(with_partners, block.schema), "asked-members")
+    ids = asked.select(F.col("id").alias("doc_id")).distinct()
     if ids.count() <= BROADCAST_PAIRS:
         ids = F.broadcast(ids)
-    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    known = classes.select("id", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "id"), "id")
-    dealt = _dealt(members).join(known, "id")
-    block = dealt.select("band", "p", "q", "asks", "id", "component", "main", "n", "place", "bands", "sketch", "text")
-    links = store(block.groupBy("band", "p", "q").applyInArrow(compare_block, "a long, b long"), "links")
-    drop(members)
+    texts = docs.join(ids, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.min("text").alias("text"))
+    links = store(asked.join(texts, "id").groupBy(*_BLOCK).applyInArrow(compare_block, "a long, b long"), "links")
+    drop(members, asked)
     return links
 
 

@@ -112,6 +112,68 @@ def test_small_blocks_lose_no_link(spark, documents, monkeypatch):
     test_chains_and_groups_of_near_copies(spark, documents)
 
 
+def made_block(seed):
+    """Members of one bucket: families of near copies and strangers, in random components, some of them asking."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(20):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(rng.randrange(30, 120))]
+        for _ in range(rng.randrange(1, 5)):
+            copy = words[:]
+            for at in rng.sample(range(len(copy)), rng.randrange(len(copy) // 25 + 1)):
+                copy[at] = f"n{rng.randrange(50_000)}"
+            texts.append(" ".join(copy))
+    column, place = pa.array(texts), seed % 4
+    component = [rng.randrange(6) for _ in texts]
+    sizes, _, _, bands, sketch = minhash.signatures(*minhash.shingle_sets(column), len(texts))
+    rows = [
+        (1, place, 0, 0, asks, i, component[i], 0, int(sizes[i]), bands[i, :place].view(np.int64).tolist(), sketch[i].tobytes())
+        for i in range(len(texts))
+        for asks in (False, True)
+    ]
+    types = (
+        [pa.int64()] + [pa.int32()] * 3 + [pa.bool_()] + [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
+    )
+    names = ("band", "place", "p", "q", "asks", "id", "component", "main", "n", "bands", "sketch")
+    block = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=list(names))
+    return block, column
+
+
+def with_texts(block, column):
+    return block.append_column("text", column.take(block["id"].combine_chunks()))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_signatures_choose_the_members_whose_texts_are_compared(seed):
+    block, column = made_block(seed)
+    place = block["place"][0].as_py()
+    chosen = minhash.with_partners(block)
+    assert 0 < len(chosen) < len(block)
+    links = minhash.compare_block(with_texts(block, column))
+    assert minhash.compare_block(with_texts(chosen, column)) == links
+    sets = [shingles(text) for text in column.to_pylist()]
+    rows = {row["id"]: row for row in block.to_pylist()}
+    expected = set()
+    for a, one in rows.items():
+        for b, other in rows.items():
+            apart = one["component"] != other["component"] and (other["component"] == 0 or b > a)
+            met = any(x == y for x, y in zip(one["bands"], other["bands"]))
+            if apart and not met and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                expected.add((a, other["component"]))
+    found = links.to_pylist()
+    assert sorted((link["a"], rows[link["b"]]["component"]) for link in found) == sorted(expected)
+    assert all(100 * len(sets[x["a"]] & sets[x["b"]]) >= 75 * len(sets[x["a"]] | sets[x["b"]]) for x in found)
+    assert expected or place
+
+
+def test_strangers_in_a_bucket_need_no_texts():
+    block, column = made_block(1)
+    one_each = {words.split()[0]: i for i, words in enumerate(column.to_pylist())}.values()
+    strangers = [i for i in one_each if all(len(shingles(column[i].as_py()) & shingles(column[j].as_py())) == 0 for j in one_each if j != i)]
+    assert len(strangers) > 5
+    assert len(minhash.with_partners(block.filter(pa.array([i in strangers for i in block["id"].to_pylist()])))) == 0
+
+
 def test_pairs_of_similarity_75_to_80_share_a_bucket():
     """Recall of banding and of the least agreement, where a link is weakest."""
     rng = random.Random(17)
