@@ -1,7 +1,12 @@
-"""Role-dependent masks. Masked forms are fixed values."""
+"""Role-dependent masks. Masked forms are fixed values.
+
+Which roles see what is a parameter, ``tiers``; the default knows the roles of both naming schemes.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,12 +23,13 @@ ROLE_TIERS = {
 }
 
 
-def tier_of(role: str) -> str:
-    return ROLE_TIERS.get(role.upper(), OTHER)
+def tier_of(role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> str:
+    """Tier of a role, whatever the case of its name; a role not listed is ``OTHER``."""
+    return {name.upper(): tier for name, tier in tiers.items()}.get(role.upper(), OTHER)
 
 
-def _for_tier(role: str, raw: Column, partial: Column, full: Column) -> Column:
-    return {PRIVILEGED: raw, ANALYST: partial, OTHER: full}[tier_of(role)]
+def _for_tier(role: str, tiers: Mapping[str, str], raw: Column, partial: Column, full: Column) -> Column:
+    return {PRIVILEGED: raw, ANALYST: partial, OTHER: full}[tier_of(role, tiers)]
 
 
 def _word(value: Column, index: int) -> Column:
@@ -34,25 +40,25 @@ def _initial(value: Column) -> Column:
     return F.left(value, F.lit(1))
 
 
-def mask_email(value: Column, role: str) -> Column:
+def mask_email(value: Column, role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> Column:
     domain = F.split_part(value, F.lit("@"), F.lit(2))
-    return _for_tier(role, value, F.concat(_initial(value), F.lit("***@"), domain), F.lit("***@***.com"))
+    return _for_tier(role, tiers, value, F.concat(_initial(value), F.lit("***@"), domain), F.lit("***@***.com"))
 
 
-def mask_full_name(value: Column, role: str) -> Column:
+def mask_full_name(value: Column, role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> Column:
     first, last = _word(value, 1), _word(value, 2)
     shortened = F.concat(first, F.lit(" "), _initial(last), F.lit("."))
     initials = F.concat(_initial(first), F.lit("."), _initial(last), F.lit("."))
-    return _for_tier(role, value, shortened, initials)
+    return _for_tier(role, tiers, value, shortened, initials)
 
 
-def mask_income(value: Column, role: str) -> Column:
-    return _for_tier(role, value, F.round(value, -4).cast("long"), F.lit(0).cast("long"))
+def mask_income(value: Column, role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> Column:
+    return _for_tier(role, tiers, value, F.round(value, -4).cast("long"), F.lit(0).cast("long"))
 
 
-def mask_birth_date(value: Column, role: str) -> Column:
-    return _for_tier(role, value, F.trunc(value, "year"), F.lit(None).cast("date"))
+def mask_birth_date(value: Column, role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> Column:
+    return _for_tier(role, tiers, value, F.trunc(value, "year"), F.lit(None).cast("date"))
 
 
-def mask_phone(value: Column, role: str) -> Column:
-    return _for_tier(role, value, F.concat(F.lit("***-***-"), F.right(value, F.lit(4))), F.lit("***-***-****"))
+def mask_phone(value: Column, role: str, tiers: Mapping[str, str] = ROLE_TIERS) -> Column:
+    return _for_tier(role, tiers, value, F.concat(F.lit("***-***-"), F.right(value, F.lit(4))), F.lit("***-***-****"))

@@ -1,6 +1,6 @@
 """Masked and row-filtered tables per role, and the inventory of personal data.
 
-Role and user are parameters. First name, last name and age stay readable under every role, and only the sales
+Role, user and the tiers of the roles are parameters. First name, last name and age stay readable under every role, and only the sales
 fact has a row filter: that is what the policies cover.
 """
 
@@ -29,23 +29,25 @@ ACCESS_DDL = "USER_NAME string not null, TERRITORY_KEY long not null"
 DEFAULT_ACCESS = (("VIEWER_USER", 1), ("VIEWER_USER", 2), ("VIEWER_USER", 3))
 
 
-def masked_customers(dim_customer: DataFrame, role: str) -> DataFrame:
+def masked_customers(dim_customer: DataFrame, role: str, tiers: Mapping[str, str] = masks.ROLE_TIERS) -> DataFrame:
     """The customer dimension as ``role`` sees it; later grouping and filtering see the masked values."""
-    return dim_customer.withColumns({c: policy(F.col(c), role) for c, policy in POLICIES.items()})
+    return dim_customer.withColumns({c: policy(F.col(c), role, tiers) for c, policy in POLICIES.items()})
 
 
-def masked_silver_customers(customers: DataFrame, role: str) -> DataFrame:
+def masked_silver_customers(customers: DataFrame, role: str, tiers: Mapping[str, str] = masks.ROLE_TIERS) -> DataFrame:
     """Below the star only the email is masked."""
-    return customers.withColumn("EMAIL_ADDRESS", masks.mask_email(F.col("EMAIL_ADDRESS"), role))
+    return customers.withColumn("EMAIL_ADDRESS", masks.mask_email(F.col("EMAIL_ADDRESS"), role, tiers))
 
 
 def access_table(spark: SparkSession, rows=DEFAULT_ACCESS) -> DataFrame:
     return spark.createDataFrame(list(rows), ACCESS_DDL)
 
 
-def visible_sales(fact_sales: DataFrame, access: DataFrame, role: str, user: str) -> DataFrame:
+def visible_sales(
+    fact_sales: DataFrame, access: DataFrame, role: str, user: str, tiers: Mapping[str, str] = masks.ROLE_TIERS
+) -> DataFrame:
     """Privileged roles and analysts see all rows, others only the territories mapped to ``user``."""
-    if masks.tier_of(role) != masks.OTHER:
+    if masks.tier_of(role, tiers) != masks.OTHER:
         return fact_sales
     allowed = access.filter(F.col("USER_NAME") == user).select("TERRITORY_KEY")
     return fact_sales.join(allowed, "TERRITORY_KEY", "left_semi")

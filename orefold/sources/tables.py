@@ -309,20 +309,24 @@ def query(spark: SparkSession, statement: str, **tables: DataFrame) -> DataFrame
 
 
 def write_reports(
-    spark: SparkSession, datasets: Mapping[str, DataFrame], root: str, formats: Sequence[str]
+    spark: SparkSession, datasets: Mapping[str, DataFrame], root: str, formats: Sequence[str], at_once: int = 4
 ) -> dict[tuple[str, str], str]:
     """Write each report dataset in each format; returns the folder by dataset and format.
 
-    A dataset is computed once, as parquet; the other formats are written from its stored rows.
+    A dataset is computed once, as parquet; the other formats are written from its stored rows. ``at_once`` datasets are
+    written side by side.
     """
-    folders = {}
-    for name, df in datasets.items():
+
+    def write(name: str, df: DataFrame) -> dict[tuple[str, str], str]:
         stored = f"{root}/parquet/{name}"
         df.write.mode("overwrite").parquet(stored)
-        folders[name, "parquet"] = stored
+        folders = {(name, "parquet"): stored}
         for fmt in formats:
             if fmt != "parquet":
                 folders[name, fmt] = f"{root}/{fmt}/{name}"
                 writer = spark.read.parquet(stored).write.mode("overwrite")
                 (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(folders[name, fmt])
-    return folders
+        return folders
+
+    written = side_by_side([partial(write, *entry) for entry in datasets.items()], at_once)
+    return {key: folder for folders in written for key, folder in folders.items()}

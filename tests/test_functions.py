@@ -109,3 +109,9 @@ def test_masks_per_role(rows):
 def test_every_listed_role_has_a_tier_and_others_get_the_full_mask():
     assert {masks.tier_of(role.lower()) for role in masks.ROLE_TIERS} == {masks.PRIVILEGED, masks.ANALYST}
     assert masks.tier_of("VIEWER_ROLE") == masks.tier_of("") == masks.OTHER
+
+
+def test_tiers_of_the_caller_replace_the_default_ones(rows):
+    tiers = {"Stewards": masks.PRIVILEGED, "AUDIT": masks.ANALYST}
+    seen = [masks.mask_income(F.col("v"), role, tiers) for role in ("stewards", "audit", "ADMIN_ROLE")]
+    assert rows([(84999,)], "v long", *seen) == [(84999, 80000, 0)]

@@ -5,6 +5,7 @@ from statistics import median
 import pytest
 
 from orefold import schemas
+from orefold.functions import masks
 from orefold.operators import governance, profiling, quality
 
 
@@ -124,6 +125,9 @@ def test_row_access(spark):
     assert seen("VIEWER_ROLE", "VIEWER_USER") == [1]
     assert seen("ADMIN_ROLE", "x") == seen("ANALYST_ROLE", "x") == [1, 9]
     assert seen("VIEWER_ROLE", "stranger") == []
+    tiers = {"steward": masks.PRIVILEGED}
+    assert governance.visible_sales(fact, access, "STEWARD", "x", tiers).count() == 2
+    assert governance.visible_sales(fact, access, "ADMIN_ROLE", "x", tiers).count() == 0
 
 
 def test_masked_table_shows_no_raw_value(spark):
@@ -134,6 +138,9 @@ def test_masked_table_shows_no_raw_value(spark):
     row = governance.masked_customers(dim, "VIEWER_ROLE").first()
     assert tuple(row) == (1, "Jon", "J.Y.", "***@***.com", 0, None)
     assert governance.masked_silver_customers(dim, "VIEWER_ROLE").first().ANNUAL_INCOME == 84_999
+    tiers = {"STEWARD": masks.PRIVILEGED, "ADMIN_ROLE": masks.OTHER}
+    assert tuple(governance.masked_customers(dim, "steward", tiers).first()) == tuple(dim.first())
+    assert governance.masked_customers(dim, "ADMIN_ROLE", tiers).first().EMAIL_ADDRESS == "***@***.com"
 
 
 def test_required_and_layout_declarations_name_known_columns():
