@@ -45,7 +45,9 @@ def feed_of(spark: SparkSession, sf_dir: str) -> StarFeed:
 
 def query(build: Callable[[StarFeed], DataFrame]) -> Callable[[StarFeed], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return without_decimals(build(feed_of(spark, sf_dir)))
+        feed = feed_of(spark, sf_dir)
+        session.fit_shuffles(spark, feed.stored_bytes)
+        return without_decimals(build(feed))
 
     QUERIES[build.__name__] = run
     return build

@@ -37,14 +37,35 @@ def local_session(cpus: int | str = "*", app: str = "orefold", **conf: str) -> S
 def prepare(spark: SparkSession) -> SparkSession:
     """Turn on adaptive execution.
 
-    The number of shuffle partitions is the session's: a cluster sets it, or the first number of adaptive execution
-    (spark.sql.adaptive.coalescePartitions.initialPartitionNum), from what it shuffles; small partitions are merged.
+    The number of shuffle partitions is the session's, or a greater one by ``fit_shuffles``; small partitions are merged.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
     return spark
 
 
+# Bytes of stored input for which a shuffle gets a partition, and shuffled bytes up to which small ones are merged again.
+# Lines come out of their files and shuffles many times as large, so both are far below what a task can hold.
+INPUT_PER_PARTITION, MERGED_UP_TO = 8 << 20, 16 << 20
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let the first number of shuffle partitions grow with the input, so that what one task sorts or hashes does not.
+
+    Never fewer partitions than the session or the cluster asks for, and none merged to a larger size than it allows; of a
+    small input, adaptive execution merges them as before. Returns the number.
+    """
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.sparkContext.getConf().get(_FIRST, "0"))
+    first = max(*asked, -(-input_bytes // INPUT_PER_PARTITION))
+    spark.conf.set(_FIRST, str(first))
+    merged = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_MERGED))
+    if merged > MERGED_UP_TO:
+        spark.conf.set(_MERGED, str(MERGED_UP_TO))
+    return first
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)

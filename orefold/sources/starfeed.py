@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from orefold import schemas
 from orefold.operators import gold, silver
+from orefold.sources import versions
 
 AS_OF = date(2002, 1, 1)
 
 # Stands for the yearly files: which return flag goes to which year.
 YEAR_OF_FLAG = {"A": 2020, "N": 2021, "R": 2022}
 
+_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 _CATEGORY_KEYS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
 _PRICED = {"UNIT_PRICE", "UNIT_COST", "GROSS_REVENUE", "TOTAL_COST", "GROSS_PROFIT", "MARGIN_PCT"}
 _DATED = {"ORDER_DATE_KEY", "SALES_YEAR", "LEAD_TIME_DAYS"}
@@ -65,6 +67,11 @@ class StarFeed:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @property
+    @_kept
+    def stored_bytes(self) -> int:
+        return sum(versions.stored_bytes(self.spark, f"{self.folder}/{name}.parquet") for name in _TABLES)
+
     # Raw layer
 
     @_kept

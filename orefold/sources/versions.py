@@ -26,6 +26,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, from their listing; 0 if there is none."""
+    fs, hadoop_path = file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, ascending; none if there is no folder."""
     fs, hadoop_path = file_system(spark, path)

@@ -3,8 +3,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from orefold import schemas
+from orefold import schemas, session
 from orefold.operators import gold, silver
+from orefold.sources.starfeed import StarFeed
 
 
 def frame(spark, table, *data):
@@ -171,3 +172,34 @@ def test_facts_price_an_unknown_product_at_zero(spark):
     returned = silver.returns(frame(spark, "BRONZE_RETURNS", ("2020-01-04", 1, 1, 2), ("2020-01-04", 1, 5, 2)))
     impacts = {r.PRODUCT_KEY: r.RETURN_REVENUE_IMPACT for r in gold.fact_returns(returned, dim).collect()}
     assert impacts == {1: Decimal("20.01"), 5: Decimal("0.00")}
+
+
+def test_partitions_of_a_shuffle_grow_with_the_input_and_stay_small(spark):
+    first, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(merged)
+    try:
+        spark.conf.set(merged, "64MB")
+        assert session.fit_shuffles(spark, 100) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get(merged) == str(session.MERGED_UP_TO)
+        found = [session.fit_shuffles(spark, n << 30) for n in (1, 6)]
+        assert found[1] == 6 * found[0] and spark.conf.get(first) == str(found[1])
+        spark.conf.set(merged, "1MB")
+        session.fit_shuffles(spark, 100)
+        assert spark.conf.get(merged) == "1MB"
+    finally:
+        spark.conf.set(merged, before)
+        spark.conf.unset(first)
+
+
+def test_a_query_sets_the_partitions_of_its_tables(spark, tmp_path):
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = str(tmp_path / "t")
+    (tmp_path / "t" / "lineitem.parquet").mkdir(parents=True)
+    with open(tmp_path / "t" / "lineitem.parquet" / "part-0.parquet", "wb") as f:
+        f.truncate(20 * session.INPUT_PER_PARTITION)
+    feed = StarFeed(spark, path)
+    assert feed.stored_bytes == 20 * session.INPUT_PER_PARTITION
+    try:
+        assert session.fit_shuffles(spark, feed.stored_bytes) == 20
+    finally:
+        spark.conf.unset(first)
