@@ -52,7 +52,10 @@ _MEASURES = (
 def sales_detail(
     fact_sales: DataFrame, dim_date: DataFrame, dim_product: DataFrame, dim_customer: DataFrame, dim_territory: DataFrame
 ) -> DataFrame:
-    """One labelled row per order line; a line that misses a dimension row is dropped."""
+    """One labelled row per order line; a line that misses a dimension row is dropped.
+
+    The lines carry what they got from one shuffle to the next, so the small dimensions come last.
+    """
     lines = fact_sales.select(
         "ORDER_NUMBER",
         "ORDER_LINE_ITEM",
@@ -63,11 +66,10 @@ def sales_detail(
         "TERRITORY_KEY",
         *_MEASURES,
     )
-    dated = with_date(lines, dim_date, *_DATE_LABELS)
-    placed = with_territory(dated, dim_territory, *_TERRITORY_LABELS)
-    described = with_product(placed, dim_product, *_PRODUCT_LABELS)
+    described = with_product(lines, dim_product, *_PRODUCT_LABELS)
     owned = with_customer(described, dim_customer, "FULL_NAME", *_CUSTOMER_LABELS)
-    return owned.select(
+    placed = with_territory(owned, dim_territory, *_TERRITORY_LABELS)
+    return with_date(placed, dim_date, *_DATE_LABELS).select(
         "ORDER_NUMBER",
         "ORDER_LINE_ITEM",
         "SALES_YEAR",

@@ -368,11 +368,14 @@ class StarFeed:
         """Sales fact with the given columns, all by default.
 
         Prices are joined before the order, so the result is distributed by order and counting orders needs no
-        further shuffle of the lines.
+        further shuffle of the lines. The whole fact gets its prices last: what is shuffled has no measures yet, and the
+        result is distributed by product, as labels of products need it.
         """
-        columns = columns or tuple(schemas.GOLD["FACT_SALES"].names)
+        whole, columns = not columns, columns or tuple(schemas.GOLD["FACT_SALES"].names)
         needed = set(columns)
         lines = self._sales_lines()
+        if whole:
+            return gold.price_sales(self._with_order(lines, needed), self.dim_product).select(*columns)
         priced = gold.price_sales(lines, self.dim_product) if needed & _PRICED else lines
         return self._with_order(priced, needed).select(*columns)
 
