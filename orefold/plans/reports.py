@@ -35,6 +35,12 @@ _LINE_MARGIN = "decimal(28,10)"
 _CUSTOMER_LABELS = ("ANNUALINCOME", "GENDER", "OCCUPATION", "MARITALSTATUS")
 _TERRITORY_LABELS = ("REGION", "COUNTRY")
 
+# What the datasets read of the enriched lines; worth storing where several datasets are built.
+REPORTED = (
+    *("YEAR", "MONTH", "ORDERNUMBER", "CUSTOMERKEY", "PRODUCTKEY", "PRODUCTNAME", "CATEGORYNAME", "PRICE_TIER", "OCCUPATION"),
+    *("GENDER", "COUNTRY", "REGION", "ORDERQUANTITY", "REVENUE", "PROFIT", "MARGIN"),
+)
+
 
 def _key(column: str) -> Column:
     return F.expr(f"try_cast({column} AS BIGINT)").alias(column)

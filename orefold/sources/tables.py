@@ -32,7 +32,7 @@ LOADED, SKIPPED, FAILED = "LOADED", "SKIPPED", "FAILED"
 
 REJECT_REASON, UNCLOSED_QUOTE, FIELDS = delimited.REASON, "quoted value without an end", "wrong number of fields"
 REJECTS_SUFFIX = "_REJECTS"
-exists, read_table = versions.exists, versions.read
+exists, read_table, store = versions.exists, versions.read, records.store
 
 
 def full_refresh(df: DataFrame, path: str) -> int:
