@@ -91,10 +91,10 @@ def enrich(
     places = territories.select(_key("SALESTERRITORYKEY").alias("TERRITORYKEY"), *_TERRITORY_LABELS)
     catalogue = catalogue.select("PRODUCTKEY", "PRODUCTNAME", "CATEGORYNAME", "PRODUCTCOST", "PRODUCTPRICE")
     joined = sales.join(catalogue, "PRODUCTKEY", "left")
-    if wanted is None or set(wanted) & set(_TERRITORY_LABELS):
-        joined = joined.join(places, "TERRITORYKEY", "left")
     if wanted is None or set(wanted) & set(_CUSTOMER_LABELS):
         joined = joined.join(people, "CUSTOMERKEY", "left")
+    if wanted is None or set(wanted) & set(_TERRITORY_LABELS):  # last: no shuffle moves the labels of this small lookup
+        joined = joined.join(places, "TERRITORYKEY", "left")
     measured = joined.withColumns(
         {
             "PRODUCTPRICE": _number("PRODUCTPRICE"),

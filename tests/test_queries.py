@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables, and the shape of the plans."""
 
+import re
+
 import pytest
 
 from checks import compare
@@ -94,3 +96,28 @@ def test_lookups_push_the_equality_into_the_stored_files(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "PushedFilters" in text and "EqualTo(" in text
     assert "customer.parquet" not in text and "lineitem.parquet" not in text
+
+
+def joins_from_the_top(spark, name: str) -> list[str]:
+    """Left key of every join in the order of the plan, all by shuffles."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return re.findall(r"SortMergeJoin [^\[]*\[(\w+)#", plan(QUERIES[name](spark, FOLDER)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_wide_lines_are_shuffled_once_and_small_dimensions_come_last(spark):
+    found = joins_from_the_top(spark, "vw_sales_detail")
+    assert found[:6] == ["ORDER_DATE_KEY", "TERRITORY_KEY", "CUSTOMER_KEY", "PRODUCT_KEY", "PRODUCT_KEY", "ORDER_NUMBER"]
+    assert joins_from_the_top(spark, "rpt_enrich")[:3] == ["TERRITORYKEY", "CUSTOMERKEY", "PRODUCTKEY"]
+
+
+def test_report_datasets_are_built_from_lines_stored_once(spark, monkeypatch):
+    from orefold.sources import tables
+
+    seen, write = {}, tables.write_reports
+    monkeypatch.setattr(tables, "write_reports", lambda spark, datasets, *rest: seen.update(datasets) or write(spark, datasets, *rest))
+    QUERIES["report_sink"](spark, FOLDER)
+    assert {name: scans(df, "lineitem") for name, df in seen.items() if scans(df, "lineitem")} == {"returns": 1}
