@@ -272,14 +272,14 @@ def query_to_table(feed):
 
 @query
 def report_sink(feed):
-    lines = tables.store(_report_lines(feed, *_PLACE, *_SEGMENT).select(*reports.REPORTED), "report-lines")
+    lines = tables.store(_report_lines(feed).select(*reports.REPORTED), "report-lines")
     datasets = {
         "sales_by_year": reports.sales_by_year(lines),
         "monthly_trend": reports.monthly_trend(lines),
         "category_revenue": reports.category_revenue(lines),
         "top_products": reports.top_products(lines),
-        "territory": reports.territory(lines),
-        "customer_segment": reports.customer_segment(lines),
+        "territory": reports.territory(reports.with_places(lines, feed.raw_territory())),
+        "customer_segment": reports.customer_segment(reports.with_people(lines, feed.raw_customer())),
         "returns": reports.returns(lines, feed.raw_returns()),
     }
     datasets = {name: df.withColumnRenamed("UNITS_RETURNED", "REVENUE") for name, df in datasets.items()}

@@ -35,10 +35,11 @@ _LINE_MARGIN = "decimal(28,10)"
 _CUSTOMER_LABELS = ("ANNUALINCOME", "GENDER", "OCCUPATION", "MARITALSTATUS")
 _TERRITORY_LABELS = ("REGION", "COUNTRY")
 
-# What the datasets read of the enriched lines; worth storing where several datasets are built.
+# What the datasets read of lines without labels of customers and territories, and the keys by which a dataset gets those:
+# a lookup with repeated keys multiplies the lines of the datasets that need it and no others.
 REPORTED = (
-    *("YEAR", "MONTH", "ORDERNUMBER", "CUSTOMERKEY", "PRODUCTKEY", "PRODUCTNAME", "CATEGORYNAME", "PRICE_TIER", "OCCUPATION"),
-    *("GENDER", "COUNTRY", "REGION", "ORDERQUANTITY", "REVENUE", "PROFIT", "MARGIN"),
+    *("YEAR", "MONTH", "ORDERNUMBER", "CUSTOMERKEY", "TERRITORYKEY", "PRODUCTKEY", "PRODUCTNAME", "CATEGORYNAME", "PRICE_TIER"),
+    *("ORDERQUANTITY", "REVENUE", "PROFIT", "MARGIN"),
 )
 
 
@@ -56,6 +57,15 @@ def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
     return lookup.groupBy(key).agg(F.min(F.struct(*rest)).alias("ROW")).select(key, "ROW.*").select(*lookup.columns)
 
 
+def with_people(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    return lines.join(customers.select(_key("CUSTOMERKEY"), *_CUSTOMER_LABELS), "CUSTOMERKEY", "left")
+
+
+def with_places(lines: DataFrame, territories: DataFrame) -> DataFrame:
+    places = territories.select(_key("SALESTERRITORYKEY").alias("TERRITORYKEY"), *_TERRITORY_LABELS)
+    return lines.join(places, "TERRITORYKEY", "left")
+
+
 def enrich(
     sales: DataFrame,
     customers: DataFrame,
@@ -87,14 +97,12 @@ def enrich(
     catalogue = products.select(
         _key("PRODUCTKEY"), _key("PRODUCTSUBCATEGORYKEY"), "PRODUCTNAME", "PRODUCTCOST", "PRODUCTPRICE"
     ).join(category_names, "PRODUCTSUBCATEGORYKEY", "left")
-    people = customers.select(_key("CUSTOMERKEY"), *_CUSTOMER_LABELS)
-    places = territories.select(_key("SALESTERRITORYKEY").alias("TERRITORYKEY"), *_TERRITORY_LABELS)
     catalogue = catalogue.select("PRODUCTKEY", "PRODUCTNAME", "CATEGORYNAME", "PRODUCTCOST", "PRODUCTPRICE")
     joined = sales.join(catalogue, "PRODUCTKEY", "left")
     if wanted is None or set(wanted) & set(_CUSTOMER_LABELS):
-        joined = joined.join(people, "CUSTOMERKEY", "left")
+        joined = with_people(joined, customers)
     if wanted is None or set(wanted) & set(_TERRITORY_LABELS):  # last: no shuffle moves the labels of this small lookup
-        joined = joined.join(places, "TERRITORYKEY", "left")
+        joined = with_places(joined, territories)
     measured = joined.withColumns(
         {
             "PRODUCTPRICE": _number("PRODUCTPRICE"),

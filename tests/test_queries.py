@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import compare
 from checks.oracles import ORACLES
@@ -121,3 +122,18 @@ def test_report_datasets_are_built_from_lines_stored_once(spark, monkeypatch):
     monkeypatch.setattr(tables, "write_reports", lambda spark, datasets, *rest: seen.update(datasets) or write(spark, datasets, *rest))
     QUERIES["report_sink"](spark, FOLDER)
     assert {name: scans(df, "lineitem") for name, df in seen.items() if scans(df, "lineitem")} == {"returns": 1}
+
+
+def test_a_repeated_customer_changes_only_the_datasets_that_need_customers(spark, tmp_path):
+    for name in ("region", "nation", "part", "orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{FOLDER}/{name}.parquet")
+    customer = spark.read.parquet(f"{FOLDER}/customer.parquet")
+    customer.unionByName(customer.withColumn("c_acctbal", F.lit(1.0))).write.parquet(str(tmp_path / "customer.parquet"))
+    sums = {
+        r["DATASET"]: float(r["REVENUE"])
+        for r in QUERIES["report_sink"](spark, str(tmp_path)).filter("FORMAT = 'parquet'").collect()
+    }
+    for dataset in ("sales_by_year", "territory", "customer_segment"):
+        alone = QUERIES[f"rpt_{dataset}"](spark, str(tmp_path)).agg(F.sum("REVENUE")).first()[0]
+        assert sums[dataset] == pytest.approx(alone)
+    assert sums["customer_segment"] > 1.5 * sums["sales_by_year"]
