@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import lru_cache, reduce
+from functools import lru_cache, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -176,10 +176,12 @@ def _source_files(feed, *missing: str) -> str:
         "BRONZE_RETURNS": feed.raw_returns(),
         "BRONZE_CATEGORY_SALES_UNPIVOT": feed.raw_category_sales(),
     }
-    for name, table in schemas.SOURCE_FILES.items():
-        if table not in missing:
-            columns = schemas.BRONZE[table].names[::-1]
-            raw[table].select(*columns).write.option("header", True).csv(f"{folder}/{name}")
+
+    def write(name: str, table: str) -> None:
+        columns = schemas.BRONZE[table].names[::-1]
+        raw[table].select(*columns).write.option("header", True).csv(f"{folder}/{name}")
+
+    tables.side_by_side([partial(write, *entry) for entry in schemas.SOURCE_FILES.items() if entry[1] not in missing], 4)
     return folder
 
 

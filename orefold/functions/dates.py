@@ -12,8 +12,15 @@ SLASHED = "M/d/yyyy"
 
 
 def parse_date(text: Column, pattern: str = ISO) -> Column:
-    """Strict parse; anything that does not fit the pattern is null."""
-    return F.try_to_date(text, pattern)
+    """Strict parse; anything that does not fit the pattern is null.
+
+    A text that is digits in the shape of the ISO pattern is cast, and of the others only those with a sign, which the pattern
+    takes before a year, are given to the parser: it is slow, and slowest on a text that doesn't fit.
+    """
+    if pattern != ISO:
+        return F.try_to_date(text, pattern)
+    shaped = text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z")
+    return F.when(shaped, text.try_cast("date")).when(text.rlike(r"\A[+-]"), F.try_to_date(text, pattern))
 
 
 def parse_any_date(text: Column) -> Column:

@@ -115,3 +115,13 @@ def test_tiers_of_the_caller_replace_the_default_ones(rows):
     tiers = {"Stewards": masks.PRIVILEGED, "AUDIT": masks.ANALYST}
     seen = [masks.mask_income(F.col("v"), role, tiers) for role in ("stewards", "audit", "ADMIN_ROLE")]
     assert rows([(84999,)], "v long", *seen) == [(84999, 80000, 0)]
+
+
+def test_iso_dates_are_what_the_strict_parser_finds(rows):
+    texts = one(
+        ["2020-01-04", "2021-02-29", "2020-02-30", "0000-01-01", "9999-12-31", "2020-1-4", " 2020-01-04", "2020-01-04 ", "2020-01-04T00:00:00",
+         "2020-01-04\n", "2020", "2020-01", "+2020-01-04", "+12020-01-04", "-0001-01-04", "12020-01-04", "2020-13-01", "1/4/2020", "today", "", "-", "٢٠٢٠-٠١-٠٤"]
+    )
+    found = rows(texts, "v string", dates.parse_date(F.col("v")).cast("string"))
+    assert found == rows(texts, "v string", F.try_to_date(F.col("v"), "yyyy-MM-dd").cast("string"))
+    assert found[0] == "2020-01-04"
