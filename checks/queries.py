@@ -1023,7 +1023,7 @@ def clustered_tables(feed):
         "FACT_RETURNS": feed.fact_returns(),
     }
     root = scratch(feed, "clustered")
-    stored = {name: tables.refresh_table(feed.spark, root, name, df) for name, df in every.items()}
+    stored = tables.refresh_tables(feed.spark, root, every)
     return reduce(DataFrame.unionByName, [content(df, name) for name, df in stored.items()])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orefold.session import scratch_path
 
-_SLICE, _CURVE, _RANGE = "_SLICE", "_CURVE", "_RANGE"
+_SLICE, _CURVE, _RANGE, _RANK = "_SLICE", "_CURVE", "_RANGE", "_RANK"
 SAMPLE_ROWS = 10_000  # rows of the keys that reach the driver to find their ranks
 RANK_BITS = 5
 
@@ -27,11 +27,20 @@ def key_ranks(df: DataFrame, keys: Sequence[str], bits: int = RANK_BITS, sample_
         values = sorted(row[key] for row in sample if row[key] is not None)
         picked = {values[len(values) * i // (1 << bits)] for i in range(1, 1 << bits)} if values else set()
         kind = df.schema[key].dataType
-        bounds = [F.when(F.col(key) >= F.lit(bound).cast(kind), 1).otherwise(0) for bound in sorted(picked)]
-        ranks.append(reduce(Column.__add__, bounds, F.lit(0)))
+        ranks.append(_rank(F.col(key), [F.lit(bound).cast(kind) for bound in sorted(picked)]))
     return ranks
 
 
+def _rank(value: Column, bounds: Sequence[Column], below: int = 0) -> Column:
+    """How many of the ascending bounds are not above the value, ``below`` more; found by halving, so a row is compared with
+    few of them. A null is above none."""
+    if not bounds:
+        return F.lit(below)
+    middle = len(bounds) // 2
+    upper, lower = _rank(value, bounds[middle + 1 :], below + middle + 1), _rank(value, bounds[:middle], below)
+    return F.when(value >= bounds[middle], upper).otherwise(lower)
+
+
 def curve(ranks: Sequence[Column], bits: int = RANK_BITS) -> Column:
     """Place on the Z-order curve: the bits of all ranks in turns, the first rank's bit before the second's."""
     place = F.lit(0).cast("bigint")
@@ -60,7 +69,10 @@ def clustered_write(
     sliced = df.withColumn(_SLICE, F.spark_partition_id())
     bounds = [*keys, _SLICE]
     if curved:
-        sliced, bounds = sliced.withColumn(_CURVE, curve(key_ranks(df, keys))), [_CURVE, *bounds]
+        # Ranks are columns of their own: the curve takes each rank once for every bit.
+        ranks = {f"{_RANK}{i}": rank for i, rank in enumerate(key_ranks(df, keys))}
+        place = curve([F.col(name) for name in ranks])
+        sliced, bounds = sliced.withColumns(ranks).withColumn(_CURVE, place).drop(*ranks), [_CURVE, *bounds]
     ranged = sliced.repartitionByRange(files, *bounds) if files else sliced.repartitionByRange(*bounds)
     writer = ranged.sortWithinPartitions(*keys).drop(_SLICE, _CURVE).write.mode("overwrite")
     for column in lookup_columns:

@@ -188,6 +188,12 @@ def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> D
     return read_table(spark, path)
 
 
+def refresh_tables(spark: SparkSession, root: str, built: Mapping[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """``refresh_table`` for several tables, ``at_once`` side by side."""
+    stored = side_by_side([partial(refresh_table, spark, root, name, df) for name, df in built.items()], at_once)
+    return dict(zip(built, stored))
+
+
 def load_sources(
     spark: SparkSession,
     folder: str,

@@ -143,3 +143,33 @@ def test_monthly_refresh_reads_the_fact_by_date(spark, star):
     dim_date, fact = star
     plan = views.monthly_revenue_of(fact([(1, 1, 1.0)]), dim_date, [(2021, 2)])._jdf.queryExecution().optimizedPlan().toString()
     assert "ORDER_DATE_KEY" in plan and "2021-02-01" in plan and "2021-02-28" in plan
+
+
+def test_a_rank_is_the_number_of_bounds_not_above(spark):
+    bounds = [3, 5, 8, 13, 21, 34, 55]
+    df = spark.createDataFrame([(i,) for i in [None, *range(60)]], "v long")
+    found = df.select("v", layout._rank(F.col("v"), [F.lit(b) for b in bounds]).alias("r")).collect()
+    assert all(r["r"] == (0 if r["v"] is None else sum(b <= r["v"] for b in bounds)) for r in found)
+
+
+def test_tables_are_stored_side_by_side_as_one_by_one(spark, tmp_path):
+    from threading import Barrier
+
+    together = Barrier(3, timeout=60)
+
+    class Waiting(dict):
+        """Its tables are asked for their keys by all three at once, or not at all."""
+
+        def get(self, name, default=None):
+            together.wait()
+            return default
+
+    built = {name: spark.range(n).withColumn("name", F.lit(name)) for name, n in (("a", 3), ("b", 5), ("c", 0))}
+    keys = tables.schemas.CLUSTER_KEYS
+    tables.schemas.CLUSTER_KEYS = Waiting()
+    try:
+        stored = tables.refresh_tables(spark, str(tmp_path), built)
+    finally:
+        tables.schemas.CLUSTER_KEYS = keys
+    assert list(stored) == ["a", "b", "c"]
+    assert {name: sorted(r["id"] for r in df.collect()) for name, df in stored.items()} == {"a": [0, 1, 2], "b": [0, 1, 2, 3, 4], "c": []}
