@@ -16,7 +16,7 @@ from orefold.functions import dates, masks, numbers
 from orefold.operators import gold, governance, layout, profiling, quality, silver
 from orefold.plans import business, reports, views
 from orefold.sources import delimited, history, tables
-from orefold.sources.starfeed import AS_OF, StarFeed
+from orefold.sources.starfeed import AS_OF, StarFeed, completed_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1015,15 +1015,16 @@ def content(df: DataFrame, name: str) -> DataFrame:
 def clustered_tables(feed):
     """Rows and content of every table that is stored in an order, read back."""
     every = {
-        "SILVER_SALES": silver.sales_of_years(feed.sales_of_years()),
+        "SILVER_SALES": silver.cleansed_sales(feed.sales_of_years()),
         "DIM_DATE": feed.dim_date,
         "DIM_CUSTOMER": feed.dim_customer,
         "DIM_PRODUCT": feed.dim_product,
-        "FACT_SALES": feed.fact_sales(),
+        "FACT_SALES": feed.priced_sales(),
         "FACT_RETURNS": feed.fact_returns(),
     }
-    root = scratch(feed, "clustered")
-    stored = tables.refresh_tables(feed.spark, root, every)
+    root, large = scratch(feed, "clustered"), ("FACT_SALES", "SILVER_SALES", "FACT_RETURNS")
+    completed = {"FACT_SALES": completed_sales, "SILVER_SALES": silver.completed_sales}
+    stored = tables.refresh_tables(feed.spark, root, every, in_turn=large, completed=completed)
     return reduce(DataFrame.unionByName, [content(df, name) for name, df in stored.items()])
 
 

@@ -41,8 +41,11 @@ def _or_zero(column: str, type_name: str):
 
 def price_sales(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Add prices and measures to sales lines; a product that is not in the dimension is priced 0."""
-    quantity = F.col("ORDER_QUANTITY")
-    price, cost = F.col("UNIT_PRICE"), F.col("UNIT_COST")
+    return measure_sales(list_prices(lines, dim_product))
+
+
+def list_prices(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Add what the dimension has to sales lines."""
     listed = dim_product.select(
         "PRODUCT_KEY",
         F.col("PRODUCT_PRICE").alias("UNIT_PRICE"),
@@ -50,25 +53,29 @@ def price_sales(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
         "MARGIN_PCT",
     )
 
+    return lines.join(listed, "PRODUCT_KEY", "left").withColumns(
+        {
+            "UNIT_PRICE": _or_zero("UNIT_PRICE", "decimal(12,4)"),
+            "UNIT_COST": _or_zero("UNIT_COST", "decimal(12,4)"),
+            "MARGIN_PCT": _or_zero("MARGIN_PCT", "decimal(7,2)"),
+        }
+    )
+
+
+def measure_sales(priced: DataFrame) -> DataFrame:
+    """Add the measures, which follow from the other columns of a line."""
+    quantity = F.col("ORDER_QUANTITY")
+    price, cost = F.col("UNIT_PRICE"), F.col("UNIT_COST")
+
     def amount(value):
         return F.round(value, 2).cast("decimal(14,2)")
 
-    return (
-        lines.join(listed, "PRODUCT_KEY", "left")
-        .withColumns(
-            {
-                "UNIT_PRICE": _or_zero("UNIT_PRICE", "decimal(12,4)"),
-                "UNIT_COST": _or_zero("UNIT_COST", "decimal(12,4)"),
-                "MARGIN_PCT": _or_zero("MARGIN_PCT", "decimal(7,2)"),
-            }
-        )
-        .withColumns(
-            {
-                "GROSS_REVENUE": amount(quantity * price),
-                "TOTAL_COST": amount(quantity * cost),
-                "GROSS_PROFIT": amount(quantity * price - quantity * cost),
-            }
-        )
+    return priced.withColumns(
+        {
+            "GROSS_REVENUE": amount(quantity * price),
+            "TOTAL_COST": amount(quantity * cost),
+            "GROSS_PROFIT": amount(quantity * price - quantity * cost),
+        }
     )
 
 

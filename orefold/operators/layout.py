@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,11 @@ from orefold.session import scratch_path
 _SLICE, _CURVE, _RANGE, _RANK = "_SLICE", "_CURVE", "_RANGE", "_RANK"
 SAMPLE_ROWS = 10_000  # rows of the keys that reach the driver to find their ranks
 RANK_BITS = 5
+COMPRESSION = "zstd"
+
+
+def as_is(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 def key_ranks(df: DataFrame, keys: Sequence[str], bits: int = RANK_BITS, sample_rows: int = SAMPLE_ROWS) -> list[Column]:
@@ -58,13 +63,15 @@ def clustered_write(
     files: int | None = None,
     lookup_columns: Sequence[str] = (),
     curved: bool = False,
+    completed: Callable[[DataFrame], DataFrame] = as_is,
 ) -> None:
     """Write ``df`` so that each file covers a narrow range of ``keys``.
 
     In the order of the keys a file is narrow in the first only; ``curved`` deals rows out along a space-filling curve over
     the ranks of the keys, so that a filter on any of them skips files. The input partition is the last range column: rows
     that share all keys, even a large part of the table, are still spread over several files. ``lookup_columns`` get a
-    bloom filter for equality lookups.
+    bloom filter for equality lookups. ``completed`` adds columns that follow from others of a row once the rows lie in their
+    order, so that they are not shuffled.
     """
     sliced = df.withColumn(_SLICE, F.spark_partition_id())
     bounds = [*keys, _SLICE]
@@ -74,7 +81,8 @@ def clustered_write(
         place = curve([F.col(name) for name in ranks])
         sliced, bounds = sliced.withColumns(ranks).withColumn(_CURVE, place).drop(*ranks), [_CURVE, *bounds]
     ranged = sliced.repartitionByRange(files, *bounds) if files else sliced.repartitionByRange(*bounds)
-    writer = ranged.sortWithinPartitions(*keys).drop(_SLICE, _CURVE).write.mode("overwrite")
+    ordered = completed(ranged.sortWithinPartitions(*keys).drop(_SLICE, _CURVE))
+    writer = ordered.write.mode("overwrite").option("compression", COMPRESSION)
     for column in lookup_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(path)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orefold import schemas
 from orefold.functions import bands, dates, numbers, text
 from orefold.functions.dates import parse_date
 
@@ -128,13 +129,23 @@ def stack_years(yearly: Sequence[tuple[int, DataFrame]]) -> DataFrame:
 
 def sales_of_years(raw: DataFrame) -> DataFrame:
     """Raw sales of all years with their FILE_YEAR; repeated order lines stay repeated."""
+    return completed_sales(cleansed_sales(raw))
+
+
+def completed_sales(cleansed: DataFrame) -> DataFrame:
+    """Add what follows from the other columns of a line."""
+    waited = dates.days_between(F.col("STOCK_DATE"), F.col("ORDER_DATE"))
+    return cleansed.withColumn("DAYS_FROM_STOCK_TO_ORDER", waited).select(*schemas.SILVER["SILVER_SALES"].names)
+
+
+def cleansed_sales(raw: DataFrame) -> DataFrame:
+    """``sales_of_years`` but for the columns of ``completed_sales``."""
     ordered, stocked = parse_date(F.col("ORDERDATE")), parse_date(F.col("STOCKDATE"))
     return raw.filter(F.col("ORDERNUMBER").isNotNull()).select(
         F.col("ORDERNUMBER").alias("ORDER_NUMBER"),
         F.col("ORDERLINEITEM").alias("ORDER_LINE_ITEM"),
         ordered.alias("ORDER_DATE"),
         stocked.alias("STOCK_DATE"),
-        dates.days_between(stocked, ordered).alias("DAYS_FROM_STOCK_TO_ORDER"),
         F.col("PRODUCTKEY").alias("PRODUCT_KEY"),
         F.col("CUSTOMERKEY").alias("CUSTOMER_KEY"),
         F.col("TERRITORYKEY").alias("TERRITORY_KEY"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +68,27 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return first
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_READ = "spark.sql.files.maxPartitionBytes"
+READ_UP_TO = 16 << 20  # bytes of files for a task that deals out their rows: in memory they are some ten times as large
+
+
+@contextmanager
+def spared_disk(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of an execution go when it ends; otherwise they stay until the driver happens to collect
+    its garbage. What is run again from the same DataFrame shuffles again. A task reads no more than it can deal out without
+    spilling."""
+    before = {key: spark.conf.get(key) for key in (_FREED, _READ)}
+    spark.conf.set(_FREED, "true")
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[_READ]) > READ_UP_TO:
+        spark.conf.set(_READ, str(READ_UP_TO))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)

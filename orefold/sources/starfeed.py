@@ -57,6 +57,20 @@ def _kept(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return once
 
 
+def _dated(lines: DataFrame) -> DataFrame:
+    return lines.withColumns(
+        {
+            "SALES_YEAR": F.year("ORDER_DATE_KEY"),
+            "LEAD_TIME_DAYS": F.datediff("ORDER_DATE_KEY", "STOCK_DATE_KEY").cast("long"),
+        }
+    )
+
+
+def completed_sales(priced: DataFrame) -> DataFrame:
+    """The sales fact from its priced lines, row by row."""
+    return gold.measure_sales(_dated(priced)).select(*schemas.GOLD["FACT_SALES"].names)
+
+
 class StarFeed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -343,6 +357,9 @@ class StarFeed:
 
     def _with_order(self, lines: DataFrame, needed: set[str]) -> DataFrame:
         """Join ``orders`` and ``customer`` if a column needs them; a line without its order keeps nulls."""
+        return _dated(self._with_header(lines, needed)) if needed & _DATED else self._with_header(lines, needed)
+
+    def _with_header(self, lines: DataFrame, needed: set[str]) -> DataFrame:
         if not needed & (_DATED | {"CUSTOMER_KEY", "TERRITORY_KEY"}):
             return lines
         header = self.table("orders").select(
@@ -355,13 +372,12 @@ class StarFeed:
                 F.col("c_custkey").alias("CUSTOMER_KEY"), F.col("c_nationkey").cast("long").alias("TERRITORY_KEY")
             )
             header = header.join(home, "CUSTOMER_KEY", "left")
-        dated = lines.join(header, "ORDER_NUMBER", "left")
-        return dated.withColumns(
-            {
-                "SALES_YEAR": F.year("ORDER_DATE_KEY"),
-                "LEAD_TIME_DAYS": F.datediff("ORDER_DATE_KEY", "STOCK_DATE_KEY").cast("long"),
-            }
-        )
+        return lines.join(header, "ORDER_NUMBER", "left")
+
+    @_kept
+    def priced_sales(self) -> DataFrame:
+        """The whole sales fact but for the columns that follow from others of a line; ``completed_sales`` adds them."""
+        return gold.list_prices(self._with_header(self._sales_lines(), {"TERRITORY_KEY"}), self.dim_product)
 
     @_kept
     def fact_sales(self, *columns: str) -> DataFrame:
@@ -371,11 +387,10 @@ class StarFeed:
         further shuffle of the lines. The whole fact gets its prices last: what is shuffled has no measures yet, and the
         result is distributed by product, as labels of products need it.
         """
-        whole, columns = not columns, columns or tuple(schemas.GOLD["FACT_SALES"].names)
+        if not columns:
+            return completed_sales(self.priced_sales())
         needed = set(columns)
         lines = self._sales_lines()
-        if whole:
-            return gold.price_sales(self._with_order(lines, needed), self.dim_product).select(*columns)
         priced = gold.price_sales(lines, self.dim_product) if needed & _PRICED else lines
         return self._with_order(priced, needed).select(*columns)
 

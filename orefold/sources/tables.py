@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import partial
+from itertools import chain
 from time import monotonic
 from typing import TypeVar
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orefold import schemas
+from orefold import schemas, session
 from orefold.operators import layout
 from orefold.plans import views
 from orefold.sources import delimited, records, versions
@@ -169,29 +170,56 @@ def load_corrections(
     return n_added, full_refresh(left, f"{path}{REJECTS_SUFFIX}")
 
 
-def refresh_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
-    """Build a table from its query, stamped with the load time, and read it back; clustered tables keep their order."""
+def refresh_table(
+    spark: SparkSession, root: str, name: str, df: DataFrame, completed: Callable[[DataFrame], DataFrame] = layout.as_is
+) -> DataFrame:
+    """Build a table from its query, stamped with the load time, and read it back; clustered tables keep their order.
+
+    ``completed`` adds columns that follow from others of a row, as late as it can be.
+    """
     path = f"{root}/{name}"
     version = versions.new_version(path)
-    df = df.withColumn(LOAD_TIMESTAMP, F.localtimestamp())
     keys = schemas.CLUSTER_KEYS.get(name)
+
+    def stamped(rows: DataFrame) -> DataFrame:
+        return completed(rows).withColumn(LOAD_TIMESTAMP, F.localtimestamp())
+
     if keys:
         # Stored first: dealing rows out by range samples its input, which then is a scan of the keys and not the query.
         plain = f"{version}-plain"
-        df.write.parquet(plain)
-        stored = spark.read.parquet(plain)
-        layout.clustered_write(stored, version, keys, lookup_columns=schemas.LOOKUP_COLUMNS.get(name, ()), curved=len(keys) > 1)
+        df.write.option("compression", layout.COMPRESSION).parquet(plain)
+        stored, lookups = spark.read.parquet(plain), schemas.LOOKUP_COLUMNS.get(name, ())
+        layout.clustered_write(stored, version, keys, lookup_columns=lookups, curved=len(keys) > 1, completed=stamped)
         versions.delete(spark, plain)
     else:
-        df.write.parquet(version)
+        stamped(df).write.parquet(version)
     versions.commit(spark, path, version)
     return read_table(spark, path)
 
 
-def refresh_tables(spark: SparkSession, root: str, built: Mapping[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
-    """``refresh_table`` for several tables, ``at_once`` side by side."""
-    stored = side_by_side([partial(refresh_table, spark, root, name, df) for name, df in built.items()], at_once)
-    return dict(zip(built, stored))
+def refresh_tables(
+    spark: SparkSession,
+    root: str,
+    built: Mapping[str, DataFrame],
+    at_once: int = 4,
+    in_turn: Sequence[str] = (),
+    completed: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> dict[str, DataFrame]:
+    """``refresh_table`` for several tables, ``at_once`` side by side.
+
+    Large tables named by ``in_turn`` are stored one after another, beside the others, so that only one of them has its
+    shuffles and its plain copy on disk. Shuffles go as soon as what they were for is written. ``completed`` is that of
+    ``refresh_table`` by the name of a table.
+    """
+
+    def refresh(names: Sequence[str]) -> list[tuple[str, DataFrame]]:
+        late = completed or {}
+        return [(name, refresh_table(spark, root, name, built[name], late.get(name, layout.as_is))) for name in names]
+
+    groups = [list(in_turn), *[[name] for name in built if name not in in_turn]]
+    with session.spared_disk(spark):
+        stored = dict(chain.from_iterable(side_by_side([partial(refresh, group) for group in groups], at_once)))
+    return {name: stored[name] for name in built}
 
 
 def load_sources(
